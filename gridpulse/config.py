@@ -34,9 +34,10 @@ class Pipeline:
 
     ``state_partitions`` is frozen into a Gold checkpoint by its first batch, so
     choose it for the data to come: a later change is ignored by that query.
-    ``write_width`` x ``write_salt`` bounds the files a micro-batch adds to one
-    hour: the hash of (date, hour) alone would put a batch, which touches one or
-    two hours, on one or two tasks.
+    ``write_width`` tasks write a micro-batch, and ``write_salt`` of them share an
+    hour: the hash of (date, hour) alone would leave a batch, which touches one or
+    two hours, to one or two tasks. Without ``write_width`` a batch is written by as
+    many tasks as the session shuffles to, which a backfill of many hours needs.
     """
 
     root: str
@@ -46,7 +47,7 @@ class Pipeline:
     gold_trigger: str | None = GOLD_TRIGGER
     available_now: bool = False
     state_partitions: int | None = None
-    write_width: int = 4
+    write_width: int | None = 4
     write_salt: int = 1
     max_files_per_trigger: int | None = None
     rocksdb_state: bool = True
@@ -75,7 +76,7 @@ class Pipeline:
 
     def backfill(self) -> Pipeline:
         """The same pipeline, run once over everything that has arrived."""
-        return replace(self, available_now=True)
+        return replace(self, available_now=True, write_width=None)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Pipeline:

@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 
 def cluster_for_write(
-    df: DataFrame, keys: Sequence[str], width: int, *, salt: int = 1, spread_by: str = "house_id"
+    df: DataFrame, keys: Sequence[str], width: int | None = None, *, salt: int = 1, spread_by: Sequence[str] = ()
 ) -> DataFrame:
     """Bring the rows of a partition folder together, in at most ``salt`` files each.
 
-    One hash of the keys puts a whole hour on one task, so an hour that outgrows a
-    task needs ``salt`` > 1, which splits it by house.
+    ``width`` tasks write; without it, as many as the session shuffles to. One hash
+    of the keys puts a whole hour on one task, so an hour that outgrows a task needs
+    ``salt`` > 1, which splits it by the hash of ``spread_by``. That is a hash rather
+    than a random number, so that a retried task writes the same rows.
     """
     columns = [F.col(k) for k in keys]
     if salt > 1:
-        columns.append(F.pmod(F.xxhash64(spread_by), F.lit(salt)))
-    return df.repartition(width, *columns)
+        columns.append(F.pmod(F.xxhash64(*spread_by), F.lit(salt)))
+    return df.repartition(width, *columns) if width else df.repartition(*columns)
 
 
 def balance_for_write(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -87,24 +87,23 @@ def panel_range_of(grain: Granularity):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = events(spark, sf_dir)
-        until = latest_window(readings(source), grain)
-        since = minus(instant(until), grain.dashboard_range)
-        since_us, end_us = spark.range(1).select(
-            F.unix_micros(since), F.unix_micros(instant(until) + F.expr(f"INTERVAL '{grain.width}'"))
-        ).first()
+        since, until = latest_windows(readings(source), grain, grain.dashboard_range)
+        width = F.expr(f"INTERVAL '{grain.width}'")
         # The same bounds in the time of the stored column, for the scan.
         ts = F.col("ts")
-        source = source.filter((ts >= instant(undense(since_us))) & (ts < instant(undense(end_us))))
+        source = source.filter((ts >= undense(instant(since))) & (ts < undense(instant(until) + width)))
         table = gold.roll_up(readings(source), grain.width, decimals=DECIMALS, since=since, until=until)
         return portable(serve.panel(table, HOUSE, "power"))
 
     return query
 
 
-def latest_window(rows: DataFrame, grain: Granularity) -> int:
-    """Start of the window that holds the latest reading, in epoch microseconds."""
+def latest_windows(rows: DataFrame, grain: Granularity, back: str) -> tuple[int, int]:
+    """Starts of the earliest and latest window of a range that ends with the data, in
+    epoch microseconds."""
     newest = rows.agg(F.max("event_time").alias("event_time"))
-    return newest.select(F.unix_micros(F.window("event_time", grain.width).start)).first()[0]
+    start = F.window("event_time", grain.width).start
+    return tuple(newest.select(F.unix_micros(minus(start, back)), F.unix_micros(start)).first())
 
 
 def peek_of(grain: Granularity):
@@ -119,8 +118,8 @@ def retention_of(grain: Granularity):
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = real_readings(spark, sf_dir)
-        anchor = instant(latest_window(rows, grain))
-        table = gold.roll_up(rows, grain.width, decimals=DECIMALS, since=minus(anchor, grain.keep))
+        since, anchor = latest_windows(rows, grain, grain.keep)
+        table = gold.roll_up(rows, grain.width, decimals=DECIMALS, since=since)
         return portable(retain(table, anchor, grain.keep))
 
     return query

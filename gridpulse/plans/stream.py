@@ -22,7 +22,7 @@ from gridpulse.streaming.serving import ParquetServing
 
 
 def backfill(spark: SparkSession, label: str) -> tuple[SparkSession, Pipeline]:
-    pipeline = Pipeline(root=shared_folder(spark, label), available_now=True, decimals=DECIMALS)
+    pipeline = Pipeline(root=shared_folder(spark, label), decimals=DECIMALS).backfill()
     return job_session(spark, pipeline), pipeline
 
 

@@ -37,9 +37,9 @@ def dense(ts: Column) -> Column:
     return F.timestamp_micros(F.lit(DENSE_ORIGIN_US) + F.floor(elapsed / F.lit(DENSE_FACTOR)))
 
 
-def undense(moment_us: int) -> int:
-    """The first microsecond of real time whose dense time is ``moment_us``."""
-    return DENSE_ORIGIN_US + (moment_us - DENSE_ORIGIN_US) * DENSE_FACTOR
+def undense(ts: Column) -> Column:
+    """The first instant of real time whose dense time is ``ts``."""
+    return F.timestamp_micros(F.lit(DENSE_ORIGIN_US) + (F.unix_micros(ts) - F.lit(DENSE_ORIGIN_US)) * DENSE_FACTOR)
 
 
 def readings(source: DataFrame, *, house: str = "event_type", clock: str = "dense") -> DataFrame:

@@ -33,7 +33,13 @@ def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = Fa
     trades one for fewer files when a batch comes from many topic partitions."""
     rows = silver(envelopes, pipeline.zone)
     if cluster:
-        rows = cluster_for_write(rows, schemas.SILVER_PARTITIONS, pipeline.write_width, salt=pipeline.write_salt)
+        rows = cluster_for_write(
+            rows,
+            schemas.SILVER_PARTITIONS,
+            pipeline.write_width,
+            salt=pipeline.write_salt,
+            spread_by=("house_id", "event_time"),
+        )
     return append_parquet(
         rows,
         "silver",
@@ -47,7 +53,13 @@ def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = Fa
 def gold_rows(readings: DataFrame, grain: Granularity, pipeline: Pipeline) -> DataFrame:
     rolled = gold.roll_up(readings, grain.width, lateness=pipeline.lateness, decimals=pipeline.decimals)
     keyed = gold.with_partition_keys(rolled, pipeline.zone)
-    return cluster_for_write(keyed, schemas.GOLD_PARTITIONS, pipeline.write_width, salt=pipeline.write_salt)
+    return cluster_for_write(
+        keyed,
+        schemas.GOLD_PARTITIONS,
+        pipeline.write_width,
+        salt=pipeline.write_salt,
+        spread_by=schemas.SERVING_KEY,
+    )
 
 
 def start_gold(

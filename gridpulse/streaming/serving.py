@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridpulse import schemas
 from gridpulse.functions.clock import Moment
 from gridpulse.operators.gold import with_partition_keys
+from gridpulse.operators.layout import balance_for_write
 from gridpulse.operators.serve import in_range, to_serving
 from gridpulse.sources.files import gold_table
 from gridpulse.sources.jdbc import Database, serving_slice
@@ -59,7 +60,10 @@ class ParquetServing:
         return in_range(self.read(spark), since, until)
 
     def append(self, rows: DataFrame) -> None:
-        stored = with_partition_keys(rows, self.zone)
+        # Without this, each task of the join would leave a file in each hour.
+        stored = balance_for_write(
+            with_partition_keys(rows, self.zone), schemas.GOLD_PARTITIONS, schemas.SERVING_KEY
+        )
         stored.write.mode("append").partitionBy(*schemas.GOLD_PARTITIONS).parquet(self.path)
 
 

@@ -1,0 +1,206 @@
+from dataclasses import dataclass, replace
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from gridpulse import schemas
+from gridpulse.config import BUSINESS_ZONE, ONE_MINUTE, QUARTER_HOUR
+from gridpulse.operators import serve
+from gridpulse.operators.gold import roll_up, with_partition_keys
+from gridpulse.operators.layout import balance_for_write
+from gridpulse.operators.retention import expire, retain
+from gridpulse.operators.silver import silver
+from gridpulse.sources.events import events, readings
+from gridpulse.sources.files import gold_table
+from gridpulse.streaming.jobs import drain, start_gold, start_ingest, start_serving
+from gridpulse.streaming.serving import ParquetServing, replay_safe
+from gridpulse.sources.files import envelope_stream
+from helpers import at, envelopes, land, plan, reading, rolled
+
+
+@pytest.fixture(scope="module")
+def stored_gold(spark):
+    """Gold of the test events in real time, stored by date and hour."""
+    from gridpulse.config import Pipeline
+    from gridpulse.session import job_session, shared_folder
+
+    pipeline = Pipeline(root=shared_folder(spark, "gold"))
+    session = job_session(spark, pipeline)
+    rolled_up = roll_up(readings(events(session, "/root/testdata/sf0.001"), clock="real"), "15 minutes")
+    rows = balance_for_write(with_partition_keys(rolled_up, BUSINESS_ZONE), schemas.GOLD_PARTITIONS, schemas.SERVING_KEY)
+    path = pipeline.gold(QUARTER_HOUR)
+    rows.write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(path)
+    return gold_table(session, path)
+
+
+def small_gold(session, *triples):
+    rows = [reading(h, f"2025-12-06T{t}+00:00", p) for h, t, p in triples]
+    return roll_up(silver(envelopes(session, rows), BUSINESS_ZONE), "1 minute")
+
+
+# --- dashboard questions -------------------------------------------------------
+
+
+def test_houses_in_text_order(session):
+    table = small_gold(session, *((h, "10:00:00", 1.0) for h in (2, 10, 1, 10)))
+    assert [r.house_id for r in serve.house_list(table).collect()] == ["1", "10", "2"]
+
+
+def test_panel_is_one_house_in_time_order(session):
+    table = small_gold(session, (1, "10:02:00", 3.0), (1, "10:00:00", 1.0), (2, "10:01:00", 9.0), (1, "10:01:00", 2.0))
+    rows = serve.panel(table, "1", "power").select(F.unix_micros("time"), "value").collect()
+    assert [tuple(r) for r in rows] == [(at("10:00"), 1.0), (at("10:01"), 2.0), (at("10:02"), 3.0)]
+    assert serve.panel(table, "1", "max_power_kw", since=at("10:01"), until=at("10:01")).count() == 1
+    assert serve.panel(table, "1' OR '1'='1", "power").count() == 0
+
+
+def test_dashboard_sql_runs_unchanged_with_a_bound_house(session):
+    table = small_gold(session, (1, "10:01:00", 3.0), (1, "10:00:00", 1.0), (2, "10:01:00", 9.0))
+    statement = "SELECT window_start AS time, avg_power_kw AS value FROM agg WHERE house_id = '$house_id' ORDER BY window_start ASC;"
+    rows = serve.panel_sql(session, statement, "1", agg=table)
+    assert rows.collect() == serve.panel(table, "1", "power").collect()
+    assert serve.panel_sql(session, statement, "1' OR '1'='1", agg=table).count() == 0
+    assert serve.panel_sql(session, "SELECT DISTINCT house_id FROM agg ORDER BY house_id;", "", agg=table).count() == 2
+    assert serve.panel_sql(session, "SELECT * FROM agg LIMIT 10;", "", agg=table).columns == list(schemas.SERVING_COLUMNS)
+
+
+def test_peek_is_ordered_and_bounded(stored_gold):
+    rows = serve.peek(stored_gold, 10).collect()
+    keys = [(r.house_id, r.window_start) for r in rows]
+    assert len(rows) == 10 and keys == sorted(keys)
+
+
+def test_range_prunes_folders_and_row_groups(stored_gold):
+    last = serve.latest(stored_gold)
+    series = serve.panel(stored_gold, "click", "power", since=last - 6 * 3_600_000_000, until=last)
+    scan = plan(series)
+    pruned, pushed, read = (scan.split(f"{key}: ")[1].splitlines()[0] for key in ("PartitionFilters", "PushedFilters", "ReadSchema"))
+    assert "event_date" in pruned
+    assert "EqualTo(house_id,click)" in pushed
+    assert "GreaterThanOrEqual(window_start," in pushed and "LessThanOrEqual(window_start," in pushed
+    assert read == "struct<house_id:string,window_start:timestamp,avg_power_kw:double>"
+    everything = serve.panel(stored_gold, "click", "power").collect()
+    kept = [r for r in everything if (r.time.timestamp() * 1_000_000) >= last - 6 * 3_600_000_000]
+    assert series.collect() == kept
+
+
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Pacific/Pago_Pago"])
+def test_folder_bounds_hold_in_any_zone(session, zone):
+    table = with_partition_keys(small_gold(session, *((1, f"{h:02d}:30:00", 1.0) for h in range(24))), zone)
+    for since, until in ((at("05:00"), at("06:00")), (at("23:00"), None), (None, at("00:30"))):
+        plain = serve.in_range(table.drop("event_date"), since, until)
+        assert rolled(serve.in_range(table, since, until)) == rolled(plain)
+        assert plain.count() > 0
+
+
+def test_retention(session, stored_gold, pipeline):
+    last = serve.latest(stored_gold)
+    week = retain(stored_gold, last, "7 days")
+    assert serve.latest(week) == last
+    starts = [r[0] for r in stored_gold.select(F.unix_micros("window_start")).collect()]
+    assert week.count() == sum(s >= last - 7 * 86_400_000_000 for s in starts) < len(starts)
+    assert retain(stored_gold, last, "1 year").count() == len(starts)
+    assert "event_date" in plan(week).split("PartitionFilters: ")[1].splitlines()[0]
+    expire(stored_gold, f"{pipeline.root}/kept", last, "7 days")
+    assert rolled(gold_table(session, f"{pipeline.root}/kept")) == rolled(week)
+
+
+# --- the serving sink ----------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Crashing:
+    """A table whose first append does all or part of its work and then fails."""
+
+    inner: ParquetServing
+    seen: list
+    share: float = 1.0
+
+    def slice(self, spark, since, until):
+        return self.inner.slice(spark, since, until)
+
+    def append(self, rows):
+        first = not self.seen
+        self.seen.append(True)
+        if first:
+            part = rows.orderBy(*schemas.SERVING_KEY).limit(int(rows.count() * self.share))
+            self.inner.append(part)
+            raise RuntimeError("lost the connection")
+        self.inner.append(rows)
+
+
+def prepared(session, pipeline):
+    """Twelve minutes of five houses, in Gold."""
+    rows = [reading(h, f"2025-12-06T10:{m:02d}:{s:02d}+00:00", float(s)) for h in range(5) for m in range(12) for s in (1, 21, 41)]
+    drain(start_ingest(envelope_stream(session, land(session, pipeline, rows)), pipeline))
+    drain(start_gold(session, ONE_MINUTE, pipeline))
+    return rolled(gold_table(session, pipeline.gold(ONE_MINUTE)))
+
+
+@pytest.mark.parametrize("share", [1.0, 0.4], ids=["after the write", "halfway"])
+def test_crash_and_restart_do_not_double(session, pipeline, share):
+    gold = prepared(session, pipeline)
+    assert len(gold) == 45
+    table = ParquetServing(pipeline.serving(ONE_MINUTE), pipeline.zone).create(session)
+    crashing = Crashing(table, [], share)
+    with pytest.raises(StreamingQueryException):
+        drain(start_serving(session, ONE_MINUTE, pipeline, crashing))
+    assert table.read(session).count() == int(45 * share)
+    drain(start_serving(session, ONE_MINUTE, pipeline, crashing))
+    assert rolled(table.read(session)) == gold
+
+
+def test_lost_checkpoint_does_not_double(session, pipeline):
+    gold = prepared(session, pipeline)
+    table = ParquetServing(pipeline.serving(ONE_MINUTE), pipeline.zone).create(session)
+    drain(start_serving(session, ONE_MINUTE, pipeline, table))
+    again = replace(pipeline, root=f"{pipeline.root}/again", names={"gold_1min": pipeline.gold(ONE_MINUTE)})
+    drain(start_serving(session, ONE_MINUTE, again, table))
+    assert rolled(table.read(session)) == gold
+
+
+def test_serving_follows_gold(session, pipeline):
+    prepared(session, pipeline)
+    table = ParquetServing(pipeline.serving(ONE_MINUTE), pipeline.zone).create(session)
+    drain(start_serving(session, ONE_MINUTE, pipeline, table))
+    late = [reading(9, "2025-12-06T11:00:00+00:00", 1.0)]
+    drain(start_ingest(envelope_stream(session, land(session, pipeline, late)), pipeline))
+    drain(start_gold(session, ONE_MINUTE, pipeline))
+    drain(start_serving(session, ONE_MINUTE, pipeline, table))
+    served = rolled(table.read(session))
+    assert served == rolled(gold_table(session, pipeline.gold(ONE_MINUTE))) and len(served) == 60
+
+
+def test_empty_batch_writes_nothing(session):
+    class Untouched:
+        def slice(self, *_):
+            raise AssertionError("read")
+
+        def append(self, *_):
+            raise AssertionError("written")
+
+    replay_safe(Untouched())(session.createDataFrame([], schemas.GOLD), 0)
+
+
+def test_the_read_back_is_bounded_by_the_batch(session):
+    spans = []
+
+    class Recording:
+        def slice(self, spark, since, until):
+            spans.append((since, until))
+            return spark.createDataFrame([], schemas.GOLD)
+
+        def append(self, rows):
+            self.rows = rows.count()
+
+    table = Recording()
+    replay_safe(table)(small_gold(session, (1, "10:00:00", 1.0), (2, "10:07:30", 1.0)), 0)
+    assert spans == [(at("10:00"), at("10:07"))] and table.rows == 2
+
+
+def test_not_null_columns_are_enforced(session):
+    row = ("1", None, None, 1.0, 1.0, 1.0, 1.0)
+    df = session.createDataFrame([row], schemas.SERVING.replace(" NOT NULL", ""))
+    with pytest.raises(Exception, match="window_start must not be null"):
+        schemas.not_null(df, "window_start").collect()
