@@ -117,3 +117,15 @@ def test_json_is_parsed_once_per_row(session, tmp_path):
     physical = plan(clean(parse(session.read.parquet(path))))
     assert physical.count("from_json") == 1
     assert "Exchange" not in physical
+
+
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "Asia/Kathmandu", "Pacific/Pago_Pago", "America/St_Johns"])
+def test_local_keys_equal_the_calendar_of_the_zone(spark, zone):
+    """Every quarter-hour of two years with four clock changes, and before 1970."""
+    local = spark.newSession()
+    local.conf.set("spark.sql.session.timeZone", zone)
+    quarters = local.range(0, 70_000).select(F.timestamp_micros(F.lit(1704067200000000 - 1) + F.col("id") * 900000000).alias("t"))
+    early = local.range(0, 2_000).select(F.timestamp_micros(F.lit(-900000000000) + F.col("id") * 900000000).alias("t"))
+    rows = quarters.unionAll(early)
+    wrong = rows.filter((local_date("t", zone) != F.to_date("t")) | (local_hour("t", zone) != F.hour("t")))
+    assert wrong.count() == 0 and rows.filter(local_date("t", zone).isNull()).count() == 0
