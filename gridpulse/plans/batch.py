@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from gridpulse import schemas
 from gridpulse.config import BUSINESS_ZONE, GRANULARITIES, Granularity, Pipeline
 from gridpulse.functions import profile
+from gridpulse.functions.clock import instant, minus
 from gridpulse.operators import gold, serve
-from gridpulse.operators.layout import balance_for_write
+from gridpulse.operators.layout import balance_for_write, cluster_for_write
 from gridpulse.operators.retention import retain
 from gridpulse.operators.silver import clean, parse, silver, with_partition_keys
 from gridpulse.plans.common import (
@@ -22,10 +23,9 @@ from gridpulse.plans.common import (
     portable,
     real_readings,
 )
-from gridpulse.functions.clock import instant, minus
 from gridpulse.session import job_session, shared_folder
 from gridpulse.sources.events import events, readings, undense
-from gridpulse.sources.files import silver_table
+from gridpulse.sources.files import gold_table, silver_table
 
 
 def silver_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,23 @@ def panel_range_of(grain: Granularity):
     return query
 
 
+def gold_files_of(grain: Granularity):
+    """Store Gold clustered by hour; count the files and rows of each folder."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_folder(spark, f"gold-files-{grain.name}")
+        session = job_session(spark, Pipeline(root=path))
+        rows = gold.with_partition_keys(dense_gold(session, sf_dir, grain), BUSINESS_ZONE)
+        cluster_for_write(rows, schemas.GOLD_PARTITIONS).write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(path)
+        per_file = gold_table(spark, path).groupBy("event_date", "hour", "_metadata.file_path").count()
+        folders = per_file.groupBy("event_date", "hour").agg(
+            F.count(F.lit(1)).alias("n_files"), F.sum("count").alias("n_rows")
+        )
+        return portable(folders)
+
+    return query
+
+
 def latest_windows(rows: DataFrame, grain: Granularity, back: str) -> tuple[int, int]:
     """Starts of the earliest and latest window of a range that ends with the data, in
     epoch microseconds."""
@@ -193,6 +210,7 @@ def queries() -> dict:
     for grain in GRANULARITIES:
         registered |= {
             f"gold_{grain.name}": gold_of(grain),
+            f"gold_files_{grain.name}": gold_files_of(grain),
             f"serving_{grain.name}": serving_of(grain),
             f"house_list_{grain.name}": house_list_of(grain),
             f"panel_range_{grain.name}": panel_range_of(grain),

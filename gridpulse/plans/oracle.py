@@ -122,7 +122,10 @@ WHERE house_id = '{_HOUSE}' AND window_start >= {last} - {_RANGE[grain]} ORDER B
             f"retention_{grain}": f"""{_gold(grain, _REAL)} SELECT {_SERVING} FROM g
 WHERE window_start >= epoch_us(make_timestamp({last}) - INTERVAL '{_KEEP[grain]}')""",
             f"stream_gold_{grain}": _with_keys(gold, _closed()),
+            f"stream_restart_{grain}": _with_keys(gold, _closed()),
             f"stream_late_{grain}": _late(grain),
+            f"gold_files_{grain}": f"""SELECT event_date, hour, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows
+FROM ({_with_keys(gold)}) GROUP BY event_date, hour""",
         }
         sql |= {
             f"panel_{name}_{grain}": f"""{gold} SELECT window_start AS time, {column} AS value FROM g

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpulse import schemas
 from gridpulse.config import BUSINESS_ZONE, GRANULARITIES, QUARTER_HOUR, Granularity, Pipeline
-from gridpulse.functions.clock import iso_utc
+from gridpulse.functions.clock import instant, iso_utc
 from gridpulse.operators import gold, silver
 from gridpulse.operators.layout import balance_for_write
 from gridpulse.plans.common import DECIMALS, HOUSE, dense_gold, dense_readings, encoded, mixed_envelopes, portable
@@ -63,21 +63,37 @@ def stream_gold_of(grain: Granularity):
     return query
 
 
+def gold_of_arrivals(spark: SparkSession, sf_dir: str, grain: Granularity, label: str, arrivals) -> DataFrame:
+    """Gold after each arrival was appended to Silver and the query run again on its checkpoint."""
+    session, pipeline = backfill(spark, f"{label}-{grain.name}")
+    rows = dense_readings(session, sf_dir).drop("event_id")
+    stored = silver.with_partition_keys(rows.withColumns({"timestamp": iso_utc("event_time")}), BUSINESS_ZONE)
+    for arrival in arrivals(stored):
+        arrived = balance_for_write(stored.filter(arrival), schemas.SILVER_PARTITIONS)
+        arrived.write.mode("append").partitionBy(*schemas.SILVER_PARTITIONS).parquet(pipeline.silver)
+        drain(start_gold(session, grain, pipeline))
+    return portable(gold_table(spark, pipeline.gold(grain)))
+
+
 def stream_late_of(grain: Granularity):
     """One house reports only after all others: most of its windows have closed by then."""
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        session, pipeline = backfill(spark, f"late-{grain.name}")
-        rows = dense_readings(session, sf_dir).drop("event_id")
-        stored = silver.with_partition_keys(rows.withColumns({"timestamp": iso_utc("event_time")}), BUSINESS_ZONE)
-        house = F.col("house_id")
-        for arrival in (house != HOUSE, house == HOUSE):
-            arrived = balance_for_write(stored.filter(arrival), schemas.SILVER_PARTITIONS)
-            arrived.write.mode("append").partitionBy(*schemas.SILVER_PARTITIONS).parquet(pipeline.silver)
-            drain(start_gold(session, grain, pipeline))
-        return portable(gold_table(spark, pipeline.gold(grain)))
+    def arrivals(stored: DataFrame):
+        return F.col("house_id") != HOUSE, F.col("house_id") == HOUSE
 
-    return query
+    return lambda spark, sf_dir: gold_of_arrivals(spark, sf_dir, grain, "late", arrivals)
+
+
+def stream_restart_of(grain: Granularity):
+    """The first half of the time, then the second, with a restart in between."""
+
+    def arrivals(stored: DataFrame):
+        time = F.unix_micros("event_time")
+        first, last = stored.agg(F.min(time), F.max(time)).first()
+        middle = instant((first + last) // 2)
+        return F.col("event_time") < middle, F.col("event_time") >= middle
+
+    return lambda spark, sf_dir: gold_of_arrivals(spark, sf_dir, grain, "restart", arrivals)
 
 
 def stream_chain_of(grain: Granularity):
@@ -124,6 +140,7 @@ def queries() -> dict:
         registered |= {
             f"stream_gold_{grain.name}": stream_gold_of(grain),
             f"stream_late_{grain.name}": stream_late_of(grain),
+            f"stream_restart_{grain.name}": stream_restart_of(grain),
             f"serving_replay_{grain.name}": serving_replay_of(grain),
         }
     return registered

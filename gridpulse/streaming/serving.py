@@ -74,6 +74,9 @@ def replay_safe(table: ServingTable) -> Callable[[DataFrame, int], None]:
     what is missing. Keys are compared within the time span of the batch, so the
     read back does not grow with the table. An empty batch has no span and writes
     nothing.
+
+    The batch is read twice, so it has to come from a stateless stream such as the
+    files of Gold.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
