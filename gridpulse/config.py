@@ -32,6 +32,9 @@ DEFAULT_HOUSE = "2113"
 class Pipeline:
     """Where the layers live and how the streams run.
 
+    ``names`` places single layers (``silver``, ``gold_1min``, ``serving_15min``...)
+    elsewhere than below ``root``, such as on a table that is already there.
+
     ``state_partitions`` is frozen into a Gold checkpoint by its first batch, so
     choose it for the data to come: a later change is ignored by that query.
     ``write_width`` tasks write a micro-batch, and ``write_salt`` of them share an
@@ -89,4 +92,6 @@ class Pipeline:
         for key in ("state_partitions", "write_width", "write_salt", "max_files_per_trigger", "decimals"):
             if f"GRIDPULSE_{key.upper()}" in env:
                 given[key] = int(env[f"GRIDPULSE_{key.upper()}"])
-        return cls(**given)
+        layers = ["silver"] + [f"{layer}_{g.name}" for layer in ("gold", "serving") for g in GRANULARITIES]
+        paths = {layer: env.get(f"GRIDPULSE_{layer.upper()}_PATH") for layer in layers}
+        return cls(**given, names={layer: path for layer, path in paths.items() if path})

@@ -25,8 +25,11 @@ def cluster_for_write(
 
 
 def balance_for_write(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """The batch form: adaptive execution sizes the files, splitting a hot hour and
-    merging thin ones, and rows are ordered inside each so that a scan for one house
-    skips row groups by their statistics."""
+    """The adaptive form, for batches and stateless streams: files are sized at run
+    time, splitting a hot hour and merging thin ones.
+
+    In a batch, ``order`` sorts the rows of each file, so that a scan for one house
+    skips row groups by their statistics.
+    """
     balanced = df.hint("rebalance", *keys)
     return balanced.sortWithinPartitions(*keys, *order) if order else balanced

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse import schemas
+from gridpulse.config import DEFAULT_HOUSE
 from gridpulse.functions.clock import Moment, instant, utc_clock
 from gridpulse.operators.gold import between
 
@@ -44,8 +45,8 @@ def in_range(table: DataFrame, since: Moment | None, until: Moment | None) -> Da
 
 def panel(
     table: DataFrame,
-    house_id: str,
-    metric: str,
+    house_id: str = DEFAULT_HOUSE,
+    metric: str = "power",
     *,
     since: Moment | None = None,
     until: Moment | None = None,
@@ -59,6 +60,11 @@ def panel(
     return chosen.select(F.col("window_start").alias("time"), value.alias("value")).orderBy("time")
 
 
+def dashboard(table: DataFrame, house_id: str = DEFAULT_HOUSE, **bounds: Moment | None) -> dict[str, DataFrame]:
+    """The three series of one house, by panel name."""
+    return {name: panel(table, house_id, name, **bounds) for name in PANELS}
+
+
 def panel_sql(spark: SparkSession, statement: str, house_id: str, **tables: DataFrame) -> DataFrame:
     """A dashboard's own SQL. ``'$house_id'`` becomes a bound parameter, so that the
     choice is never read as SQL, and each keyword names a table of the statement."""
@@ -73,9 +79,15 @@ def peek(table: DataFrame, n: int = 10) -> DataFrame:
     return table.orderBy(*schemas.SERVING_KEY).limit(n)
 
 
-def latest(table: DataFrame, column: str = "window_start") -> int | None:
-    """The latest instant of a table, in epoch microseconds.
+def latest(table: DataFrame) -> int | None:
+    """The latest window start of a table, in epoch microseconds.
 
-    One number reaches the driver; as a literal it can then prune scans.
+    One number reaches the driver; as a literal it can then prune scans. On a stored
+    Gold table the newest folder is found first, which reads no column, and the rest
+    are left out. The folder before it counts too, for zones whose clocks go back at
+    midnight.
     """
-    return table.agg(F.unix_micros(F.max(column))).first()[0]
+    if "event_date" in table.columns:
+        newest = table.agg(F.max("event_date")).first()[0]
+        table = table.filter(F.col("event_date") >= F.date_sub(F.lit(newest).cast("date"), 1))
+    return table.agg(F.unix_micros(F.max("window_start"))).first()[0]

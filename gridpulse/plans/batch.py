@@ -82,6 +82,23 @@ def panel_of(grain: Granularity, metric: str):
     return query
 
 
+# The statement a dashboard sends, as its author wrote it.
+PANEL_STATEMENT = """
+SELECT window_start AS time, avg_power_kw AS value
+FROM readings_rolled_up
+WHERE house_id = '$house_id'
+ORDER BY window_start;
+"""
+
+
+def dashboard_sql_of(grain: Granularity):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = dense_gold(spark, sf_dir, grain)
+        return portable(serve.panel_sql(spark, PANEL_STATEMENT, HOUSE, readings_rolled_up=table))
+
+    return query
+
+
 def panel_range_of(grain: Granularity):
     """The default dashboard range, counted back from the latest window."""
 
@@ -213,6 +230,7 @@ def queries() -> dict:
             f"gold_files_{grain.name}": gold_files_of(grain),
             f"serving_{grain.name}": serving_of(grain),
             f"house_list_{grain.name}": house_list_of(grain),
+            f"dashboard_sql_{grain.name}": dashboard_sql_of(grain),
             f"panel_range_{grain.name}": panel_range_of(grain),
             f"peek_{grain.name}": peek_of(grain),
             f"retention_{grain.name}": retention_of(grain),

@@ -118,6 +118,8 @@ SELECT event_id, ROUND(power_kw - ev_charging_kw + pv_panel_kw, 6) AS house_load
             f"house_list_{grain}": f"{gold} SELECT DISTINCT house_id FROM g ORDER BY house_id",
             f"panel_range_{grain}": f"""{gold} SELECT window_start AS time, avg_power_kw AS value FROM g
 WHERE house_id = '{_HOUSE}' AND window_start >= {last} - {_RANGE[grain]} ORDER BY window_start""",
+            f"dashboard_sql_{grain}": f"""{gold} SELECT window_start AS time, avg_power_kw AS value FROM g
+WHERE house_id = '{_HOUSE}' ORDER BY window_start""",
             f"peek_{grain}": f"{gold} SELECT {_SERVING} FROM g ORDER BY house_id, window_start LIMIT 10",
             f"retention_{grain}": f"""{_gold(grain, _REAL)} SELECT {_SERVING} FROM g
 WHERE window_start >= epoch_us(make_timestamp({last}) - INTERVAL '{_KEEP[grain]}')""",

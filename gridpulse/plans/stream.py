@@ -34,10 +34,10 @@ def land(envelopes: DataFrame, pipeline: Pipeline) -> str:
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Envelopes -> Silver, read back as a table."""
+    """Envelopes -> Silver, read back as a table. Each landed file spans the whole month."""
     session, pipeline = backfill(spark, "ingest")
     landing = land(mixed_envelopes(session, sf_dir), pipeline)
-    drain(start_ingest(envelope_stream(session, landing), pipeline))
+    drain(start_ingest(envelope_stream(session, landing), pipeline, cluster=True))
     return portable(silver_table(spark, pipeline.silver).drop("timestamp"))
 
 

@@ -23,6 +23,7 @@ def job_session(spark: SparkSession, pipeline: Pipeline) -> SparkSession:
     session.conf.set("spark.sql.session.timeZone", pipeline.zone)
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    session.conf.set("spark.sql.adaptive.enabled", "true")  # sizes the files that are written
     if pipeline.rocksdb_state:
         session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gridpulse import schemas
 from gridpulse.config import Granularity, Pipeline
 from gridpulse.operators import gold
-from gridpulse.operators.layout import cluster_for_write
+from gridpulse.operators.layout import balance_for_write, cluster_for_write
 from gridpulse.operators.silver import silver
 from gridpulse.sources.files import gold_stream, silver_stream
 from gridpulse.streaming.serving import ServingTable, replay_safe
@@ -29,17 +29,16 @@ from gridpulse.streaming.sinks import append_parquet, each_batch
 
 
 def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = False) -> StreamingQuery:
-    """Envelopes to Silver. Each task writes what it read, with no shuffle; ``cluster``
-    trades one for fewer files when a batch comes from many topic partitions."""
+    """Envelopes to Silver.
+
+    Each task writes what it read, with no shuffle: the slice of a topic that one
+    task reads spans few hours. ``cluster`` shuffles by hour instead, for sources
+    whose slices each span many hours, where every task would leave a file in every
+    hour. Adaptive execution, which covers stateless streams, splits a hot hour.
+    """
     rows = silver(envelopes, pipeline.zone)
     if cluster:
-        rows = cluster_for_write(
-            rows,
-            schemas.SILVER_PARTITIONS,
-            pipeline.write_width,
-            salt=pipeline.write_salt,
-            spread_by=("house_id", "event_time"),
-        )
+        rows = balance_for_write(rows, schemas.SILVER_PARTITIONS)
     return append_parquet(
         rows,
         "silver",

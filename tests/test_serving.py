@@ -85,6 +85,20 @@ def test_range_prunes_folders_and_row_groups(stored_gold):
     assert series.collect() == kept
 
 
+def test_dashboard_and_default_house(session):
+    table = small_gold(session, (2113, "10:00:00", 1.0), (1, "10:00:00", 2.0))
+    board = serve.dashboard(table)
+    assert list(board) == ["power", "pv", "ev"]
+    assert [[r.value for r in df.collect()] for df in board.values()] == [[1.0], [0.0], [0.0]]
+    assert serve.dashboard(table, "1", since=at("10:01"))["power"].count() == 0
+
+
+def test_latest(session, stored_gold):
+    plain = stored_gold.drop("event_date", "hour")
+    assert serve.latest(stored_gold) == serve.latest(plain) == plain.agg(F.unix_micros(F.max("window_start"))).first()[0]
+    assert serve.latest(stored_gold.filter("house_id = 'nobody'")) is None
+
+
 @pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Pacific/Pago_Pago"])
 def test_folder_bounds_hold_in_any_zone(session, zone):
     table = with_partition_keys(small_gold(session, *((1, f"{h:02d}:30:00", 1.0) for h in range(24))), zone)

@@ -55,6 +55,8 @@ def test_pipeline_from_env():
     assert pipeline.trigger(pipeline.ingest_trigger) == {}
     assert pipeline.backfill().trigger("1 minute") == {"availableNow": True}
     assert len({pipeline.checkpoint(q) for q in ("silver", "gold_1min", "gold_15min", "serving_1min", "serving_15min")}) == 5
+    moved = Pipeline.from_env({"GRIDPULSE_ROOT": "r", "GRIDPULSE_GOLD_1MIN_PATH": "s3a://old/gold"})
+    assert (moved.gold(ONE_MINUTE), moved.silver) == ("s3a://old/gold", "r/silver/readings")
     with pytest.raises(ValueError):
         Pipeline.from_env({})
 

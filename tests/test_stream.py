@@ -121,6 +121,19 @@ def test_clustered_ingest_writes_one_file_per_hour(session, pipeline):
     assert len(files) == 1 and silver_table(session, pipeline.silver).count() == 80
 
 
+def test_clustered_ingest_splits_a_hot_hour(session, pipeline):
+    """Nearly all readings, of one house, in one hour: several tasks share them."""
+    times = [f"2025-12-06T08:{i % 60:02d}:{i // 60 % 60:02d}.{i:06d}+00:00" for i in range(4000)]
+    for part in range(8):
+        rows = [reading(1, t, float(i)) for i, t in enumerate(times[part * 500 : part * 500 + 500])]
+        landing = land(session, pipeline, rows)
+    land(session, pipeline, [reading(2, "2025-12-06T09:00:00+00:00", 1.0)])
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    drain(start_ingest(envelope_stream(session, landing), pipeline, cluster=True))
+    hot = [f for d, _, fs in os.walk(pipeline.silver) for f in fs if "hour=9" in d and f.endswith(".parquet")]
+    assert len(hot) > 1 and silver_table(session, pipeline.silver).count() == 4001
+
+
 def test_state_width_is_fixed_by_the_checkpoint(session, spark, pipeline):
     send(session, pipeline, (1, "10:00:00", 1.0))
     run_gold(session, pipeline)
