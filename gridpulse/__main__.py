@@ -1,4 +1,4 @@
-"""Run the streaming queries: ``spark-submit`` this file, or ``python -m gridpulse``.
+"""Run the streaming queries: ``python -m gridpulse``, or ``spark-submit run_job.py``.
 
     ingest   topic -> Silver
     gold     Silver -> Gold, both widths
@@ -23,7 +23,7 @@ from gridpulse.sources.jdbc import Database
 from gridpulse.sources.kafka import topic_options, topic_stream
 from gridpulse.sources.objectstore import with_object_store
 from gridpulse.streaming.jobs import drain, start_gold, start_ingest, start_serving, wait_any
-from gridpulse.streaming.progress import report
+from gridpulse.streaming.progress import ThroughputReport, line, throughput
 from gridpulse.streaming.serving import JdbcServing, ParquetServing, ServingTable
 
 
@@ -78,8 +78,10 @@ def main(argv: list[str] | None = None) -> None:
             queries = steps[step]()
             drain(*queries)
             for query in queries:
-                print(report(query))
+                for batch in throughput(query):
+                    print(line(batch))
     else:
+        session.streams.addListener(ThroughputReport())
         for step in chosen:
             steps[step]()
         wait_any(session)

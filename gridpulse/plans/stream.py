@@ -45,7 +45,7 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read by each batch of the ingest query, added up."""
     session, pipeline = backfill(spark, "progress")
     landing = land(mixed_envelopes(session, sf_dir), pipeline)
-    query = start_ingest(envelope_stream(session, landing), pipeline)
+    query = start_ingest(envelope_stream(session, landing), pipeline, cluster=True)
     drain(query)
     batches = [(name, rows) for name, _, rows, *_ in throughput(query)]
     seen = spark.createDataFrame(batches, "query STRING, input_rows BIGINT")

@@ -1,9 +1,11 @@
-"""Throughput of a streaming query."""
+"""Throughput of streaming queries."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 THROUGHPUT = (
     "query STRING, batch_id BIGINT, input_rows BIGINT, seconds DOUBLE, "
@@ -11,34 +13,52 @@ THROUGHPUT = (
 )
 
 
-def throughput(query: StreamingQuery) -> list[tuple]:
-    """One row per recent batch, in the order of ``THROUGHPUT``.
+def batch_throughput(progress) -> tuple:
+    """The progress of one batch, in the order of ``THROUGHPUT``.
 
     ``late_rows`` counts what the watermark dropped, after the partial aggregation.
     """
-    rows = []
-    for p in query.recentProgress:
-        seconds = p.durationMs.get("triggerExecution", 0) / 1000
-        state = p.stateOperators
-        rows.append(
-            (
-                p.name,
-                p.batchId,
-                p.numInputRows,
-                seconds,
-                p.numInputRows / seconds if seconds else 0.0,
-                sum(s.numRowsDroppedByWatermark for s in state),
-                sum(s.numRowsTotal for s in state),
-            )
-        )
-    return rows
+    seconds = progress.durationMs.get("triggerExecution", 0) / 1000
+    rows, state = progress.numInputRows, progress.stateOperators
+    return (
+        progress.name,
+        progress.batchId,
+        rows,
+        seconds,
+        rows / seconds if seconds else 0.0,
+        sum(s.numRowsDroppedByWatermark for s in state),
+        sum(s.numRowsTotal for s in state),
+    )
+
+
+def throughput(query: StreamingQuery) -> list[tuple]:
+    """One row per recent batch; Spark keeps the last hundred."""
+    return [batch_throughput(p) for p in query.recentProgress]
 
 
 def throughput_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(throughput(query), THROUGHPUT)
 
 
-def report(query: StreamingQuery) -> str:
-    """The last batch in a line of text."""
-    name, batch, rows, seconds, rate, late, _ = throughput(query)[-1]
-    return f"[{name} batch {batch}] {rows:,} rows in {seconds:.3f} s, {rate:,.0f} rows/s, {late:,} late"
+def line(batch: tuple) -> str:
+    name, number, rows, seconds, rate, late, _ = batch
+    return f"[{name} batch {number}] {rows:,} rows in {seconds:.3f} s, {rate:,.0f} rows/s, {late:,} late"
+
+
+class ThroughputReport(StreamingQueryListener):
+    """Writes a line for each batch of each query of a session."""
+
+    def __init__(self, write: Callable[[str], None] = print) -> None:
+        self._write = write
+
+    def onQueryStarted(self, event) -> None:
+        self._write(f"[{event.name}] started")
+
+    def onQueryProgress(self, event) -> None:
+        self._write(line(batch_throughput(event.progress)))
+
+    def onQueryIdle(self, event) -> None:
+        """Nothing to report."""
+
+    def onQueryTerminated(self, event) -> None:
+        """The waiting job reports how a query ended."""

@@ -1,5 +1,6 @@
 import os
 import re
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -12,7 +13,7 @@ from gridpulse.operators.silver import silver
 from gridpulse.session import job_session
 from gridpulse.sources.files import envelope_stream, gold_table, silver_table
 from gridpulse.streaming.jobs import drain, gold_rows, start_gold, start_ingest, wait_any
-from gridpulse.streaming.progress import report, throughput, throughput_table
+from gridpulse.streaming.progress import ThroughputReport, line, throughput, throughput_table
 from gridpulse.streaming.sinks import append_parquet, each_batch
 from helpers import at, land, plan, reading, rolled
 
@@ -160,7 +161,22 @@ def test_throughput(session, pipeline):
     assert sum(r.input_rows for r in rows) == 30
     assert all(r.query == "silver" and r.seconds > 0 for r in rows)
     assert rows[0].rows_per_second == pytest.approx(rows[0].input_rows / rows[0].seconds)
-    assert "rows/s" in report(query)
+    assert "rows/s" in line(throughput(query)[0])
+
+
+def test_report_writes_a_line_per_batch(session, pipeline):
+    lines = []
+    listener = ThroughputReport(lines.append)
+    session.streams.addListener(listener)
+    try:
+        send(session, pipeline, (1, "08:00:00", 1.0), (2, "08:00:00", 1.0))
+        deadline = time.monotonic() + 20
+        while len(lines) < 2 and time.monotonic() < deadline:  # listeners run behind the query
+            time.sleep(0.1)
+    finally:
+        session.streams.removeListener(listener)
+    assert lines[0] == "[silver] started"
+    assert lines[1].startswith("[silver batch 0] 2 rows in ")
 
 
 def test_several_queries_and_the_first_failure_surfaces(session, pipeline):
