@@ -16,7 +16,9 @@ THROUGHPUT = (
 def batch_throughput(progress) -> tuple:
     """The progress of one batch, in the order of ``THROUGHPUT``.
 
-    ``late_rows`` counts what the watermark dropped, after the partial aggregation.
+    ``input_rows`` counts each read of a batch: the serving sink reads its batches
+    twice. ``late_rows`` counts what the watermark dropped, after the partial
+    aggregation.
     """
     seconds = progress.durationMs.get("triggerExecution", 0) / 1000
     rows, state = progress.numInputRows, progress.stateOperators

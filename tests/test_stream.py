@@ -1,6 +1,8 @@
 import os
+import random
 import re
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -93,6 +95,32 @@ def test_stream_equals_batch_but_for_open_windows(session, pipeline):
         assert 0 < len(written) < len(batch)
 
 
+@pytest.mark.parametrize("grain", [ONE_MINUTE, QUARTER_HOUR], ids=lambda g: g.name)
+def test_random_arrivals_against_brute_force(session, pipeline, grain):
+    """Five runs of shuffled, partly late readings, replayed by hand."""
+    rng = random.Random(20251206)
+    width, lateness = {"1min": 60, "15min": 900}[grain.name], 120
+    watermark, windows, emitted = 0, {}, {}
+    for run in range(5):
+        arrivals = []
+        for _ in range(60):
+            second = max(0, rng.gauss(run * 900, 700)) // 1
+            arrivals.append((rng.choice((1, 1, 1, 2, 3)), int(second), round(rng.uniform(-5, 9), 3)))
+        rows = [(h, f"{10 + s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}", kw) for h, s, kw in arrivals]
+        send(session, pipeline, *rows)
+        for house, second, kw in arrivals:
+            start = second // width * width
+            if start + width > watermark:
+                windows.setdefault((str(house), start), []).append(kw)
+        watermark = max(watermark, max(s for _, s, _ in arrivals) - lateness)
+        for key in [k for k in windows if k[1] + width <= watermark]:
+            kws = windows.pop(key)
+            emitted[key[0], at("10:00") + key[1] * 1_000_000] = (sum(round(k * 1000) for k in kws) / 1000 / len(kws), max(kws))
+        written, _ = run_gold(session, replace(pipeline, decimals=3), grain)
+        assert written == emitted
+    assert len(emitted) > 5 and windows
+
+
 def test_layers_on_disk(session, pipeline):
     send(session, pipeline, *((h, f"{t}:00:01", 1.0) for h in range(20) for t in ("08", "09", "23")))
     assert sorted(os.listdir(f"{pipeline.silver}/dt=2025-12-06")) == ["hour=10", "hour=9"]
@@ -104,8 +132,6 @@ def test_layers_on_disk(session, pipeline):
 
 
 def test_salt_splits_an_hour_over_tasks(session, pipeline):
-    from dataclasses import replace
-
     salted = replace(pipeline, write_width=4, write_salt=4)
     send(session, pipeline, *((h, "08:00:01", 1.0) for h in range(50)), (1, "10:00:00", 1.0))
     written, _ = run_gold(session, salted)
@@ -202,8 +228,6 @@ def test_several_queries_and_the_first_failure_surfaces(session, pipeline):
 
 
 def test_trigger_settings(session, pipeline):
-    from dataclasses import replace
-
     landing = land(session, pipeline, [reading(1, "2025-12-06T08:00:00+00:00", 1.0)])
     live = replace(pipeline, available_now=False, ingest_trigger="1 second")
     query = start_ingest(envelope_stream(session, landing), live)
