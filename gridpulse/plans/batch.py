@@ -17,7 +17,6 @@ from gridpulse.plans.common import (
     DECIMALS,
     HOUSE,
     dense_gold,
-    dense_readings,
     encoded,
     mixed_envelopes,
     portable,

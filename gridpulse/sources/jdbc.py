@@ -5,12 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridpulse import schemas
-from gridpulse.functions.clock import Moment, instant
 
 
 @dataclass(frozen=True)
@@ -60,11 +59,34 @@ def serving_ddl(table: str) -> str:
 
 
 def serving_table(spark: SparkSession, database: Database, table: str) -> DataFrame:
-    """A serving table; filters on its columns run in the database."""
+    """A serving table; a filter on the house runs in the database.
+
+    For a time range take ``serving_slice``: Spark hands a timestamp down as text in
+    its session zone, which the database may read in another zone.
+    """
     return spark.read.format("jdbc").options(**database.options(table)).load()
 
 
-def serving_slice(spark: SparkSession, database: Database, table: str, since: Moment, until: Moment) -> DataFrame:
-    """The rows with window_start in [since, until]."""
-    start = F.col("window_start")
-    return serving_table(spark, database, table).filter(start.between(instant(since), instant(until)))
+def slice_predicates(since: int, until: int, parts: int) -> list[str]:
+    """SQL conditions that divide window_start in [since, until], in epoch microseconds.
+
+    The bounds carry their offset, so no zone setting matters: as plain text, both
+    passes of an autumn hour would be one instant.
+    """
+
+    def literal(us: int) -> str:
+        return f"TIMESTAMP WITH TIME ZONE '{datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=us)}'"
+
+    end = until + 1
+    parts = min(parts, end - since)
+    edges = [since + (end - since) * i // parts for i in range(parts)] + [end]
+    return [
+        f"window_start >= {literal(low)} AND window_start < {literal(high)}" for low, high in zip(edges, edges[1:])
+    ]
+
+
+def serving_slice(spark: SparkSession, database: Database, table: str, since: int, until: int) -> DataFrame:
+    """The rows with window_start in [since, until], read over all connections."""
+    options = database.options(table)
+    predicates = slice_predicates(since, until, database.connections)
+    return spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=predicates, properties=options)

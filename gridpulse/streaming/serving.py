@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse import schemas
-from gridpulse.functions.clock import Moment
 from gridpulse.operators.gold import with_partition_keys
 from gridpulse.operators.layout import balance_for_write
 from gridpulse.operators.serve import in_range, to_serving
@@ -21,8 +20,8 @@ from gridpulse.sources.jdbc import Database, serving_slice
 class ServingTable(Protocol):
     """What the sink needs of a table. One writer per table."""
 
-    def slice(self, spark: SparkSession, since: Moment, until: Moment) -> DataFrame:
-        """The rows with window_start in [since, until], with the filter pushed to the store."""
+    def slice(self, spark: SparkSession, since: int, until: int) -> DataFrame:
+        """The rows with window_start in [since, until], in epoch microseconds, filtered by the store."""
 
     def append(self, rows: DataFrame) -> None: ...
 
@@ -34,7 +33,7 @@ class JdbcServing:
     database: Database
     table: str
 
-    def slice(self, spark: SparkSession, since: Moment, until: Moment) -> DataFrame:
+    def slice(self, spark: SparkSession, since: int, until: int) -> DataFrame:
         return serving_slice(spark, self.database, self.table, since, until)
 
     def append(self, rows: DataFrame) -> None:
@@ -56,7 +55,7 @@ class ParquetServing:
     def read(self, spark: SparkSession) -> DataFrame:
         return gold_table(spark, self.path)
 
-    def slice(self, spark: SparkSession, since: Moment, until: Moment) -> DataFrame:
+    def slice(self, spark: SparkSession, since: int, until: int) -> DataFrame:
         return in_range(self.read(spark), since, until)
 
     def append(self, rows: DataFrame) -> None:

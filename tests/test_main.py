@@ -6,7 +6,7 @@ from gridpulse.__main__ import main
 from gridpulse.config import GRANULARITIES, ONE_MINUTE, Pipeline
 from gridpulse.session import shared_folder
 from gridpulse.sources.files import gold_table
-from gridpulse.sources.jdbc import Database, serving_table
+from gridpulse.sources.jdbc import Database, serving_table, slice_predicates
 from gridpulse.sources.kafka import topic_options, topic_stream
 from gridpulse.streaming.serving import JdbcServing
 from helpers import land, reading, rolled
@@ -63,3 +63,10 @@ def test_database_calls():
     serving_table(spark, database, "agg")
     spark.read.format.assert_called_once_with("jdbc")
     spark.read.format.return_value.options.assert_called_once_with(**database.options("agg"))
+    JdbcServing(database, "agg").slice(spark, 0, 1)
+    spark.read.jdbc.assert_called_once_with(
+        "jdbc:x",
+        "agg",
+        predicates=slice_predicates(0, 1, database.connections),
+        properties={"driver": database.driver, "user": "u", "password": "p"},
+    )

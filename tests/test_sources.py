@@ -1,3 +1,4 @@
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -5,7 +6,7 @@ import pytest
 from gridpulse import schemas
 from gridpulse.config import GRANULARITIES, ONE_MINUTE, Pipeline
 from gridpulse.session import job_session, shared_folder
-from gridpulse.sources.jdbc import Database, serving_ddl
+from gridpulse.sources.jdbc import Database, serving_ddl, slice_predicates
 from gridpulse.sources.kafka import topic_options
 from gridpulse.sources.objectstore import s3a_settings
 
@@ -42,6 +43,19 @@ def test_database_options_and_secret():
     assert "user" not in Database("jdbc:x").options("t")
 
 
+def test_slices_name_their_offset_and_leave_no_gap():
+    first, last = 1761438600000000, 1761442200000001
+    one = slice_predicates(first, last, 1)
+    assert one == [
+        "window_start >= TIMESTAMP WITH TIME ZONE '2025-10-26 00:30:00+00:00' "
+        "AND window_start < TIMESTAMP WITH TIME ZONE '2025-10-26 01:30:00.000002+00:00'"
+    ]
+    several = [re.findall("'(.*?)'", p) for p in slice_predicates(first, last, 5)]
+    assert len(several) == 5 and all(a[1] == b[0] for a, b in zip(several, several[1:]))
+    assert [several[0][0], several[-1][1]] == re.findall("'(.*?)'", one[0])
+    assert len(slice_predicates(first, first, 8)) == 1
+
+
 def test_serving_ddl():
     ddl = serving_ddl("agg_1min")
     assert "house_id TEXT NOT NULL" in ddl and "window_start TIMESTAMPTZ NOT NULL" in ddl
