@@ -74,9 +74,12 @@ def panel_sql(spark: SparkSession, statement: str, house_id: str, **tables: Data
     return spark.sql(text, args={"house_id": house_id}) if ":house_id" in text else spark.sql(text)
 
 
-def peek(table: DataFrame, n: int = 10) -> DataFrame:
-    """The first rows by house and time: a look at the table that is always the same."""
-    return table.orderBy(*schemas.SERVING_KEY).limit(n)
+def peek(table: DataFrame, n: int = 10, *, ordered: bool = True) -> DataFrame:
+    """A few rows: the first by house and time, always the same, or just any.
+
+    The first rows take a pass over the whole table; any rows take a file or two.
+    """
+    return (table.orderBy(*schemas.SERVING_KEY) if ordered else table).limit(n)
 
 
 def latest(table: DataFrame) -> int | None:

@@ -96,6 +96,10 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM conversations""",
         "stream_progress": """SELECT 'silver' AS query, (SELECT COUNT(*) FROM events)
     + 2 * (SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM conversations) AS input_rows""",
         "stream_chain_15min": f"{_gold('15min')} SELECT {_SERVING} FROM g WHERE {_closed()}",
+        "stream_all_layers": " UNION ALL ".join(
+            f"SELECT '{grain}' AS grain, * FROM ({_gold(grain)} SELECT {_SERVING} FROM g WHERE {_closed()})"
+            for grain in _WIDTH
+        ),
         "profile_hour_frac": f"{_H} SELECT event_id, ROUND(h, 6) AS hour_frac FROM p",
         "profile_pv": f"""{_H} SELECT event_id, ROUND({_pv(6)}, 6) AS expected_pv_6_kw,
     ROUND({_pv(8)}, 6) AS expected_pv_8_kw FROM p""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +112,21 @@ def stream_chain_of(grain: Granularity):
     return query
 
 
+def stream_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five queries; those of the two widths run side by side in one session."""
+    session, pipeline = backfill(spark, "all")
+    landing = land(encoded(dense_readings(session, sf_dir)), pipeline)
+    tables = {g: ParquetServing(pipeline.serving(g), pipeline.zone).create(session) for g in GRANULARITIES}
+    drain(start_ingest(envelope_stream(session, landing), pipeline))
+    drain(*(start_gold(session, grain, pipeline) for grain in GRANULARITIES))
+    drain(*(start_serving(session, grain, pipeline, table) for grain, table in tables.items()))
+    served = (
+        gold_table(spark, table.path).select(F.lit(grain.name).alias("grain"), *schemas.SERVING_COLUMNS)
+        for grain, table in tables.items()
+    )
+    return portable(reduce(DataFrame.unionAll, served))
+
+
 def serving_replay_of(grain: Granularity):
     """Gold -> serving, then all of it again after the loss of the checkpoint."""
 
@@ -134,6 +150,7 @@ def queries() -> dict:
     registered = {
         "stream_silver": stream_silver,
         "stream_progress": stream_progress,
+        "stream_all_layers": stream_all_layers,
         "stream_chain_15min": stream_chain_of(QUARTER_HOUR),
     }
     for grain in GRANULARITIES:

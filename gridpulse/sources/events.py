@@ -48,7 +48,7 @@ def readings(source: DataFrame, *, house: str = "event_type", clock: str = "dens
     return source.select(
         "event_id",
         F.col(house).alias("house_id"),
-        (F.get_json_object("props", "$.k").cast("double") / F.lit(10.0)).alias("pv_panel_kw"),
+        (F.get_json_object("props", "$.k").try_cast("double") / F.lit(10.0)).alias("pv_panel_kw"),
         F.when(F.col("value") >= CHARGER_KW, F.lit(CHARGER_KW)).otherwise(F.lit(0.0)).alias("ev_charging_kw"),
         F.col("value").alias("power_kw"),
         F.lit(NOMINAL_VOLT).alias("voltage"),

@@ -69,6 +69,7 @@ def test_peek_is_ordered_and_bounded(stored_gold):
     rows = serve.peek(stored_gold, 10).collect()
     keys = [(r.house_id, r.window_start) for r in rows]
     assert len(rows) == 10 and keys == sorted(keys)
+    assert serve.peek(stored_gold, 10, ordered=False).count() == 10
 
 
 def test_range_prunes_folders_and_row_groups(stored_gold):
