@@ -54,7 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("job", choices=("ingest", "gold", "serve", "all"))
     parser.add_argument("--once", action="store_true", help="read what has arrived, then stop")
     parser.add_argument("--landing", help="folder of Parquet envelopes to ingest instead of a topic")
-    parser.add_argument("--starting-offsets", default="latest")
+    parser.add_argument(
+        "--starting-offsets", default="latest", help="of the first start; with --once take 'earliest' to read a topic"
+    )
     parser.add_argument("--max-offsets", type=int, help="rows a batch takes from the topic")
     parser.add_argument("--min-partitions", type=int, help="read tasks per batch of the topic")
     parser.add_argument("--cluster", action="store_true", help="shuffle Silver by hour for fewer files")

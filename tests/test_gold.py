@@ -19,7 +19,9 @@ def rows_of(session, *triples):
 
 
 def test_windows_are_half_open_and_start_at_the_epoch(session):
-    df = rows_of(session, (1, "10:00:00", 1.0), (1, "10:00:59.999999", 3.0), (1, "10:01:00", 10.0), (2, "10:00:30", 7.0))
+    df = rows_of(
+        session, (1, "10:00:00", 1.0), (1, "10:00:59.999999", 3.0), (1, "10:01:00", 10.0), (2, "10:00:30", 7.0)
+    )
     assert rolled(roll_up(df, "1 minute")) == {
         ("1", at("10:00")): (2.0, 3.0),
         ("1", at("10:01")): (10.0, 10.0),
@@ -30,7 +32,8 @@ def test_windows_are_half_open_and_start_at_the_epoch(session):
 
 def test_window_end_and_local_keys(session):
     row = gold.with_partition_keys(roll_up(rows_of(session, (1, "23:05:00", 1.0)), "15 minutes"), BUSINESS_ZONE)
-    row = row.select(F.unix_micros("window_start"), F.unix_micros("window_end"), F.col("event_date").cast("string"), "hour").first()
+    start, end = F.unix_micros("window_start"), F.unix_micros("window_end")
+    row = row.select(start, end, F.col("event_date").cast("string"), "hour").first()
     assert tuple(row) == (at("23:00"), at("23:15"), "2025-12-07", 0)
 
 
@@ -74,7 +77,8 @@ def test_plain_and_fixed_point_means_agree(spark, sf_dir, grain):
     both = roll_up(df, grain.width).alias("a").join(
         roll_up(df, grain.width, decimals=3).alias("b"), ["house_id", "window_start"], "full"
     )
-    gaps = [F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))) for c in ("avg_power_kw", "avg_pv_panel_kw", "avg_ev_charging_kw")]
+    means = ("avg_power_kw", "avg_pv_panel_kw", "avg_ev_charging_kw")
+    gaps = [F.max(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}"))) for c in means]
     missing = F.sum(F.when(F.col("a.avg_power_kw").isNull() | F.col("b.avg_power_kw").isNull(), 1).otherwise(0))
     *gaps, missing = both.agg(*gaps, missing).first()
     assert missing == 0 and max(gaps) < 1e-9

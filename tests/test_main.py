@@ -22,7 +22,8 @@ def root(spark, monkeypatch):
 
 def test_all_jobs_once(spark, root, capsys):
     pipeline = Pipeline(root=root)
-    landing = land(spark, pipeline, [reading(h, f"2025-12-06T10:{m:02d}:00+00:00", 1.0) for h in (1, 2) for m in range(40)])
+    sent = [reading(h, f"2025-12-06T10:{m:02d}:00+00:00", 1.0) for h in (1, 2) for m in range(40)]
+    landing = land(spark, pipeline, sent)
     main(["all", "--once", "--landing", landing])
     lines = capsys.readouterr().out.splitlines()
     reported = {line.split(" ")[0] for line in lines if "rows/s" in line}

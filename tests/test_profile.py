@@ -22,7 +22,8 @@ def test_expected_profile_points(spark):
 
 
 def test_parameters_may_be_columns(spark):
-    df = spark.createDataFrame([(18.0, 6.0, 17.5, 1.0, 0.8), (18.0, 8.0, 18.5, 1.0, 1.2)], "h DOUBLE, size DOUBLE, s DOUBLE, d DOUBLE, k DOUBLE")
+    houses = [(18.0, 6.0, 17.5, 1.0, 0.8), (18.0, 8.0, 18.5, 1.0, 1.2)]
+    df = spark.createDataFrame(houses, "h DOUBLE, size DOUBLE, s DOUBLE, d DOUBLE, k DOUBLE")
     rows = df.select(
         profile.expected_pv("h", "size"), profile.ev_session("h", "s", "d"), profile.base_load("h", "k")
     ).collect()

@@ -20,9 +20,12 @@ def database(sf_dir):
 
 def exact(rows):
     """Rows as a sorted list in which floats compare bit by bit and types count."""
-    return sorted(
-        (tuple((type(v).__name__, v.hex() if isinstance(v, float) else v) for v in r) for r in map(tuple, rows)), key=repr
-    )
+
+
+    def bits(value):
+        return type(value).__name__, value.hex() if isinstance(value, float) else value
+
+    return sorted((tuple(map(bits, row)) for row in map(tuple, rows)), key=repr)
 
 
 def test_each_query_has_its_sql():

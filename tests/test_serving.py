@@ -11,11 +11,11 @@ from gridpulse.operators.gold import roll_up, with_partition_keys
 from gridpulse.operators.layout import balance_for_write
 from gridpulse.operators.retention import expire, retain
 from gridpulse.operators.silver import silver
+from gridpulse.plans.batch import PANEL_STATEMENT
 from gridpulse.sources.events import events, readings
-from gridpulse.sources.files import gold_table
+from gridpulse.sources.files import envelope_stream, gold_table
 from gridpulse.streaming.jobs import drain, start_gold, start_ingest, start_serving
 from gridpulse.streaming.serving import ParquetServing, replay_safe
-from gridpulse.sources.files import envelope_stream
 from helpers import at, envelopes, land, plan, reading, rolled
 
 
@@ -28,7 +28,8 @@ def stored_gold(spark):
     pipeline = Pipeline(root=shared_folder(spark, "gold"))
     session = job_session(spark, pipeline)
     rolled_up = roll_up(readings(events(session, "/root/testdata/sf0.001"), clock="real"), "15 minutes")
-    rows = balance_for_write(with_partition_keys(rolled_up, BUSINESS_ZONE), schemas.GOLD_PARTITIONS, schemas.SERVING_KEY)
+    keyed = with_partition_keys(rolled_up, BUSINESS_ZONE)
+    rows = balance_for_write(keyed, schemas.GOLD_PARTITIONS, schemas.SERVING_KEY)
     path = pipeline.gold(QUARTER_HOUR)
     rows.write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(path)
     return gold_table(session, path)
@@ -57,12 +58,12 @@ def test_panel_is_one_house_in_time_order(session):
 
 def test_dashboard_sql_runs_unchanged_with_a_bound_house(session):
     table = small_gold(session, (1, "10:01:00", 3.0), (1, "10:00:00", 1.0), (2, "10:01:00", 9.0))
-    statement = "SELECT window_start AS time, avg_power_kw AS value FROM agg WHERE house_id = '$house_id' ORDER BY window_start ASC;"
-    rows = serve.panel_sql(session, statement, "1", agg=table)
+    rows = serve.panel_sql(session, PANEL_STATEMENT, "1", readings_rolled_up=table)
     assert rows.collect() == serve.panel(table, "1", "power").collect()
-    assert serve.panel_sql(session, statement, "1' OR '1'='1", agg=table).count() == 0
+    assert serve.panel_sql(session, PANEL_STATEMENT, "1' OR '1'='1", readings_rolled_up=table).count() == 0
     assert serve.panel_sql(session, "SELECT DISTINCT house_id FROM agg ORDER BY house_id;", "", agg=table).count() == 2
-    assert serve.panel_sql(session, "SELECT * FROM agg LIMIT 10;", "", agg=table).columns == list(schemas.SERVING_COLUMNS)
+    everything = serve.panel_sql(session, "SELECT * FROM agg LIMIT 10;", "", agg=table)
+    assert everything.columns == list(schemas.SERVING_COLUMNS)
 
 
 def test_peek_is_ordered_and_bounded(stored_gold):
@@ -76,7 +77,8 @@ def test_range_prunes_folders_and_row_groups(stored_gold):
     last = serve.latest(stored_gold)
     series = serve.panel(stored_gold, "click", "power", since=last - 6 * 3_600_000_000, until=last)
     scan = plan(series)
-    pruned, pushed, read = (scan.split(f"{key}: ")[1].splitlines()[0] for key in ("PartitionFilters", "PushedFilters", "ReadSchema"))
+    keys = ("PartitionFilters", "PushedFilters", "ReadSchema")
+    pruned, pushed, read = (scan.split(f"{key}: ")[1].splitlines()[0] for key in keys)
     assert "event_date" in pruned
     assert "EqualTo(house_id,click)" in pushed
     assert "GreaterThanOrEqual(window_start," in pushed and "LessThanOrEqual(window_start," in pushed
@@ -96,7 +98,8 @@ def test_dashboard_and_default_house(session):
 
 def test_latest(session, stored_gold):
     plain = stored_gold.drop("event_date", "hour")
-    assert serve.latest(stored_gold) == serve.latest(plain) == plain.agg(F.unix_micros(F.max("window_start"))).first()[0]
+    expected = plain.agg(F.unix_micros(F.max("window_start"))).first()[0]
+    assert serve.latest(stored_gold) == serve.latest(plain) == expected
     assert serve.latest(stored_gold.filter("house_id = 'nobody'")) is None
 
 
@@ -147,7 +150,8 @@ class Crashing:
 
 def prepared(session, pipeline):
     """Twelve minutes of five houses, in Gold."""
-    rows = [reading(h, f"2025-12-06T10:{m:02d}:{s:02d}+00:00", float(s)) for h in range(5) for m in range(12) for s in (1, 21, 41)]
+    times = [(m, s) for m in range(12) for s in (1, 21, 41)]
+    rows = [reading(h, f"2025-12-06T10:{m:02d}:{s:02d}+00:00", float(s)) for h in range(5) for m, s in times]
     drain(start_ingest(envelope_stream(session, land(session, pipeline, rows)), pipeline))
     drain(start_gold(session, ONE_MINUTE, pipeline))
     return rolled(gold_table(session, pipeline.gold(ONE_MINUTE)))

@@ -22,8 +22,8 @@ def test_topic_options():
 
 
 def test_object_store_settings_come_from_the_environment():
-    given = {"GRIDPULSE_S3_ENDPOINT": "http://store:9000", "GRIDPULSE_S3_ACCESS_KEY": "a", "GRIDPULSE_S3_SECRET_KEY": "b"}
-    settings = s3a_settings(given)
+    given = {"ENDPOINT": "http://store:9000", "ACCESS_KEY": "a", "SECRET_KEY": "b"}
+    settings = s3a_settings({f"GRIDPULSE_S3_{key}": value for key, value in given.items()})
     assert settings["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert settings["spark.hadoop.fs.s3a.access.key"] == "a" and settings["spark.hadoop.fs.s3a.secret.key"] == "b"
     assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
@@ -32,9 +32,8 @@ def test_object_store_settings_come_from_the_environment():
 
 
 def test_database_options_and_secret():
-    database = Database.from_env(
-        {"GRIDPULSE_JDBC_URL": "jdbc:postgresql://db/sensors", "GRIDPULSE_JDBC_USER": "u", "GRIDPULSE_JDBC_PASSWORD": "s3cret"}
-    )
+    given = {"URL": "jdbc:postgresql://db/sensors", "USER": "u", "PASSWORD": "s3cret"}
+    database = Database.from_env({f"GRIDPULSE_JDBC_{key}": value for key, value in given.items()})
     options = database.write_options("agg")
     assert options["dbtable"] == "agg" and options["driver"] == "org.postgresql.Driver"
     assert (options["user"], options["password"]) == ("u", "s3cret")
@@ -63,12 +62,14 @@ def test_serving_ddl():
 
 
 def test_pipeline_from_env():
-    pipeline = Pipeline.from_env({"GRIDPULSE_ROOT": "s3a://lake/", "GRIDPULSE_STATE_PARTITIONS": "64", "GRIDPULSE_GOLD_TRIGGER": "30 seconds"})
+    given = {"ROOT": "s3a://lake/", "STATE_PARTITIONS": "64", "GOLD_TRIGGER": "30 seconds"}
+    pipeline = Pipeline.from_env({f"GRIDPULSE_{key}": value for key, value in given.items()})
     assert pipeline.silver == "s3a://lake/silver/readings" and pipeline.state_partitions == 64
     assert pipeline.trigger(pipeline.gold_trigger) == {"processingTime": "30 seconds"}
     assert pipeline.trigger(pipeline.ingest_trigger) == {}
     assert pipeline.backfill().trigger("1 minute") == {"availableNow": True}
-    assert len({pipeline.checkpoint(q) for q in ("silver", "gold_1min", "gold_15min", "serving_1min", "serving_15min")}) == 5
+    queries = ("silver", "gold_1min", "gold_15min", "serving_1min", "serving_15min")
+    assert len({pipeline.checkpoint(q) for q in queries}) == 5
     moved = Pipeline.from_env({"GRIDPULSE_ROOT": "r", "GRIDPULSE_GOLD_1MIN_PATH": "s3a://old/gold"})
     assert (moved.gold(ONE_MINUTE), moved.silver) == ("s3a://old/gold", "r/silver/readings")
     with pytest.raises(ValueError):

@@ -35,6 +35,10 @@ def run_gold(session, pipeline, grain=ONE_MINUTE):
     return rolled(gold_table(session, pipeline.gold(grain))), query
 
 
+def parquet_files(path):
+    return [os.path.join(folder, f) for folder, _, files in os.walk(path) for f in files if f.endswith(".parquet")]
+
+
 def dropped(query):
     return sum(row[5] for row in throughput(query))
 
@@ -115,7 +119,8 @@ def test_random_arrivals_against_brute_force(session, pipeline, grain):
         watermark = max(watermark, max(s for _, s, _ in arrivals) - lateness)
         for key in [k for k in windows if k[1] + width <= watermark]:
             kws = windows.pop(key)
-            emitted[key[0], at("10:00") + key[1] * 1_000_000] = (sum(round(k * 1000) for k in kws) / 1000 / len(kws), max(kws))
+            mean = sum(round(k * 1000) for k in kws) / 1000 / len(kws)
+            emitted[key[0], at("10:00") + key[1] * 1_000_000] = (mean, max(kws))
         written, _ = run_gold(session, replace(pipeline, decimals=3), grain)
         assert written == emitted
     assert len(emitted) > 5 and windows
@@ -125,9 +130,10 @@ def test_layers_on_disk(session, pipeline):
     send(session, pipeline, *((h, f"{t}:00:01", 1.0) for h in range(20) for t in ("08", "09", "23")))
     assert sorted(os.listdir(f"{pipeline.silver}/dt=2025-12-06")) == ["hour=10", "hour=9"]
     assert os.listdir(f"{pipeline.silver}/dt=2025-12-07") == ["hour=0"]
-    assert silver_table(session, pipeline.silver).schema.simpleString() == session.createDataFrame([], schemas.SILVER).schema.simpleString()
+    declared = session.createDataFrame([], schemas.SILVER).schema
+    assert silver_table(session, pipeline.silver).schema.simpleString() == declared.simpleString()
     run_gold(session, pipeline)
-    hours = [os.path.join(d, f) for d, _, fs in os.walk(pipeline.gold(ONE_MINUTE)) for f in fs if f.endswith(".parquet")]
+    hours = parquet_files(pipeline.gold(ONE_MINUTE))
     assert len(hours) == 2 and all(re.search(r"event_date=2025-12-06/hour=(9|10)/", f) for f in hours)
 
 
@@ -135,7 +141,7 @@ def test_salt_splits_an_hour_over_tasks(session, pipeline):
     salted = replace(pipeline, write_width=4, write_salt=4)
     send(session, pipeline, *((h, "08:00:01", 1.0) for h in range(50)), (1, "10:00:00", 1.0))
     written, _ = run_gold(session, salted)
-    files = [f for d, _, fs in os.walk(salted.gold(ONE_MINUTE)) for f in fs if f.endswith(".parquet")]
+    files = parquet_files(salted.gold(ONE_MINUTE))
     assert len(written) == 50 and 1 < len(files) <= 4
 
 
@@ -144,7 +150,7 @@ def test_clustered_ingest_writes_one_file_per_hour(session, pipeline):
     for part in range(4):
         landing = land(session, pipeline, payloads[part * 20 : part * 20 + 20])
     drain(start_ingest(envelope_stream(session, landing), pipeline, cluster=True))
-    files = [f for d, _, fs in os.walk(pipeline.silver) for f in fs if f.endswith(".parquet")]
+    files = parquet_files(pipeline.silver)
     assert len(files) == 1 and silver_table(session, pipeline.silver).count() == 80
 
 
@@ -157,7 +163,7 @@ def test_clustered_ingest_splits_a_hot_hour(session, pipeline):
     land(session, pipeline, [reading(2, "2025-12-06T09:00:00+00:00", 1.0)])
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
     drain(start_ingest(envelope_stream(session, landing), pipeline, cluster=True))
-    hot = [f for d, _, fs in os.walk(pipeline.silver) for f in fs if "hour=9" in d and f.endswith(".parquet")]
+    hot = [f for f in parquet_files(pipeline.silver) if "/hour=9/" in f]
     assert len(hot) > 1 and silver_table(session, pipeline.silver).count() == 4001
 
 
