@@ -51,18 +51,16 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     filed as readings, with a text for a time and for a voltage; and JSON objects of
     other fields.
     """
-    documents = table(spark, sf_dir, "documents")
-    plain = documents.select(F.col("text").cast("binary").alias("value"))
-    misfiled = documents.select(
-        wire.encode(
-            F.col("doc_id").alias("house_id"),
-            F.col("text").alias("timestamp"),
-            F.col("n_chars").alias("power_kw"),
-            F.col("lang").alias("voltage"),
-        ).alias("value")
+    misfiled = wire.encode(
+        F.col("doc_id").alias("house_id"),
+        F.col("text").alias("timestamp"),
+        F.col("n_chars").alias("power_kw"),
+        F.col("lang").alias("voltage"),
     )
+    both = F.array(F.col("text").cast("binary"), misfiled)
+    documents = table(spark, sf_dir, "documents").select(F.explode(both).alias("value"))
     foreign = table(spark, sf_dir, "conversations").select(
         wire.encode("conv_id", "turn", "role", "text").alias("value")
     )
     sent = encoded(real_readings(spark, sf_dir, house="user_id"))
-    return sent.unionAll(plain).unionAll(misfiled).unionAll(foreign)
+    return sent.unionAll(documents).unionAll(foreign)

@@ -124,6 +124,19 @@ def test_retention(session, stored_gold, pipeline):
     assert rolled(gold_table(session, f"{pipeline.root}/kept")) == rolled(week)
 
 
+def test_another_engine_reads_the_stored_layer(stored_gold):
+    duckdb = pytest.importorskip("duckdb")
+    folder = stored_gold.inputFiles()[0].removeprefix("file://").split("/event_date=")[0]
+    files = f"read_parquet('{folder}/*/*/*.parquet', hive_partitioning = true)"
+    columns = "house_id, epoch_us(window_start), avg_power_kw, max_power_kw, CAST(event_date AS VARCHAR), hour"
+    rows = duckdb.sql(f"SELECT {columns} FROM {files}").fetchall()
+    day = F.col("event_date").cast("string")
+    here = stored_gold.select("house_id", F.unix_micros("window_start"), "avg_power_kw", "max_power_kw", day, "hour")
+    assert sorted(rows) == sorted(map(tuple, here.collect()))
+    stored = duckdb.sql(f"SELECT name, type FROM parquet_schema('{folder}/*/*/*.parquet')").fetchall()
+    assert dict(stored)["window_start"] == "INT64"
+
+
 # --- the serving sink ----------------------------------------------------------
 
 

@@ -126,6 +126,16 @@ def test_random_arrivals_against_brute_force(session, pipeline, grain):
     assert len(emitted) > 5 and windows
 
 
+def test_backlog_read_in_steps_of_arrival(session, pipeline):
+    """Silver written in order and read file by file closes the same windows as one batch."""
+    for quarter in range(4):
+        send(session, pipeline, *((h, f"1{quarter}:{m:02d}:05", float(m + h)) for h in (1, 2) for m in range(0, 60, 5)))
+    stepped = replace(pipeline, root=f"{pipeline.root}/steps", names={"silver": pipeline.silver}, max_files_per_trigger=1)
+    written, query = run_gold(session, stepped)
+    assert len([1 for row in throughput(query) if row[2]]) == 4 and dropped(query) == 0
+    assert written == run_gold(session, pipeline)[0] and len(written) == 94
+
+
 def test_layers_on_disk(session, pipeline):
     send(session, pipeline, *((h, f"{t}:00:01", 1.0) for h in range(20) for t in ("08", "09", "23")))
     assert sorted(os.listdir(f"{pipeline.silver}/dt=2025-12-06")) == ["hour=10", "hour=9"]
