@@ -129,3 +129,18 @@ def test_local_keys_equal_the_calendar_of_the_zone(spark, zone):
     rows = quarters(1704067200000000 - 1, 70_000).unionAll(quarters(-900000000000, 2_000))
     wrong = rows.filter((local_date("t", zone) != F.to_date("t")) | (local_hour("t", zone) != F.hour("t")))
     assert wrong.count() == 0 and rows.filter(local_date("t", zone).isNull()).count() == 0
+
+
+def test_parse_equals_a_plain_projection_of_the_fields(session):
+    good = '{"house_id":1,"timestamp":"2025-12-06T10:00:00Z","power_kw":1.5}'
+    payloads = [
+        good, f"[{good}]", f"[{good},{good}]", f"{good}{good}", f"{good} trailing", good[:-1], "[]", "{}", "null", "true",
+        '"text"', "1e5", " ", None, "", '{"house_id":{"a":1}}', '{"house_id":[1]}', '{"house_id":true,"house_id":2}',
+        '{"power_kw":"1.5"}', '{"power_kw":Infinity}', '{"power_kw":"NaN"}', '{"power_kw":1e400}', '{"voltage":[230]}',
+        "{'house_id':1}", '{"HOUSE_ID":1}', '{"house_id":"\\u0000\\ud83d\\ude00"}', "\ufeff" + good,
+    ]
+    rows = [(None if p is None else bytearray(p.encode()),) for p in payloads] + [(bytearray(b"\xff\xfe{"),)]
+    envelope = session.createDataFrame(rows, schemas.ENVELOPE)
+    plain = envelope.select(wire.decode("value").alias("r")).select("r.*")
+    assert list(map(repr, parse(envelope).collect())) == list(map(repr, plain.collect()))
+    assert parse(envelope).count() == len(rows)
