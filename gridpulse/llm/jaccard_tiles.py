@@ -29,6 +29,7 @@ CACHED_WORDS = 200_000
 CHUNK_KEYS = 1_000_000  # keys that a worker pre-aggregates at once
 TILE_SHINGLES = 1_000_000  # of a block; a tile holds two
 TILE_SETS = 4_096
+BROADCAST_MEMBERS = 1_000_000  # documents of clusters, some 60 bytes each, that are sent to every executor
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -302,6 +303,8 @@ def verified_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule:
             yield rows(node=part.column("node"), spots=part.column("spots"), content=content)
 
     texts = docs.select("doc_id", "text").where("text is not null")
+    if members.count() <= BROADCAST_MEMBERS:  # beyond, the texts are shuffled to them
+        per_doc = F.broadcast(per_doc)
     kind = per_doc.schema["spots"].dataType.simpleString()
     whole = texts.join(per_doc, "doc_id").mapInArrow(run, f"node long, spots {kind}, content binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -347,7 +350,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     links = verified_links(docs, sets, clusters, rule)
     linked = connected_components(links, "links").withColumnRenamed("component", "group")
     grouped = sets.join(linked, "node", "left").select("doc_id", "n_shingles", F.coalesce("group", "node").alias("group"))
-    first = grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    first = grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    first = stored(first.where("n > 1").drop("n"), "groups")  # written, so that a large group can be split in the join
     found = grouped.join(first, "group", "left")
-    alone = F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", alone.alias("component_id"))
+    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
