@@ -232,6 +232,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words of at least some count, as low as ``most`` of them allow; no task gathers more than its share."""
+    step = F.floor(F.log("n") / np.log(1.02)).cast("int")  # ends in a few thousand classes of counts
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
+    low, total = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        low = row["step"]
+    return counts.where(step >= low if low is not None else F.lit(False))
+
+
 def score_texts(docs: DataFrame, training: Column | None = None, order: int = ORDER, share: float = SHARE) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text), learning from those where ``training`` holds.
 
@@ -249,7 +262,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, order: int = OR
     trie = spark.sparkContext.broadcast([tuple(vars(level).values()) for level in levels])  # plain arrays need no class there
     counts = stored(word_counts(learned), "words")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    known = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
+    known = most_frequent(counts, HEAD_WORDS).toArrow()
     by = np.argsort(known.column("word").to_numpy().view(np.uint64))
     head = spark.sparkContext.broadcast(
         (known.column("word").to_numpy().view(np.uint64)[by], known.column("n").to_numpy().astype(np.float64)[by])
