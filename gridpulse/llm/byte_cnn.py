@@ -153,7 +153,8 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample_row
 
     small_batches(labelled.sparkSession)
     usable = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text != ''")
-    sample = bounded_sample(usable, "lang", per_language, sample_rows)
+    chosen = bounded_sample(usable.select("doc_id", "lang"), "lang", per_language, sample_rows)
+    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     pieces = sample.select("text", "lang").mapInArrow(cut, "piece binary, lang string").toArrow()
     pairs = sorted(zip(pieces.column("lang").to_pylist(), pieces.column("piece").to_pylist()))
     if not pairs:

@@ -197,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))  # a document's worst mark
     usable = docs.select("doc_id", "text").where("text is not null").where(~held_out())
-    sample = bounded_sample(usable.join(marked, "doc_id"), "quality", per_label, 2 * per_label)
+    chosen = bounded_sample(usable.select("doc_id").join(marked, "doc_id"), "quality", per_label, 2 * per_label)
+    sample = usable.join(F.broadcast(chosen), "doc_id")
     found = sample.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "quality").toArrow()
     rows_ = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "quality", "text"))))
     if not rows_:
