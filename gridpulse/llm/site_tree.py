@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import chunks, rows, small_batches
+from gridpulse.llm.common import chunks, rows, small_batches, stored
 
 LEAST_IMPORTANCE = 0.3  # branches below are cut
 LEAST_PAGES = 4  # distinct pages that a branch needs before it is judged
@@ -307,5 +307,6 @@ def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
     small_batches(pages.sparkSession)
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = own.join(noise_by_host(pages, least), "host", "left").select("page_id", "url", "html", "noise")
+    noise = stored(noise_by_host(pages, least), "noise")  # written, so that its size is known and decides the join
+    joined = own.join(noise, "host", "left").select("page_id", "url", "html", "noise")
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
