@@ -186,7 +186,8 @@ def digests(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     page = page.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     size = F.octet_length("html")
     equal = page.where(size >= least).groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    found = page.join(equal.where("n > 1 and first is not null").select("sha", "first"), "sha", "left")
+    equal = stored(equal.where("n > 1 and first is not null").select("sha", "first"), "equal")  # its size decides the join
+    found = page.join(equal, "sha", "left")
     revisit = F.col("first").isNotNull() & (size >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
     return found.select("page_id", "url", "html", "sha", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 
