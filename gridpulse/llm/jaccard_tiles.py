@@ -30,6 +30,9 @@ CHUNK_KEYS = 1_000_000  # keys that a worker pre-aggregates at once
 TILE_SHINGLES = 1_000_000  # of a block; a tile holds two
 TILE_SETS = 4_096
 BROADCAST_MEMBERS = 1_000_000  # documents of clusters, some 60 bytes each, that are sent to every executor
+SAMPLED_TEXTS = 4_000
+SAMPLED_SHINGLES = 4_000  # of a text, by hash
+MOST_COMMON = 200_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,21 +137,50 @@ def place(node: int, index: int) -> int:
     return int((np.array([node], np.int64).view(np.uint64) ^ band_tag(index)).view(np.int64)[0])
 
 
-def bucket_keys(shingles: np.ndarray, at: Band, rule: Rule) -> np.ndarray:
+def bucket_keys(rare: np.ndarray, common: np.ndarray, at: Band, rule: Rule) -> np.ndarray:
     """Keys of which linked sets share one: the content of each full bucket, and of a set
-    with too many empty buckets also the elements of its prefix in hash order."""
-    tag = band_tag(at.index)
-    bucket = ((shingles >> np.uint64(32)) * np.uint64(at.buckets)) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-    content = np.add.reduceat(mix(shingles ^ tag), first)
-    keys = mix(content + mix(bucket[first] + tag))
-    if at.buckets - len(first) > at.spare:
-        n = len(shingles)
-        prefix = shingles[: n - -(-n * rule.num // rule.den) + 1]
+    with too many empty buckets also the elements of its prefix.
+
+    Only the rare shingles fill buckets: those of two sets differ in no more elements than the sets do, whatever
+    is held to be common, and what many texts share makes no key. The prefix takes rare shingles before common ones.
+    """
+    tag, keys, full = band_tag(at.index), np.empty(0, np.uint64), 0
+    if len(rare):
+        bucket = ((rare >> np.uint64(32)) * np.uint64(at.buckets)) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        content = np.add.reduceat(mix(rare ^ tag), first)
+        keys, full = mix(content + mix(bucket[first] + tag)), len(first)
+    if at.buckets - full > at.spare:
+        n = len(rare) + len(common)
+        prefix = np.concatenate((rare, common))[: n - -(-n * rule.num // rule.den) + 1]
         keys = np.concatenate((keys, mix(mix(prefix) ^ ~tag)))
     return keys
 
 
+def common_shingles(docs: DataFrame, total: int, rule: Rule) -> np.ndarray:
+    """Shingles that several different texts of a sample hold, sorted: the most frequent MOST_COMMON.
+
+    The sample of about SAMPLED_TEXTS texts, and SAMPLED_SHINGLES of each, is chosen by hash. It decides how well
+    candidates are told apart, never which links are found.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(rule.width)
+        for _, texts in chunks(batches):
+            found = [shingler(text) for text in texts]
+            nodes = [digest(s) for s in found]
+            yield rows(node=pa.array(nodes, pa.int64()), content=pa.array([s[:SAMPLED_SHINGLES].tobytes() for s in found], pa.binary()))
+
+    share = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) * total <= SAMPLED_TEXTS * (1 << 20)
+    sample = docs.select("text").where("text is not null").where(share).mapInArrow(run, "node long, content binary")
+    sample = sample.groupBy("node").agg(F.first("content").alias("content")).limit(2 * SAMPLED_TEXTS)
+    found = [np.frombuffer(c, np.uint64) for c in sample.toArrow().column("content").to_pylist()]
+    value, times = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+    often = times >= 2
+    value, times = value[often], times[often]
+    return np.sort(value[np.argsort(-times, kind="stable")[:MOST_COMMON]])
+
+
 def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles, node (null if empty), own and guest: the node in its band and in the next one."""
 
@@ -178,7 +210,7 @@ def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def candidate_edges(docs: DataFrame, rule: Rule) -> DataFrame:
+def candidate_edges(docs: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
     """(a, b): nodes in a band that agree on a bucket with the smallest such node.
 
     A worker folds the keys that its own rows share before the shuffle, so a key brings one
@@ -207,9 +239,11 @@ def candidate_edges(docs: DataFrame, rule: Rule) -> DataFrame:
                 s = shingler(text)
                 if not len(s):
                     continue
-                node = digest(s)
+                node, often = digest(s), np.zeros(len(s), bool)
+                if len(common):
+                    often = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
                 for b in bands_of(len(s), rule):
-                    found = bucket_keys(s, b, rule)
+                    found = bucket_keys(s[~often], s[often], b, rule)
                     keys.append(found)
                     nodes.append(place(node, b.index))
                     counts.append(len(found))
@@ -346,7 +380,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     sets = stored(describe_sets(docs, rule), "sets")
-    clusters = connected_components(candidate_edges(docs, rule), "clusters")
+    common = common_shingles(docs, sets.count(), rule)
+    clusters = connected_components(candidate_edges(docs, rule, common), "clusters")
     links = verified_links(docs, sets, clusters, rule)
     linked = connected_components(links, "links").withColumnRenamed("component", "group")
     grouped = sets.join(linked, "node", "left").select("doc_id", "n_shingles", F.coalesce("group", "node").alias("group"))
