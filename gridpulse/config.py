@@ -51,7 +51,7 @@ class Pipeline:
     available_now: bool = False
     state_partitions: int | None = None
     write_width: int | None = 4
-    write_salt: int = 1
+    write_salt: int = 4
     max_files_per_trigger: int | None = None
     rocksdb_state: bool = True
     decimals: int | None = None

@@ -21,7 +21,8 @@ def parse(envelopes: DataFrame) -> DataFrame:
 
 def clean(parsed: DataFrame) -> DataFrame:
     """Keep rows with a house and a readable time; add the time as an instant."""
-    timed = parsed.withColumns({"event_time": parse_instant("timestamp")})
+    row = F.struct(*parsed.columns, parse_instant("timestamp").alias("event_time"))
+    timed = parsed.select(F.inline(F.array(row)))  # as in parse: the filter reads the time, it does not parse it again
     return timed.dropna(subset=["house_id", "event_time"])
 
 

@@ -81,7 +81,7 @@ def panel_of(grain: Granularity, metric: str):
     return query
 
 
-# The statement a dashboard sends, as its author wrote it.
+# Fixed value: the shape of the statement a dashboard sends, with its token for the house.
 PANEL_STATEMENT = """
 SELECT window_start AS time, avg_power_kw AS value
 FROM readings_rolled_up

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from gridpulse.config import Pipeline
 
+PROGRESS_KEPT = 20_000  # batches whose progress a query keeps
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -24,6 +26,7 @@ def job_session(spark: SparkSession, pipeline: Pipeline) -> SparkSession:
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     session.conf.set("spark.sql.adaptive.enabled", "true")  # sizes the files that are written
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(PROGRESS_KEPT))
     if pipeline.rocksdb_state:
         session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -38,7 +41,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{root.rstrip('/')}/gridpulse/{label}-{uuid.uuid4().hex}"

@@ -22,6 +22,7 @@ class Database:
     driver: str = "org.postgresql.Driver"
     connections: int = 8
     batch_size: int = 10_000
+    fetch_size: int = 10_000  # rows a read holds at once; some drivers fetch whole results by default
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Database:
@@ -33,7 +34,7 @@ class Database:
         )
 
     def options(self, table: str) -> dict[str, str]:
-        given = {"url": self.url, "dbtable": table, "driver": self.driver}
+        given = {"url": self.url, "dbtable": table, "driver": self.driver, "fetchsize": str(self.fetch_size)}
         if self.user:
             given |= {"user": self.user, "password": self.password}
         return given

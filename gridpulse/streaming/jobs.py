@@ -64,9 +64,13 @@ def gold_rows(readings: DataFrame, grain: Granularity, pipeline: Pipeline) -> Da
 def start_gold(
     session: SparkSession, grain: Granularity, pipeline: Pipeline, readings: DataFrame | None = None
 ) -> StreamingQuery:
-    """Silver, or another stream of readings, to Gold."""
+    """Silver, or another stream of readings, to Gold.
+
+    A batch takes all files that wait. Steps of a few files would move the watermark past rows of
+    a backlog that was not written in the order of time, and lose them.
+    """
     if readings is None:
-        readings = silver_stream(session, pipeline.silver, pipeline.max_files_per_trigger)
+        readings = silver_stream(session, pipeline.silver)
     return append_parquet(
         gold_rows(readings, grain, pipeline),
         f"gold_{grain.name}",

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from gridpulse.session import PROGRESS_KEPT
+
 THROUGHPUT = (
     "query STRING, batch_id BIGINT, input_rows BIGINT, seconds DOUBLE, "
     "rows_per_second DOUBLE, late_rows BIGINT, state_rows BIGINT"
@@ -34,8 +36,14 @@ def batch_throughput(progress) -> tuple:
 
 
 def throughput(query: StreamingQuery) -> list[tuple]:
-    """One row per recent batch; Spark keeps the last hundred."""
-    return [batch_throughput(p) for p in query.recentProgress]
+    """One row per batch of a query of a ``job_session``, which keeps PROGRESS_KEPT of them; an error beyond.
+
+    For a query that runs longer, ``ThroughputReport`` sees every batch.
+    """
+    held = query.recentProgress
+    if len(held) >= PROGRESS_KEPT:
+        raise RuntimeError(f"{query.name} ran {PROGRESS_KEPT} batches or more: the first are no longer held")
+    return [batch_throughput(p) for p in held]
 
 
 def throughput_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:

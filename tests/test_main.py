@@ -69,5 +69,5 @@ def test_database_calls():
         "jdbc:x",
         "agg",
         predicates=slice_predicates(0, 1, database.connections),
-        properties={"driver": database.driver, "user": "u", "password": "p"},
+        properties={"driver": database.driver, "fetchsize": "10000", "user": "u", "password": "p"},
     )

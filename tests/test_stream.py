@@ -126,13 +126,13 @@ def test_random_arrivals_against_brute_force(session, pipeline, grain):
     assert len(emitted) > 5 and windows
 
 
-def test_backlog_read_in_steps_of_arrival(session, pipeline):
-    """Silver written in order and read file by file closes the same windows as one batch."""
-    for quarter in range(4):
+def test_backlog_out_of_order_loses_nothing(session, pipeline):
+    """Silver written in reverse order closes the same windows, also where other streams read file by file."""
+    for quarter in (2, 1, 0, 3):
         send(session, pipeline, *((h, f"1{quarter}:{m:02d}:05", float(m + h)) for h in (1, 2) for m in range(0, 60, 5)))
     stepped = replace(pipeline, root=f"{pipeline.root}/steps", names={"silver": pipeline.silver}, max_files_per_trigger=1)
     written, query = run_gold(session, stepped)
-    assert len([1 for row in throughput(query) if row[2]]) == 4 and dropped(query) == 0
+    assert len([1 for row in throughput(query) if row[2]]) == 1 and dropped(query) == 0
     assert written == run_gold(session, pipeline)[0] and len(written) == 94
 
 
@@ -144,11 +144,11 @@ def test_layers_on_disk(session, pipeline):
     assert silver_table(session, pipeline.silver).schema.simpleString() == declared.simpleString()
     run_gold(session, pipeline)
     hours = parquet_files(pipeline.gold(ONE_MINUTE))
-    assert len(hours) == 2 and all(re.search(r"event_date=2025-12-06/hour=(9|10)/", f) for f in hours)
+    assert len({os.path.dirname(f) for f in hours}) == 2 and all(re.search(r"event_date=2025-12-06/hour=(9|10)/", f) for f in hours)
 
 
 def test_salt_splits_an_hour_over_tasks(session, pipeline):
-    salted = replace(pipeline, write_width=4, write_salt=4)
+    salted = replace(pipeline, write_width=4)
     send(session, pipeline, *((h, "08:00:01", 1.0) for h in range(50)), (1, "10:00:00", 1.0))
     written, _ = run_gold(session, salted)
     files = parquet_files(salted.gold(ONE_MINUTE))
