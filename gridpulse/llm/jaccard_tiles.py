@@ -3,10 +3,12 @@
 A document is its set of distinct word n-grams. Equal sets fold into one node first. Sets are
 banded by size. Two sets that reach the threshold differ in at most D elements, D following from
 the band; so, dealt into more than D buckets by hash, they agree on a whole bucket. Sets that
-agree on a bucket meet in a cluster, clusters are cut into tiles, and within a tile bitmaps bound
-the overlap of a pair from above before its sorted arrays are intersected. Every link between
-different texts is found or implied by links found: a pair is left out only where both are
-already known to be connected.
+agree on a bucket meet in a cluster, and clusters are cut into tiles. Within a tile bitmaps, of two
+to four bits an element, bound the overlap of a pair from above. What the bounds leave connected is
+tiled anew, now with the sorted arrays, which are intersected. So chance agreements, whose number
+grows with the square of the documents, cost bitmaps but no arrays. Every link between different
+texts is found or implied by links found: a pair is left out only where both are already known to
+be connected, or known not to be.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import chunks, mix, rows, small_batches, stored
@@ -29,6 +31,8 @@ CACHED_WORDS = 200_000
 CHUNK_KEYS = 1_000_000  # keys that a worker pre-aggregates at once
 TILE_SHINGLES = 1_000_000  # of a block; a tile holds two
 TILE_SETS = 4_096
+TILE_BITMAPS = 4_000_000  # shingles of a block whose bitmaps alone are compared: 2 MB at most
+MOST_BITS = 65_536  # of a bitmap
 BROADCAST_MEMBERS = 1_000_000  # documents of clusters, some 60 bytes each, that are sent to every executor
 SAMPLED_TEXTS = 4_000
 SAMPLED_SHINGLES = 4_000  # of a text, by hash
@@ -182,12 +186,12 @@ def common_shingles(docs: DataFrame, total: int, rule: Rule) -> np.ndarray:
 
 
 def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, node (null if empty), own and guest: the node in its band and in the next one."""
+    """doc_id, n_shingles, node (null if empty), own and guest: the node in its band and in the next one; bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.width)
         for part, texts in chunks(batches):
-            sizes, nodes, own, guest = [], [], [], []
+            sizes, nodes, own, guest, bits = [], [], [], [], []
             for text in texts:
                 s = shingler(text)
                 node = digest(s) if len(s) else None
@@ -196,6 +200,7 @@ def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 nodes.append(node)
                 own.append(at[0] if at else None)
                 guest.append(at[1] if len(at) > 1 else None)
+                bits.append(bitmap(s) if len(s) else None)
             ids = part.column("doc_id").cast(pa.int64())
             long = pa.int64()
             yield rows(
@@ -204,9 +209,10 @@ def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 node=pa.array(nodes, long),
                 own=pa.array(own, long),
                 guest=pa.array(guest, long),
+                bits=pa.array(bits, pa.binary()),
             )
 
-    schema = "doc_id long, n_shingles long, node long, own long, guest long"
+    schema = "doc_id long, n_shingles long, node long, own long, guest long, bits binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -267,26 +273,37 @@ def overlaps(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((one[at] == flat).astype(np.int64), starts)
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of bits per set, about two bits per element of the largest."""
-    bits = min(65_536, max(64, 1 << (2 * max(map(len, sets)) - 1).bit_length()))
-    made = np.zeros((len(sets), bits // 64), np.uint64)
-    for row, s in zip(made, sets):
-        at = s & np.uint64(bits - 1)
-        np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.intp), np.uint64(1) << (at & np.uint64(63)))
-    return made
+def bitmap(s: np.ndarray) -> bytes:
+    """One bit per hashed element, two to four bits wide per element up to MOST_BITS."""
+    made = np.zeros(min(MOST_BITS, max(64, 1 << (2 * len(s) - 1).bit_length())), np.uint8)
+    made[(s & np.uint64(len(made) - 1)).astype(np.intp)] = 1
+    return np.packbits(made, bitorder="little").tobytes()
 
 
-def tile_links(sets: list[np.ndarray], home: np.ndarray, side: np.ndarray, across: bool, rule: Rule) -> list[tuple]:
-    """Links that connect what is connected in a tile, as index pairs.
+def alike(found: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, folded to the width of the narrowest."""
+    width = min(map(len, found))
+    folded = [np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), axis=0) for b in found]
+    return np.stack(folded)
+
+
+def tile_links(
+    sizes: np.ndarray,
+    bits: np.ndarray,
+    home: np.ndarray,
+    side: np.ndarray,
+    across: bool,
+    rule: Rule,
+    sets: list[np.ndarray] | None = None,
+) -> list[tuple]:
+    """Links that connect what is connected in a tile, as index pairs; without ``sets``, what bitmaps cannot rule out.
 
     ``across``: only pairs of different sides count, the others belong to other tiles. Pairs of
     two guests belong to the band below.
     """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    bits, label, links = bitmaps(sets), np.arange(len(sets)), []
-    for p in range(len(sets)):
-        more = np.arange(len(sets)) > p
+    label, links = np.arange(len(sizes)), []
+    for p in range(len(sizes)):
+        more = np.arange(len(sizes)) > p
         low, high = np.minimum(sizes, sizes[p]), np.maximum(sizes, sizes[p])
         more &= (label != label[p]) & (rule.den * low >= rule.num * high) & (home | home[p])
         if across:
@@ -296,36 +313,85 @@ def tile_links(sets: list[np.ndarray], home: np.ndarray, side: np.ndarray, acros
             continue
         mine = np.bitwise_count(bits[p] & ~bits[q]).sum(1, dtype=np.int64)
         theirs = np.bitwise_count(bits[q] & ~bits[p]).sum(1, dtype=np.int64)
-        bound = np.minimum(sizes[p] - mine, sizes[q] - theirs)
+        both = np.minimum(sizes[p] - mine, sizes[q] - theirs)
         need = rule.num * (sizes[p] + sizes[q])
-        keep = (rule.num + rule.den) * bound >= need
-        q, need = q[keep], need[keep]
-        if len(q):
+        keep = (rule.num + rule.den) * both >= need
+        q, need, both = q[keep], need[keep], both[keep]
+        if len(q) and sets:
             both = overlaps(sets[p], [sets[i] for i in q])
-            for i in q[(rule.num + rule.den) * both >= need]:
-                if label[i] != label[p]:
-                    links.append((p, int(i)))
-                    label[label == label[i]] = label[p]
+        for i in q[(rule.num + rule.den) * both >= need]:
+            if label[i] != label[p]:
+                links.append((p, int(i)))
+                label[label == label[i]] = label[p]
     return links
 
 
-def verified_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b): nodes that link, enough of them to connect all that are connected."""
+def in_tiles(placed: DataFrame, load: str, rule: Rule) -> DataFrame:
+    """(a, b): links within the components of ``placed`` (component, blocks, node, n, home, and the column ``load``).
+
+    A component of several blocks is dealt out by hash; each two blocks make a tile. ``load`` is bits or content.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiled = placed.withColumn("block", block).withColumn("other", other)
+    ends = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+
+    def tile(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n", "ascending"), ("node", "ascending")])
+        node = table.column("node").to_numpy()
+        if len(node):  # the row of a document may be repeated
+            table = table.filter(pa.array(np.concatenate(([True], node[1:] != node[:-1]))))
+        nodes, home, side = (table.column(c).to_numpy() for c in ("node", "home", "block"))
+        loads, sets = table.column(load).to_pylist(), None
+        if load == "content":
+            sets = [np.frombuffer(x, np.uint64) for x in loads]
+            loads = [bitmap(s) for s in sets]
+        sizes = table.column("n").to_numpy()
+        links = tile_links(sizes, alike(loads), home, side, key[1].as_py() != key[2].as_py(), rule, sets)
+        long = pa.int64()
+        return pa.table({"a": pa.array([nodes[p] for p, _ in links], long), "b": pa.array([nodes[q] for _, q in links], long)})
+
+    columns = tiled.select("component", *ends, "block", "node", "n", "home", load)
+    return columns.groupBy("component", "i", "j").applyInArrow(tile, "a long, b long")
+
+
+def blocks_of(members: DataFrame, sets_most: int, shingles_most: int, counted: Column) -> DataFrame:
+    """``members`` with the number of blocks of their component."""
+    size = F.greatest(F.sum(counted) / shingles_most, F.count("*") / sets_most)
+    return members.join(members.groupBy("component").agg(F.ceil(size).cast("int").alias("blocks")), "component")
+
+
+def nodes_of(sets: DataFrame) -> DataFrame:
+    """One row per node: its smallest doc_id, size and bands."""
     first = sets.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("own").alias("own"), F.first("guest").alias("guest")
     )
+    return first.where("doc_id is not null")
+
+
+def possible_links(sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): nodes of a cluster that may link by their bitmaps, enough of them to connect all that may."""
     spots = F.array(
         F.struct(F.col("own").alias("spot"), F.lit(True).alias("home")),
         F.struct(F.col("guest").alias("spot"), F.lit(False).alias("home")),
     )
-    spotted = first.select("doc_id", "node", "n", F.inline(spots)).where("spot is not null and doc_id is not null")
+    spotted = nodes_of(sets).select("doc_id", "node", "n", F.inline(spots)).where("spot is not null")
     members = spotted.join(clusters.select(F.col("node").alias("spot"), "component"), "spot")
     members = stored(members.select("doc_id", "node", "n", "home", "component"), "members")
-    cuts = members.groupBy("component").agg(
-        F.ceil(F.greatest(F.sum("n") / TILE_SHINGLES, F.count("*") / TILE_SETS)).cast("int").alias("blocks")
-    )
-    placed = members.join(cuts, "component")
+    some_home = members.groupBy("component").agg(F.max("home").alias("any")).where("any").select("component")
+    members = members.join(some_home, "component")  # guests alone belong to the band below
+    placed = blocks_of(members, TILE_SETS, TILE_BITMAPS, F.least("n", F.lit(MOST_BITS // 2)))
     per_doc = placed.groupBy("doc_id", "node").agg(F.collect_list(F.struct("component", "home", "blocks")).alias("spots"))
+    if members.count() <= BROADCAST_MEMBERS:
+        per_doc = F.broadcast(per_doc)
+    marked = sets.select("doc_id", "node", F.col("n_shingles").alias("n"), "bits").join(per_doc, ["doc_id", "node"])
+    return in_tiles(marked.select("node", "n", "bits", F.inline("spots")), "bits", rule)
+
+
+def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): nodes of a group that link, enough of them to connect all that are connected."""
+    members = stored(nodes_of(sets).select("doc_id", "node", "n").join(groups, "node"), "members")
+    per_doc = blocks_of(members, TILE_SETS, TILE_SHINGLES, F.col("n")).select("doc_id", "node", "n", "component", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.width)
@@ -334,38 +400,13 @@ def verified_links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, rule:
             real = [len(s) > 0 and digest(s) == node for node, s in zip(nodes, found)]  # ids may repeat with other texts
             part = part.filter(pa.array(real))
             content = pa.array([s.tobytes() for s, ok in zip(found, real) if ok], pa.binary())
-            yield rows(node=part.column("node"), spots=part.column("spots"), content=content)
+            yield rows(**{c: part.column(c) for c in ("node", "n", "component", "blocks")}, content=content)
 
     texts = docs.select("doc_id", "text").where("text is not null")
     if members.count() <= BROADCAST_MEMBERS:  # beyond, the texts are shuffled to them
         per_doc = F.broadcast(per_doc)
-    kind = per_doc.schema["spots"].dataType.simpleString()
-    whole = texts.join(per_doc, "doc_id").mapInArrow(run, f"node long, spots {kind}, content binary")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    whole = whole.select("node", "content", F.inline("spots")).withColumn("block", block)
-    tiled = whole.select(
-        "component", "node", "content", "home", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "content", "home"
-    )
-
-    def tile(key: tuple, table: pa.Table) -> pa.Table:
-        seen, sets, home, side, nodes = set(), [], [], [], []
-        for node, content, at_home, block in zip(*(table.column(c).to_pylist() for c in ("node", "content", "home", "block"))):
-            if node not in seen:  # the row of a document may be repeated
-                seen.add(node)
-                nodes.append(node)
-                sets.append(np.frombuffer(content, np.uint64))
-                home.append(at_home)
-                side.append(block)
-        order = sorted(range(len(nodes)), key=lambda x: (len(sets[x]), nodes[x]))
-        pick = lambda x: [x[k] for k in order]
-        nodes, sets = pick(nodes), pick(sets)
-        links = tile_links(sets, np.array(pick(home)), np.array(pick(side)), key[1].as_py() != key[2].as_py(), rule)
-        long = pa.int64()
-        return pa.table({"a": pa.array([nodes[p] for p, _ in links], long), "b": pa.array([nodes[q] for _, q in links], long)})
-
-    return tiled.groupBy("component", "i", "j").applyInArrow(tile, "a long, b long")
+    whole = texts.join(per_doc, "doc_id").mapInArrow(run, "node long, n long, component long, blocks int, content binary")
+    return in_tiles(whole.withColumn("home", F.lit(True)), "content", rule)
 
 
 def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -382,10 +423,11 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     sets = stored(describe_sets(docs, rule), "sets")
     common = common_shingles(docs, sets.count(), rule)
     clusters = connected_components(candidate_edges(docs, rule, common), "clusters")
-    links = verified_links(docs, sets, clusters, rule)
+    groups = connected_components(possible_links(sets, clusters, rule), "groups")
+    links = verified_links(docs, sets, groups, rule)
     linked = connected_components(links, "links").withColumnRenamed("component", "group")
     grouped = sets.join(linked, "node", "left").select("doc_id", "n_shingles", F.coalesce("group", "node").alias("group"))
     first = grouped.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
-    first = stored(first.where("n > 1").drop("n"), "groups")  # written, so that a large group can be split in the join
+    first = stored(first.where("n > 1").drop("n"), "firsts")  # written, so that a large group can be split in the join
     found = grouped.join(first, "group", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
