@@ -295,13 +295,13 @@ def tile_links(
     across: bool,
     rule: Rule,
     sets: list[np.ndarray] | None = None,
-) -> list[tuple]:
-    """Links that connect what is connected in a tile, as index pairs; without ``sets``, what bitmaps cannot rule out.
+) -> np.ndarray:
+    """Labels, equal where links connect the sets of a tile; without ``sets``, where bitmaps cannot rule it out.
 
     ``across``: only pairs of different sides count, the others belong to other tiles. Pairs of
     two guests belong to the band below.
     """
-    label, links = np.arange(len(sizes)), []
+    label = np.arange(len(sizes))
     for p in range(len(sizes)):
         more = np.arange(len(sizes)) > p
         low, high = np.minimum(sizes, sizes[p]), np.maximum(sizes, sizes[p])
@@ -321,13 +321,12 @@ def tile_links(
             both = overlaps(sets[p], [sets[i] for i in q])
         for i in q[(rule.num + rule.den) * both >= need]:
             if label[i] != label[p]:
-                links.append((p, int(i)))
                 label[label == label[i]] = label[p]
-    return links
+    return label
 
 
 def in_tiles(placed: DataFrame, load: str, rule: Rule) -> DataFrame:
-    """(a, b): links within the components of ``placed`` (component, blocks, node, n, home, and the column ``load``).
+    """(a, b): each node and the smallest that its tile connects it with, within the components of ``placed`` (component, blocks, node, n, home, and the column ``load``).
 
     A component of several blocks is dealt out by hash; each two blocks make a tile. ``load`` is bits or content.
     """
@@ -347,9 +346,11 @@ def in_tiles(placed: DataFrame, load: str, rule: Rule) -> DataFrame:
             sets = [np.frombuffer(x, np.uint64) for x in loads]
             loads = [bitmap(s) for s in sets]
         sizes = table.column("n").to_numpy()
-        links = tile_links(sizes, alike(loads), home, side, key[1].as_py() != key[2].as_py(), rule, sets)
-        long = pa.int64()
-        return pa.table({"a": pa.array([nodes[p] for p, _ in links], long), "b": pa.array([nodes[q] for _, q in links], long)})
+        label = tile_links(sizes, alike(loads), home, side, key[1].as_py() != key[2].as_py(), rule, sets)
+        least = np.full(len(label), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, nodes)
+        hub = least[label]
+        return pa.table({"a": nodes[hub != nodes], "b": hub[hub != nodes]})
 
     columns = tiled.select("component", *ends, "block", "node", "n", "home", load)
     return columns.groupBy("component", "i", "j").applyInArrow(tile, "a long, b long")
