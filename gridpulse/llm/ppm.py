@@ -6,8 +6,8 @@ number of different successors as the weight of an escape (method C). After an e
 shorter context is asked, without the symbols already ruled out (symbol exclusion); below the
 empty context the remaining byte values are alike. The code length of a text is pretrained: the sum over its bytes and its end.
 
-A context longer than two bytes enters the trie if it makes up SHARE of all training bytes, which bounds the trie
-whatever the corpus; all its occurrences count, others are predicted by shorter contexts.
+Every context of the training texts counts. Each task holds the trie's head: the contexts up to SHORT bytes and the most
+frequent of each greater length. A byte after a context outside the head is looked up in the table of all counts.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import chunks, id_remainder, rows, small_batches, stored
 
 ORDER = 5
-SHARE = 5e-6  # of the training bytes: at most 200,000 contexts of a length
-SHORT = 2  # contexts up to this length are kept whatever their share: at most 65,793
+HEAD_CONTEXTS = 200_000  # most frequent contexts of a length that every task holds
+SHORT = 2  # contexts up to this length are held whatever their number: at most 65,793
+TAIL_ROWS = 1_000_000  # counts that a worker makes a part of the trie of at once, if one ending's are not more
 HEAD_WORDS = 500_000  # most frequent words, whose counts every task holds
 CACHED_WORDS = 200_000
 COUNT_BYTES = 8_000_000  # of text that a worker counts at once
@@ -120,11 +122,24 @@ class Trie:
         made[open_] -= np.log10(rest)
         return made
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text with its end; equal codes of the batch are looked up once."""
+    def score(self, texts: list[bytes], whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each text with its end; equal codes of the batch are looked up once.
+
+        Unless the trie is ``whole``, codes after contexts that it lacks are left out and returned: where each text's
+        end, the codes, and how often the text has each.
+        """
         codes, sizes = coded(texts, self.order)
         each, place = np.unique(codes, return_inverse=True)
-        return np.add.reduceat(self.log10(each)[place], np.cumsum(sizes) - sizes)
+        held = np.full(len(each), whole)
+        if not whole:
+            held = find(self.levels[self.order].contexts, each >> np.uint64(8)) >= 0
+        made = np.zeros(len(each))
+        made[held] = self.log10(each[held])
+        at = np.flatnonzero(~held[place])
+        text = np.searchsorted(np.cumsum(sizes), at, side="right")
+        pair, times = np.unique(text * len(each) + place[at], return_counts=True)
+        ends = np.searchsorted(pair, np.arange(len(texts) + 1) * len(each))
+        return np.add.reduceat(made[place], np.cumsum(sizes) - sizes), ends, each[pair % len(each)], times
 
 
 def find(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -135,10 +150,11 @@ def find(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(sorted_[at] == wanted, at, -1)
 
 
-def build_trie(order: int, entries: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """From (context and successor, count) of each length, from 0; a context comes with all its successors."""
-    levels = []
-    for length, (entry, count) in enumerate(entries):
+def build_trie(order: int, entries: list[tuple[np.ndarray, np.ndarray]], shorter: tuple = ()) -> Trie:
+    """From (context and successor, count) of each length, from 0 or after the levels ``shorter``; a context comes with all
+    its successors."""
+    levels = list(shorter)
+    for length, (entry, count) in enumerate(entries, len(levels)):
         by = np.argsort(entry)
         entry, count = entry[by], count[by].astype(np.float64)
         contexts, first = np.unique(entry >> np.uint64(8), return_index=True)
@@ -185,23 +201,80 @@ def lowered(text: str) -> bytes:
     return text.encode().lower()
 
 
-def learn(docs: DataFrame, order: int = ORDER, share: float = SHARE) -> Trie:
-    """The trie of the byte contexts of rows (text). What reaches the driver is bounded by SHARE and SHORT."""
+def learn(docs: DataFrame, order: int = ORDER, share: float = 0.0) -> tuple[Trie, DataFrame, bool]:
+    """The head of the trie of the byte contexts of rows (text); (code, n) of all; and whether the head has every context.
+
+    The head's contexts make up ``share`` of the bytes at least. One least count holds for all lengths, so that a
+    context comes with its endings. What reaches the driver is bounded by HEAD_CONTEXTS and SHORT.
+    """
     small_batches(docs.sparkSession)
     deepest = stored(gram_counts(docs, order), "grams")
     bytes_ = deepest.agg(F.sum("n")).first()[0] or 0
+    context = lambda length: F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * length) - 1)).alias("context")
+    step = F.floor(F.log("of") / np.log(1.02)).cast("int")  # ends in a few thousand classes of counts
+    large, low, whole = {}, -1, True
+    for length in range(SHORT + 1, order + 1):
+        large[length] = deepest.groupBy(context(length)).agg(F.sum("n").alias("of"))
+        enough = F.col("of") >= share * bytes_
+        sizes = large[length].groupBy(step.alias("step"), enough.alias("enough")).agg(F.count("*").alias("contexts")).collect()
+        whole = whole and all(r["enough"] for r in sizes)
+        total = 0
+        for row in sorted(sizes, key=lambda r: -r["step"]):
+            total += row["contexts"]
+            if total > HEAD_CONTEXTS:
+                low, whole = max(low, row["step"] + 1), False
+                break
     entries = []
     for length in range(order + 1):
-        low = F.col("code").bitwiseAND(F.lit((1 << 8 * (length + 1)) - 1))
-        counts = deepest.groupBy(low.alias("entry")).agg(F.sum("n").alias("n"))
-        if length > SHORT:
-            context = F.shiftright("entry", 8).alias("context")
-            large = counts.groupBy(context).agg(F.sum("n").alias("of")).where(F.col("of") >= share * bytes_).select("context")
-            counts = counts.withColumn("context", F.shiftright("entry", 8)).join(F.broadcast(large), "context", "left_semi")
+        entry = F.col("code").bitwiseAND(F.lit((1 << 8 * (length + 1)) - 1))
+        counts = deepest.groupBy(entry.alias("entry")).agg(F.sum("n").alias("n"))
+        if length > SHORT and not whole:
+            held = large[length].where((step >= low) & (F.col("of") >= share * bytes_)).select("context")
+            counts = counts.withColumn("context", F.shiftright("entry", 8)).join(F.broadcast(held), "context", "left_semi")
         found = counts.select("entry", "n").toArrow()
         entry = found.column("entry").to_numpy().astype(np.int64).view(np.uint64)
         entries.append((entry, found.column("n").to_numpy().astype(np.int64)))
-    return build_trie(order, entries)
+    return build_trie(order, entries), deepest, whole
+
+
+def tail_scores(grams: DataFrame, wanted: DataFrame, trie: Broadcast, order: int) -> DataFrame:
+    """(code, score): log10 of the probability of each of the ``wanted`` codes, by all counts of ``grams``.
+
+    Contexts with the same last SHORT + 1 bytes meet in a task, with all the counts that any of them needs; of equal codes
+    there is one row, so their number is bounded whatever the corpus.
+    """
+
+    def scores(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        asked, entries = code[n == 0], []
+        code, n = code[n > 0], n[n > 0]
+        for length in range(SHORT + 1, order + 1):
+            entry, place = np.unique(code & np.uint64((1 << 8 * (length + 1)) - 1), return_inverse=True)
+            count = np.zeros(len(entry), np.int64)
+            np.add.at(count, place, n)
+            entries.append((entry, count))
+        shorter = [Level(*parts) for parts in trie.value[: SHORT + 1]]
+        return rows(code=asked, score=build_trie(order, entries, shorter).log10(asked))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            parts.append([batch.column(c).to_numpy() for c in ("ending", "code", "n")])
+            size += batch.num_rows
+            if size >= TAIL_ROWS:
+                ending, code, n = map(np.concatenate, zip(*parts))
+                cut = np.searchsorted(ending, ending[-1])  # the last ending may go on
+                if cut:
+                    yield scores(code[:cut].view(np.uint64), n[:cut])
+                parts = [[ending[cut:], code[cut:], n[cut:]]]
+                size = 0 if not cut else len(ending) - cut
+        if parts:
+            _, code, n = map(np.concatenate, zip(*parts))
+            yield scores(code.view(np.uint64), n)
+
+    ending = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * (SHORT + 1)) - 1))
+    both = grams.select("code", "n").unionAll(wanted.select("code", F.lit(0).cast("long").alias("n")))
+    both = both.select(ending.alias("ending"), "code", "n").repartition("ending").sortWithinPartitions("ending")
+    return both.mapInArrow(run, "code long, score double")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -245,21 +318,23 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(step >= low if low is not None else F.lit(False))
 
 
-def score_texts(docs: DataFrame, training: Column | None = None, order: int = ORDER, share: float = SHARE) -> DataFrame:
+def score_texts(docs: DataFrame, training: Column | None = None, order: int = ORDER, share: float = 0.0) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text), learning from those where ``training`` holds.
 
     doc_id, held_out (not ``training``), n_tokens, n_known, train_tokens, base_score (unigrams of words and the text's
     end, add one half) and score (the byte model's log10 probability of the text). A null text counts as empty:
     its end alone. Repeated rows get equal rows and count as often as they stand; a row with a null id is
     training; other columns play no part. With no training rows the model is uniform. Words are told apart by 64-bit hashes.
+    Contexts below ``share`` of the training bytes are looked up by a join, as are those beyond HEAD_CONTEXTS; the scores are the same.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     used = F.coalesce(trained() if training is None else training, F.lit(True))
     plain = docs.select("doc_id", "text", used.alias("used"))
     learned = plain.where("used")
-    levels = learn(learned, order, share).levels
-    trie = spark.sparkContext.broadcast([tuple(vars(level).values()) for level in levels])  # plain arrays need no class there
+    model, grams, entire = learn(learned, order, share)
+    trie = spark.sparkContext.broadcast([tuple(vars(level).values()) for level in model.levels])  # plain arrays need no class there
+    del model
     counts = stored(word_counts(learned), "words")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     known = most_frequent(counts, HEAD_WORDS).toArrow()
@@ -284,6 +359,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, order: int = OR
             hit = (at >= 0)[place]
             first = np.cumsum(sizes) - sizes
             ends = np.cumsum(np.add.reduceat(~hit, first, dtype=np.int64))
+            score, code_ends, codes, times = model.score(data, entire)
             yield rows(
                 row=np.arange(row, row + len(texts), dtype=np.int64),
                 doc_id=part.column("doc_id"),
@@ -291,18 +367,26 @@ def score_texts(docs: DataFrame, training: Column | None = None, order: int = OR
                 n_tokens=sizes,
                 known=np.add.reduceat(hit, first, dtype=np.int64),
                 base=np.add.reduceat(np.where(at >= 0, rates[at] if len(rates) else 0.0, 0.0)[place], first),
-                score=model.score(data),
+                score=score,
+                codes=pa.ListArray.from_arrays(pa.array(code_ends, pa.int32()), pa.array(codes.view(np.int64))),
+                times=pa.ListArray.from_arrays(pa.array(code_ends, pa.int32()), pa.array(times, pa.int64())),
                 tail=pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(each[place[~hit]].view(np.int64))),
             )
             row += len(texts)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, used boolean, n_tokens long, known long, base double, score double, tail array<long>"
+    schema = f"row long, doc_id {kind}, used boolean, n_tokens long, known long, base double, score double, codes array<long>, times array<long>, tail array<long>"
     scored = stored(plain.mapInArrow(run, schema), "scored")
     rate = lambda c: F.log10((F.coalesce(c, F.lit(0)) + 0.5) / F.lit(float(whole)))
     tail = scored.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
     tail = tail.groupBy("row").agg(F.count("n").alias("tail_known"), F.sum(rate(F.col("n"))).alias("tail_base"))
-    both = scored.drop("tail").join(tail, "row", "left")
+    both = scored.drop("tail", "codes", "times").join(tail, "row", "left")
+    if not entire:
+        pairs = scored.select("row", F.inline(F.arrays_zip("codes", "times")))
+        rare = stored(tail_scores(grams, pairs.select("codes").distinct().withColumnRenamed("codes", "code"), trie, order), "rare")
+        rare = pairs.join(rare, F.col("codes") == F.col("code")).groupBy("row").agg(F.sum(F.col("times") * F.col("score")).alias("tail_score"))
+        both = both.join(rare, "row", "left")
+    tail_score = F.lit(0.0) if entire else F.coalesce("tail_score", F.lit(0.0))
     return both.select(
         "doc_id",
         (~F.col("used")).alias("held_out"),
@@ -310,7 +394,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, order: int = OR
         (F.col("known") + F.coalesce("tail_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + tail_score).alias("score"),
     )
 
 

@@ -175,6 +175,16 @@ def test_language_model(docs):
         assert math.isclose(row.base_score, base, rel_tol=1e-9) and row.score < 0
 
 
+def test_rare_contexts_count_wherever_they_are_held(docs, monkeypatch):
+    known = lambda rows: sorted((str(r.doc_id), r.held_out, r.score) for r in rows)
+    want = known(ppm.score_texts(docs, share=0).collect())
+    monkeypatch.setattr(ppm, "HEAD_CONTEXTS", 50)
+    for share in (0, 0.01, 1):
+        found = known(ppm.score_texts(docs, share=share).collect())
+        assert [x[:2] for x in found] == [x[:2] for x in want]
+        assert np.allclose([x[2] for x in found], [x[2] for x in want], rtol=1e-9)
+
+
 def test_successors_of_a_context_add_up_to_one():
     codes, _ = ppm.coded([b"banana bandana", b"ban a nab", b""], 3)
     entries = []
