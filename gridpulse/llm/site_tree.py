@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +26,8 @@ from gridpulse.llm.common import chunks, rows, small_batches, stored
 
 LEAST_IMPORTANCE = 0.3  # branches below are cut
 LEAST_PAGES = 4  # distinct pages that a branch needs before it is judged
-LEAST_SHARE = 0.01  # of the host's distinct pages, likewise: at most 100 branches a host and place are judged
+BROADCAST_NODES = 1_000_000  # judged nodes that every task looks up; beyond, they are joined to the pages
+CUT, HIGH = -1, 1  # verdicts on a node
 DECAY = 0.9  # how far more variants of a node let its own entropy outweigh its branches
 
 #: Element kinds of HTML.
@@ -76,6 +77,8 @@ class Element:
     parent: int  # place of the parent in the page's list, -1 for the root
     out: bool  # no content, or within such
     core: bool  # declares itself the article, or within such
+    depth: int = 0
+    declared: bool = False  # declares itself the article
     children: list = field(default_factory=list)
     text: list = field(default_factory=list)
 
@@ -97,9 +100,9 @@ def style_of(tag: str, attrs: str) -> tuple[str, set[str]]:
     return ".".join([tag, *named]), words
 
 
-def parse(source: str) -> tuple[list[Element], list[tuple[int, str]]]:
-    """The elements of a page and its text blocks in order, each with its element's place."""
-    root = Element("", "", 0, -1, False, False)
+def parse(source: str, site: int = 0) -> tuple[list[Element], list[tuple[int, str]]]:
+    """The elements of a page and its text blocks in order, each with its element's place. ``site`` tells hosts' nodes apart."""
+    root = Element("", "", site, -1, False, False)
     elements, blocks, open_, buffer = [root], [], [0], []
 
     def flush() -> None:
@@ -145,12 +148,13 @@ def parse(source: str) -> tuple[list[Element], list[tuple[int, str]]]:
         style, words = style_of(tag, m["attrs"])
         at = open_[-1]
         above = elements[at]
-        core = above.core or tag in ("article", "main") or bool(words & ARTICLE_WORDS and tag in ("div", "section"))
+        declared = tag in ("article", "main") or bool(words & ARTICLE_WORDS and tag in ("div", "section"))
+        core = above.core or declared
         out = above.out or tag in HIDDEN or bool(words & NO_CONTENT and tag not in ("html", "body"))
         out = out or (not core and (tag == "header" or "header" in words and tag not in ("html", "body")))
         node = xxhash.xxh64_intdigest(f"{above.node}/{style}") >> 1
         above.children.append(style)
-        elements.append(Element(tag, style, node, at, out, core))
+        elements.append(Element(tag, style, node, at, out, core, above.depth + 1, declared))
         if not m["attrs"].endswith("/") or tag not in ("path", "rect", "use"):
             open_.append(len(elements) - 1)
     if last < len(source):
@@ -165,36 +169,42 @@ def decoded(text: str) -> str:
     return entities.unescape(text) if "&" in text else text
 
 
-def main_text(source: str, noise: frozenset[int] = frozenset()) -> str:
-    """The page's text without what is no content; ``noise`` names the nodes that its site's tree cuts.
+def main_text(source: str, verdicts: Callable[[np.ndarray], np.ndarray] | None = None, site: int = 0) -> str:
+    """The page's text without what is no content. ``verdicts`` gives for nodes CUT, HIGH, or 0 where there is none.
 
     Where the page declares an article, that is all that counts, and the tree cuts nothing of it.
     """
-    elements, blocks = parse(source)
+    elements, blocks = parse(source, site)
+    found = [0] * len(elements) if verdicts is None else verdicts(np.array([e.node for e in elements], np.int64)).tolist()
     cut = [False] * len(elements)
     for i, e in enumerate(elements):
-        cut[i] = e.node in noise or (e.parent >= 0 and cut[e.parent])
+        cut[i] = found[i] == CUT or (e.parent >= 0 and cut[e.parent])
     declared = any(elements[i].core and not elements[i].out for i, _ in blocks)
     return " ".join(t for i, t in blocks if not elements[i].out and (elements[i].core if declared else not cut[i]))
 
 
-def shown(source: str) -> list[tuple[int, int, bool, int]]:
-    """(node, parent node, leaf, hash of what it shows) of each element of a page that may be content.
+def shown(source: str, site: int = 0) -> list[tuple[int, int, int, int]]:
+    """(node, parent node, hash of what it shows, mark) of each element of a page that may be content.
 
-    A run of equal children counts as one, so that longer and shorter articles look alike.
+    A run of equal children counts as one, so that longer and shorter articles look alike. A mark is the node's depth * 8,
+    + 4 at one of a page's rows for the node, + 2 within a declared article, + 1 if it declares one.
     """
-    elements, _ = parse(source)
-    found = set()
+    elements, _ = parse(source, site)
+    found = {}
     for e in elements[1:]:
         if e.out or e.core:
             continue
-        leaf = not e.children
-        if leaf:
+        if not e.children:
             value = "\n".join(e.text)
         else:
-            value = "/".join(c for i, c in enumerate(e.children) if not i or c != e.children[i - 1])
-        found.add((e.node, elements[e.parent].node, leaf, xxhash.xxh64_intdigest(value) >> 1))
-    return sorted(found)
+            value = "/" + "/".join(c for i, c in enumerate(e.children) if not i or c != e.children[i - 1])
+        key = (e.node, elements[e.parent].node, xxhash.xxh64_intdigest(value) >> 1)
+        found[key] = found.get(key, 0) | 2 * e.core | e.declared | 8 * e.depth
+    made, last = [], None
+    for key, mark in sorted(found.items()):
+        made.append((*key, mark + 4 * (key[0] != last)))
+        last = key[0]
+    return made
 
 
 def host_of(url: Column) -> Column:
@@ -202,101 +212,132 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def composite(nodes: dict[int, tuple[int, float, int, float]]) -> dict[int, float]:
-    """Composite importance of each node: (parent, pages, variants, own importance) by node.
+def shown_by_pages(pages: DataFrame) -> DataFrame:
+    """(page, node, parent, value, mark): what the distinct pages of rows (site, page, html) show."""
 
-    (1 - DECAY^variants) of its own and the rest from the mean of its branches, by pages.
-    """
-    below: dict[int, list[int]] = {}
-    for node, (parent, *_) in nodes.items():
-        below.setdefault(parent, []).append(node)
-    made: dict[int, float] = {}
-    order, stack = [], [n for n, (parent, *_) in nodes.items() if parent not in nodes]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack += below.get(node, ())
-    for node in reversed(order):
-        _, _, variants, own = nodes[node]
-        branches = [(nodes[c][1], made[c]) for c in below.get(node, ())]
-        if branches:
-            keep = DECAY**variants
-            own = (1 - keep) * own + keep * sum(m * v for m, v in branches) / sum(m for m, _ in branches)
-        made[node] = own
-    return made
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches, "html"):
+            which, found = [], []
+            for i, (source, site) in enumerate(zip(texts, part.column("site").to_pylist())):
+                of = shown(source, site)
+                which += [i] * len(of)
+                found += of
+            columns = np.array(found, np.int64).reshape(-1, 4).T
+            page = part.column("page").take(pa.array(which, pa.int64()))
+            yield rows(page=page, **dict(zip(("node", "parent", "value", "mark"), map(np.ascontiguousarray, columns))))
 
+    found = pages.select("site", "page", "html").mapInArrow(run, "page long, node long, parent long, value long, mark long")
+    return found.distinct()
 
-def noisy(nodes: dict[int, tuple[int, float, int, float]], least: float) -> list[int]:
-    """The nodes that with all their branches are less important than ``least``."""
-    value = composite(nodes)
-    safe = set()
-    for node, own in value.items():
-        while own >= least and node in nodes and node not in safe:
-            safe.add(node)
-            node = nodes[node][0]
-    return sorted(set(nodes) - safe)
+
+def node_facts(found: DataFrame) -> DataFrame:
+    """Of each node: parent, depth, core, declared, judged, weight (what it shows, on all pages), variants and own importance.
+
+    What pages show is counted by node and variant, then by node; both steps fold before they shuffle, so a host of any size is
+    no hot group.
+    """
+    bit = lambda k: F.col("mark").bitwiseAND(F.lit(k)) > 0
+    variant = found.groupBy("node", "parent", "value").agg(
+        F.count("*").alias("n"),
+        F.sum(bit(4).cast("long")).alias("pages"),
+        F.max(F.shiftright("mark", 3)).alias("depth"),
+        F.max(bit(2)).alias("core"),
+        F.max(bit(1)).alias("declared"),
+    )
+    entropy = F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")
+    return variant.groupBy("node").agg(
+        F.first("parent").alias("parent"),
+        *(F.max(c).alias(c) for c in ("depth", "core", "declared")),
+        (F.sum("pages") >= LEAST_PAGES).alias("judged"),
+        F.sum("n").alias("weight"),
+        F.count("*").alias("variants"),
+        F.when(F.sum("n") > 1, entropy / F.log(F.sum("n"))).otherwise(0.0).alias("own"),
+    )
 
 
-def noise_by_host(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
-    """(host, noise): the nodes of each host's style tree to cut.
+def importance(nodes: DataFrame, least: float) -> DataFrame:
+    """(node, value, safe, core) of each judged node: its composite importance, and whether it or a branch has ``least``.
 
-    Identical pages count once. What pages show is aggregated by host, node and variant, then by
-    host and node; both steps fold before they shuffle, so a host of any size is no hot group. Only nodes
-    on LEAST_SHARE of a host's pages reach the step that walks its tree, which bounds that tree.
+    (1 - DECAY^variants) of its own and the rest from the mean of its judged branches, by weight. A branch too rare to be
+    judged may be content: a node that has one counts as important by itself. Each level is folded from the one below.
     """
+    spark, levels, below = nodes.sparkSession, [], None
+    own = ("node", "parent", "core", "declared", "judged", "weight", "variants", "own")
+    nothing = {"m": F.lit(None).cast("long"), "mv": F.lit(None).cast("double"), "rare": F.lit(False), "high": F.lit(False)}
+    for depth in range(nodes.agg(F.max("depth")).first()[0] or 0, 0, -1):
+        level = nodes.where(F.col("depth") == depth).select("node", F.struct(*own[1:]).alias("facts"), *(c.alias(k) for k, c in nothing.items()))
+        if below is not None:
+            m = F.when(F.col("judged"), F.col("weight"))
+            level = level.unionAll(
+                below.select(
+                    F.col("parent").alias("node"),
+                    F.lit(None).cast(level.schema["facts"].dataType).alias("facts"),
+                    m.alias("m"),
+                    (m * F.col("value")).alias("mv"),
+                    (~F.col("judged")).alias("rare"),
+                    (F.col("judged") & F.col("safe")).alias("high"),
+                )
+            )
+        level = level.groupBy("node").agg(
+            F.max("facts").alias("facts"), F.sum("m").alias("m"), F.sum("mv").alias("mv"), F.max("rare").alias("rare"), F.max("high").alias("high")
+        )
+        level = level.select("node", "facts.*", "m", "mv", "rare", "high")
+        alone, keep = F.when(F.col("rare"), 1.0).otherwise(F.col("own")), F.pow(F.lit(DECAY), F.col("variants"))
+        mixed = F.when(F.col("m") > 0, (1 - keep) * alone + keep * F.col("mv") / F.col("m")).otherwise(alone)
+        level = level.withColumn("value", F.when(F.col("declared"), 1.0).otherwise(mixed))
+        level = level.withColumn("safe", F.col("high") | (F.col("value") >= least))
+        below = stored(level.select("node", "parent", "core", "judged", "weight", "value", "safe"), "level")
+        levels.append(below.where("judged").select("node", "value", "safe", "core"))
+    made = spark.createDataFrame([], "node long, value double, safe boolean, core boolean")
+    for level in levels:
+        made = made.unionAll(level)
+    return made
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, "html"):
-            which, nodes, parents, leaves, values, page = [], [], [], [], [], []
-            for i, source in enumerate(texts):
-                name = xxhash.xxh3_64_intdigest(source) >> 1
-                for node, parent, leaf, value in [(0, 0, False, 0), *shown(source)]:
-                    which.append(i)
-                    nodes.append(node)
-                    parents.append(parent)
-                    leaves.append(leaf)
-                    values.append(value)
-                    page.append(name)
-            long = lambda x: pa.array(x, pa.int64())
-            host = part.column("host").take(long(which))
-            yield rows(host=host, node=long(nodes), parent=long(parents), leaf=pa.array(leaves, pa.bool_()), value=long(values), page=long(page))
-
-    found = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        run, "host string, node long, parent long, leaf boolean, value long, page long"
-    )
-    variant = found.distinct().groupBy("host", "node", "parent", "leaf", "value").agg(F.count("*").alias("n"))
-    total = F.sum("n").alias("pages")
-    spread = (F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")).alias("entropy")
-    node = variant.groupBy("host", "node").agg(F.first("parent").alias("parent"), total, F.count("*").alias("variants"), spread)
-    size = node.where("node = 0").select("host", F.col("pages").alias("host_pages"))
-    judged = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
-    seen = node.where(F.col("node") != 0).join(size, "host").withColumn("judged", judged)
-    # what is too rare to judge may be content: it protects the node above it
-    facts = F.when(F.col("judged"), F.struct("parent", "pages", "variants", (F.col("entropy") / F.log("pages")).alias("own")))
-    known = seen.select("host", F.when(F.col("judged"), F.col("node")).otherwise(F.col("parent")).alias("node"), facts.alias("facts"))
-    known = known.groupBy("host", "node").agg(F.max("facts").alias("facts"), F.max(F.col("facts").isNull()).alias("rare"))
-    known = known.where("facts is not null").select("host", "node", "facts.*", "rare")
-
-    def walk(key: tuple, table: pa.Table) -> pa.Table:
-        columns = (table.column(c).to_pylist() for c in ("node", "parent", "pages", "variants", "own", "rare"))
-        tree = {n: (p, m, v, 1.0 if rare else o) for n, p, m, v, o, rare in zip(*columns)}
-        cut = noisy(tree, least)
-        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "noise": pa.array([cut], pa.list_(pa.int64()))})
-
-    return known.groupBy("host").applyInArrow(walk, "host string, noise array<long>")
+
+def verdicts_by_node(found: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
+    """(node, verdict): CUT for nodes that with all their branches are less important than ``least``, HIGH for others that
+    are as important and stand outside declared articles. Every node on LEAST_PAGES of its host's distinct pages is judged."""
+    nodes = stored(node_facts(found), "nodes")
+    verdict = F.when(~F.col("safe"), CUT).when((F.col("value") >= least) & ~F.col("core"), HIGH)
+    return importance(nodes, least).select("node", verdict.alias("verdict")).where("verdict is not null")
 
 
 def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
     A null or empty html gives an empty text; a null url belongs to the host ''. Repeated rows give equal
-    rows, null ids stay null, other columns play no part.
+    rows, null ids stay null, other columns play no part. Hosts, pages and nodes are told apart by 64-bit hashes.
     """
+    small_batches(pages.sparkSession)
+    host = host_of(F.col("url"))
+    own = pages.select("page_id", "url", "html", F.xxhash64(host).alias("site"), F.xxhash64(host, "html").alias("page"))
+    found = stored(shown_by_pages(own), "shown")
+    judged = stored(verdicts_by_node(found, least), "verdicts")
+    table = None
+    if judged.count() <= BROADCAST_NODES:
+        table = judged.toArrow().sort_by("node")
+        table = pages.sparkSession.sparkContext.broadcast(tuple(table.column(c).to_numpy() for c in ("node", "verdict")))
+        joined = own.withColumn("judged", F.lit(None).cast("array<struct<node:long,verdict:int>>"))
+    else:
+        of = found.select("page", "node").distinct().join(judged, "node").groupBy("page")
+        of = stored(of.agg(F.collect_list(F.struct("node", "verdict")).alias("judged")), "judged")  # its size decides the join
+        joined = own.join(of, "page", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def every(nodes: np.ndarray) -> np.ndarray:
+            known, verdict = table.value
+            if not len(known):
+                return np.zeros(len(nodes), np.int32)
+            at = np.minimum(np.searchsorted(known, nodes), len(known) - 1)
+            return np.where(known[at] == nodes, verdict[at], 0)
+
+        def listed(judged: list[dict] | None) -> Callable[[np.ndarray], np.ndarray]:
+            known = {x["node"]: x["verdict"] for x in judged or ()}
+            return lambda nodes: np.array([known.get(n, 0) for n in nodes.tolist()], np.int32)
+
         for part, sources in chunks(batches, "html"):
-            noise = part.column("noise").to_pylist()
-            text = [main_text(s, frozenset(n or ())) for s, n in zip(sources, noise)]
+            sites, lists = part.column("site").to_pylist(), part.column("judged").to_pylist()
+            text = [main_text(s, every if table else listed(x), site) for s, x, site in zip(sources, lists, sites)]
             yield rows(
                 page_id=part.column("page_id"),
                 url=part.column("url"),
@@ -304,9 +345,6 @@ def extract(pages: DataFrame, least: float = LEAST_IMPORTANCE) -> DataFrame:
                 n_chars=np.array([len(t) for t in text], np.int64),
             )
 
-    small_batches(pages.sparkSession)
-    own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    noise = stored(noise_by_host(pages, least), "noise")  # written, so that its size is known and decides the join
-    joined = own.join(noise, "host", "left").select("page_id", "url", "html", "noise")
+    joined = joined.select("page_id", "url", "html", "site", "judged")
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

@@ -226,6 +226,15 @@ def test_site_tree(spark):
     assert (found[50], found[51], found[52]) == ("", "", "T a b")
 
 
+@pytest.mark.parametrize("most", [site_tree.BROADCAST_NODES, 0])
+def test_small_sections_of_a_large_host(spark, monkeypatch, most):
+    monkeypatch.setattr(site_tree, "BROADCAST_NODES", most)
+    section = "<div class=s{1}><h2>Section {1}</h2></div><div class=t><p>Own {0}</p></div>"
+    rows = [(i, f"http://c.example/{i}", section.format(i, i // 5)) for i in range(600)]  # each section on 5 of 600 pages
+    found = site_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == 600 and all(r.text == f"Own {r.page_id}" for r in found)
+
+
 def test_language_and_quality_on_held_out_rows(spark, docs):
     sf = "/root/testdata/sf0.01"
     table = spark.read.parquet(f"{sf}/documents.parquet")
