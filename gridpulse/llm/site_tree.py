@@ -6,7 +6,8 @@ host's distinct pages: of the sequences of its children's styles (presentation),
 its text (content). A composite importance folds in the branches below. Branches that show the
 same on page after page have a low one and are cut from each page. Elements whose kind declares
 them no content (menus, footers, adverts, forms, comments and so on) have importance 0, an element that declares itself
-the article has 1; where a page has one, nothing outside it counts.
+the article has 1, whose branches are judged like all others. Where a page has one, a branch outside it that is too rare
+to be judged does not count.
 """
 
 from __future__ import annotations
@@ -172,7 +173,7 @@ def decoded(text: str) -> str:
 def main_text(source: str, verdicts: Callable[[np.ndarray], np.ndarray] | None = None, site: int = 0) -> str:
     """The page's text without what is no content. ``verdicts`` gives for nodes CUT, HIGH, or 0 where there is none.
 
-    Where the page declares an article, that is all that counts, and the tree cuts nothing of it.
+    Where the page declares an article, what stands outside it needs HIGH.
     """
     elements, blocks = parse(source, site)
     found = [0] * len(elements) if verdicts is None else verdicts(np.array([e.node for e in elements], np.int64)).tolist()
@@ -180,7 +181,7 @@ def main_text(source: str, verdicts: Callable[[np.ndarray], np.ndarray] | None =
     for i, e in enumerate(elements):
         cut[i] = found[i] == CUT or (e.parent >= 0 and cut[e.parent])
     declared = any(elements[i].core and not elements[i].out for i, _ in blocks)
-    return " ".join(t for i, t in blocks if not elements[i].out and (elements[i].core if declared else not cut[i]))
+    return " ".join(t for i, t in blocks if not (elements[i].out or cut[i]) and (not declared or elements[i].core or found[i] == HIGH))
 
 
 def shown(source: str, site: int = 0) -> list[tuple[int, int, int, int]]:
@@ -192,7 +193,7 @@ def shown(source: str, site: int = 0) -> list[tuple[int, int, int, int]]:
     elements, _ = parse(source, site)
     found = {}
     for e in elements[1:]:
-        if e.out or e.core:
+        if e.out:
             continue
         if not e.children:
             value = "\n".join(e.text)

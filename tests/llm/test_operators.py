@@ -235,6 +235,17 @@ def test_small_sections_of_a_large_host(spark, monkeypatch, most):
     assert len(found) == 600 and all(r.text == f"Own {r.page_id}" for r in found)
 
 
+def test_declared_articles_are_judged_by_the_tree(spark):
+    article = "<main><div class=x>Read on everywhere</div><article><p>Own {0}</p></article></main><div class=y>Beside {0}</div>"
+    rows = [(i, f"http://a.example/{i}", article.format(i)) for i in range(12)]
+    titled = '<div class="article-header">Title {0}</div><div class="content"><p>Body {0}</p></div>'
+    rows += [(100 + i, f"http://b.example/{i}", titled.format(i)) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in site_tree.extract(pages).collect()}
+    assert all(found[i] == f"Own {i} Beside {i}" for i in range(12))
+    assert all(found[100 + i] == f"Title {i} Body {i}" for i in range(12))
+
+
 def test_language_and_quality_on_held_out_rows(spark, docs):
     sf = "/root/testdata/sf0.01"
     table = spark.read.parquet(f"{sf}/documents.parquet")
