@@ -27,6 +27,9 @@ SAMPLE_PER_LANGUAGE = 800  # documents to learn from
 SAMPLE_ROWS = 20_000  # in all
 SAMPLE_WINDOWS = 4  # of a document
 WINDOWS_AT_ONCE = 256
+LEAST_QUANTILE = 0.02  # of the learned languages' own scores: texts of their length that score less are in none of them
+LEAST_TEXTS = 50  # of a length that have a quantile of their own
+LENGTHS = 16  # classes of texts: of 1, 2 to 3, 4 to 7 windows and so on
 UNDECIDED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -198,13 +201,43 @@ def identify(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_spoken(docs: DataFrame, net: ByteCnn | None, least_score: float = 0.3) -> DataFrame:
-    """The rows whose language the network names with ``least_score`` at least; columns as they came."""
+def length_class(text: str) -> int:
+    return min(max(1, -(-len(text.encode()) // WINDOW)).bit_length(), LENGTHS) - 1
+
+
+def least_scores(labelled: DataFrame, net: ByteCnn | None, per_language: int = SAMPLE_PER_LANGUAGE) -> list[float]:
+    """Of each class of lengths, the score that LEAST_QUANTILE of the texts do not reach whose language ``net`` names rightly.
+
+    Whole texts of a bounded sample of rows (doc_id, text, lang) count; only scores reach the driver. A class with few texts
+    has the quantile of the next shorter one, or of all where there is none. No text at all: 0.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches, limit=1_000_000):
+            langs, scores = predict(texts, net)
+            own = pa.array([a == b for a, b in zip(langs, part.column("lang").to_pylist())], pa.bool_())
+            yield rows(length=[length_class(t) for t in texts], score=pa.array(scores, pa.float64())).filter(own)
+
+    small_batches(labelled.sparkSession)
+    usable = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text != ''")
+    chosen = bounded_sample(usable.select("doc_id", "lang"), "lang", per_language, SAMPLE_ROWS)
+    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("text", "lang")
+    found = sample.mapInArrow(run, "length long, score double").toArrow()
+    length, score = found.column("length").to_numpy(), found.column("score").to_numpy()
+    least = [float(np.quantile(score, LEAST_QUANTILE)) if len(score) else 0.0]
+    for k in range(LENGTHS):
+        of = score[length == k]
+        least.append(float(np.quantile(of, LEAST_QUANTILE)) if len(of) >= LEAST_TEXTS else least[-1])
+    return least[1:]
+
+
+def keep_spoken(docs: DataFrame, net: ByteCnn | None, least: list[float]) -> DataFrame:
+    """The rows whose language the network names with the ``least`` score of their length at least; columns as they came."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, limit=1_000_000):
             langs, scores = predict(texts, net)
-            yield part.filter(pa.array([x != UNDECIDED and s >= least_score for x, s in zip(langs, scores)]))
+            yield part.filter(pa.array([x != UNDECIDED and s >= least[length_class(t)] for t, x, s in zip(texts, langs, scores)], pa.bool_()))
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -1,5 +1,6 @@
 """The registered queries at sf0.001: against SQL where there is some, else their shape and coverage."""
 
+import random
 from pathlib import Path
 
 import corpus_pipeline
@@ -50,3 +51,23 @@ def test_pipeline_keeps_one_of_each_group_and_packs_it(spark, sf_dir):
     assert sum(labels.get(i) == 0 for i in good) <= 0.2 * sum(labels.get(i) == 0 for i in spoken)
     whole = docs.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert all(r["sum(length)"] == r["max(doc_tokens)"] for r in whole)
+
+
+def test_language_stage_rejects_what_is_in_no_learned_language(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, rng = spark.read.parquet(f"{sf}/documents.parquet"), random.Random(3)
+    unlearned = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan ja heille on annettu järki ja omatunto. ",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах, они наделены разумом и совестью. ",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są obdarzeni rozumem i sumieniem. ",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar, akıl ve vicdana sahiptirler. ",
+    ]
+    texts = [t * 40 for t in unlearned]
+    texts += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(1500)) for _ in range(20)]
+    ids = range(10**9, 10**9 + len(texts))
+    more = spark.createDataFrame([(i, t, None, "test", len(t)) for i, t in zip(ids, texts)], docs.select(*corpus_pipeline.COLUMNS).schema)
+    kept = corpus_pipeline.language(spark, docs.select(*corpus_pipeline.COLUMNS).unionAll(more), sf)
+    kept = {r[0] for r in kept.select("doc_id").collect()}
+    clean = {r[0] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").join(docs, "doc_id").select("doc_id").collect()}
+    assert not kept & set(ids)
+    assert len(clean - kept) <= 0.02 * len(clean)
