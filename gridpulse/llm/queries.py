@@ -11,6 +11,7 @@ from gridpulse.llm import (
     batched_bpe,
     binary_packing,
     byte_cnn,
+    collocations,
     divergence,
     jaccard_tiles,
     oneperm,
@@ -74,6 +75,10 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(docs, net).select("doc_id", byte_cnn.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_site_tree,
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_batched_bpe,
         op9_zip_warc,
         op10_byte_cnn,
+        op13_collocations,
     )
     return {f.__name__: f for f in found}
 
@@ -186,5 +192,35 @@ FROM judged
 """
 
 
+C = collocations
+OP13_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\n-\\r]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+spots AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, {C.LONGEST + 1})) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM spots GROUP BY ALL HAVING count(*) >= {C.LEAST}
+), c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, cut, x.f AS l, y.f AS r,
+    CAST(({C.SCALE} * CAST(c.f AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1 : c.k], ' ')
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+subs AS (SELECT lang, w, k, f, unnest(range(2, k)) AS width FROM c),
+inner_spots AS (SELECT *, unnest(range(1, k - width + 2)) AS i FROM subs),
+longer AS (SELECT lang, array_to_string(w[i : i + width - 1], ' ') AS phrase, max(f) AS f FROM inner_spots GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase WHERE 100 * coalesce(g.f, 0) < {C.CONTAINED} * a
+)
+SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= {C.MOST_RANKED}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_divergence": OP4_SQL, "op7_jaccard_tiles": OP7_SQL, "op9_zip_warc": OP9_SQL}
+    return {"op4_divergence": OP4_SQL, "op7_jaccard_tiles": OP7_SQL, "op9_zip_warc": OP9_SQL, "op13_collocations": OP13_SQL}
