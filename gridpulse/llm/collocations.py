@@ -58,7 +58,7 @@ class Words:
 
     def numbers(self, lang: str, text: str) -> Iterator[np.ndarray]:
         """The word numbers of a text, segment by segment."""
-        number = self.number.setdefault(lang, {})
+        number = self.number.setdefault(lang, {b".": 0})
         data, at = text.encode().lower().translate(ENDS), 0
         while at < len(data):
             end, cut = at, at
@@ -67,9 +67,9 @@ class Words:
                 cut = len(data) if end == len(data) else max(data.rfind(b, at, end) for b in (b" ", b".", b"\t"))
             found = data[at:cut].replace(b".", b" . ").split()
             at = cut
-            for word in set(found) - number.keys():
-                number[word] = 0 if word == b"." else len(self.words)
-                if word != b".":
+            for word in set(found):
+                if word not in number:
+                    number[word] = len(self.words)
                     self.words.append(word)
                     self.langs.append(lang)
             yield np.fromiter(map(number.__getitem__, found), np.int64, len(found))

@@ -13,8 +13,10 @@ from gridpulse.llm import (
     byte_cnn,
     collocations,
     divergence,
+    feast,
     jaccard_tiles,
     oneperm,
+    pii,
     ppm,
     quality_net,
     site_tree,
@@ -75,6 +77,14 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.identify(docs, net).select("doc_id", byte_cnn.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
+def op12_feast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
@@ -91,6 +101,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_batched_bpe,
         op9_zip_warc,
         op10_byte_cnn,
+        op11_pii,
+        op12_feast,
         op13_collocations,
     )
     return {f.__name__: f for f in found}
@@ -192,6 +204,75 @@ FROM judged
 """
 
 
+P = pii
+PII_PATTERNS = {"email": P.EMAIL, "ip": P.IP, "card": P.CARD, "phone": P.PHONE, "national": P.NATIONAL, "iban": P.IBAN, "ssn": P.SSN}
+
+
+def spots_sql(source: str, text: str, pattern: str, kind: str) -> str:
+    """Matches of a pattern with their places and neighbours, from what lies between them."""
+    split = f"SELECT *, regexp_split_to_array({text}, '{pattern}') AS gaps, regexp_extract_all({text}, '{pattern}', 0) AS ms FROM {source}"
+    some = f"SELECT * FROM ({split}) WHERE len(ms) > 0"
+    return f"""SELECT * EXCLUDE (gaps, ms), '{kind}' AS kind, ms[i] AS m, gaps[i] AS gap, gaps[i + 1] AS gap_after,
+    list_sum(list_transform(gaps[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda x: length(x))), 0) AS pos
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM ({some}))"""
+
+
+def luhn_sql(d: str) -> str:
+    return f"""length({d}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length({d}) + 1), lambda i:
+      CAST(CASE WHEN i % 2 = 0 THEN translate(reverse({d})[i], '0123456789', '0246813579') ELSE reverse({d})[i] END AS INT))) % 10 = 0"""
+
+
+def points_sql(kind: str, least: int) -> str:
+    """Points of spans of a kind from their form and the words in ``near``."""
+    said = lambda words, n: f"CASE WHEN regexp_matches(near, '(?:^|[^a-z])(?:{words})(?:[^a-z]|$)') THEN {n} ELSE 0 END"
+    n = P.WORD_POINTS[kind]
+    made = f"{least} + {said(P.FOR[kind], n)}"
+    return f"{made} - {said(P.AGAINST[kind], n)}" if kind in P.AGAINST else made
+
+
+CARD_POINTS = f"{points_sql('card', P.POINTS['card'])} + CASE WHEN regexp_matches(digits, '{P.ISSUER}') THEN {P.ISSUER_POINTS} ELSE 0 END"
+IBAN_LENGTHS = "MAP {" + ", ".join(f"'{k}': {v}" for k, v in P.IBAN_LENGTH.items()) + "}"
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(spots_sql("d", "t", p.plain, kind) for kind, p in PII_PATTERNS.items())}),
+spots AS (
+  SELECT r, kind, m, CAST(pos AS INT) AS pos, right(gap, 1) AS lead_char, regexp_replace(m, '[^0-9]+', '', 'g') AS digits,
+    translate(concat(right(gap, {P.BEFORE}), ' ', left(gap_after, {P.AFTER})), '{UPPER}', '{LOWER}') AS near FROM raw
+), checked AS (SELECT *, {luhn_sql("digits")} AS real FROM spots WHERE kind = 'card'),
+runs AS (SELECT r, m AS run, pos AS run_pos, near AS run_near FROM checked WHERE NOT real),
+inner_spots AS ({spots_sql("runs", "run", P.GROUP.plain, "card")}),
+groups AS (SELECT r, m, CAST(run_pos + pos AS INT) AS pos, run_near AS near, m AS digits FROM inner_spots WHERE {luhn_sql("m")}),
+heads AS (SELECT *, left(m, {P.MOST_CODES + 1}) AS head, {IBAN_LENGTHS}[left(m, 2)] AS size FROM spots WHERE kind = 'iban' AND length(m) >= 15),
+ended AS (
+  SELECT *, list_filter(range(15, least({P.MOST_CODES}, length(head)) + 1), lambda n: length(replace(left(head, n), ' ', '')) = size)[1] AS n FROM heads
+), accounts AS (
+  SELECT *, left(head, n) AS whole, replace(substr(replace(left(head, n), ' ', ''), 5) || left(head, 4), ' ', '') AS turned
+  FROM ended WHERE n IS NOT NULL AND head[n + 1] IN ('', ' ')
+), valid AS (
+  SELECT * FROM accounts WHERE list_reduce(list_prepend(0, list_transform(range(1, length(turned) + 1), lambda i: CAST(ascii(turned[i]) AS BIGINT))),
+    lambda a, c: CASE WHEN c >= 65 THEN a * 100 + c - 55 ELSE a * 10 + c - 48 END % 97) = 1
+), spans AS (
+  SELECT r, pos, 0 AS ord, length(m) AS n, kind, {points_sql("email", P.POINTS["email"])} AS score, true AS base FROM spots WHERE kind = 'email'
+  UNION ALL SELECT r, pos, 1, length(m), kind, {points_sql("ip", P.POINTS["ip"])}, true FROM spots WHERE kind = 'ip' AND regexp_matches(m, '{P.IP_FORM}')
+  UNION ALL SELECT r, pos, 2, length(m), kind, {CARD_POINTS}, true FROM checked WHERE real
+  UNION ALL SELECT r, pos, 2, length(m), 'card', {CARD_POINTS}, false FROM groups
+  UNION ALL SELECT r, pos, 3, length(m), kind, {points_sql("phone", P.POINTS["phone"])}, true FROM spots WHERE kind = 'phone' AND length(digits) BETWEEN 9 AND 15
+  UNION ALL SELECT r, pos, 3, length(m), 'phone', {points_sql("phone", P.NATIONAL_POINTS)}, false FROM spots
+    WHERE kind = 'national' AND lead_char <> '+' AND regexp_matches(m, '{P.NATIONAL_FORM}')
+  UNION ALL SELECT r, pos, 4, n, kind, {points_sql("iban", P.POINTS["iban"])}, false FROM valid
+  UNION ALL SELECT r, pos, 5, length(m), kind, {points_sql("ssn", P.POINTS["ssn"])}, false FROM spots WHERE kind = 'ssn' AND regexp_matches(m, '{P.SSN_FORM}')
+), kept AS (SELECT *, concat_ws(':', kind, pos, pos + n) AS span FROM spans WHERE base OR score >= {P.LEAST_SCORE}),
+all_of AS (
+  SELECT r, count(*) FILTER (base AND ord = 0) AS n_email, count(*) FILTER (base AND ord = 1) AS n_ip, count(*) FILTER (base AND ord = 2) AS n_card,
+    count(*) FILTER (base AND ord = 3) AS n_phone, string_agg(span, ',' ORDER BY pos, ord, n) FILTER (base) AS base_spans,
+    string_agg(span, ',' ORDER BY pos, ord, n) AS spans, string_agg(CAST(score AS VARCHAR), ',' ORDER BY pos, ord, n) AS scores
+  FROM kept GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN all_of USING (r)
+"""
+
 C = collocations
 OP13_SQL = f"""
 WITH pieces AS (
@@ -223,4 +304,4 @@ SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_divergence": OP4_SQL, "op7_jaccard_tiles": OP7_SQL, "op9_zip_warc": OP9_SQL, "op13_collocations": OP13_SQL}
+    return {"op4_divergence": OP4_SQL, "op7_jaccard_tiles": OP7_SQL, "op9_zip_warc": OP9_SQL, "op11_pii": OP11_SQL, "op13_collocations": OP13_SQL}
