@@ -22,9 +22,10 @@ from gridpulse.sources.files import envelope_stream
 from gridpulse.sources.jdbc import Database
 from gridpulse.sources.kafka import topic_options, topic_stream
 from gridpulse.sources.objectstore import with_object_store
+from gridpulse.streaming.backlog import run_backlog
 from gridpulse.streaming.jobs import drain, start_gold, start_ingest, start_serving, wait_any
 from gridpulse.streaming.progress import ThroughputReport, line, throughput
-from gridpulse.streaming.serving import JdbcServing, ParquetServing, ServingTable
+from gridpulse.streaming.serving import JdbcServing, LedgerServing, ServingTable
 
 
 def _ingest(session: SparkSession, pipeline: Pipeline, args: argparse.Namespace) -> StreamingQuery:
@@ -42,11 +43,11 @@ def _ingest(session: SparkSession, pipeline: Pipeline, args: argparse.Namespace)
     return start_ingest(envelopes, pipeline, cluster=args.cluster)
 
 
-def _serving(session: SparkSession, pipeline: Pipeline, grain: Granularity) -> ServingTable:
+def _serving(session: SparkSession, pipeline: Pipeline, grain: Granularity) -> ServingTable | LedgerServing:
     if "GRIDPULSE_JDBC_URL" in os.environ:
         table = os.environ.get(f"GRIDPULSE_TABLE_{grain.name.upper()}", f"readings_{grain.name}")
         return JdbcServing(Database.from_env(), table)
-    return ParquetServing(pipeline.serving(grain), pipeline.zone).create(session)
+    return LedgerServing(pipeline.serving(grain), pipeline.zone).create(session)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -77,11 +78,14 @@ def main(argv: list[str] | None = None) -> None:
     chosen = list(steps) if args.job == "all" else [args.job]
     if args.once:
         for step in chosen:  # in order, so that each step sees all the files of the one before
-            queries = steps[step]()
-            drain(*queries)
-            for query in queries:
-                for batch in throughput(query):
-                    print(line(batch))
+            if step == "gold":  # as much state at a time as a few hours need, however long the backlog
+                batches = [batch for grain in GRANULARITIES for batch in run_backlog(session, grain, pipeline)]
+            else:
+                queries = steps[step]()
+                drain(*queries)
+                batches = [batch for query in queries for batch in throughput(query)]
+            for batch in batches:
+                print(line(batch))
     else:
         session.streams.addListener(ThroughputReport())
         for step in chosen:

@@ -41,6 +41,8 @@ class Pipeline:
     hour: the hash of (date, hour) alone would leave a batch, which touches one or
     two hours, to one or two tasks. Without ``write_width`` a batch is written by as
     many tasks as the session shuffles to, which a backfill of many hours needs.
+
+    ``backlog_hours`` folders of Silver are one step of a backlog, and bound its state.
     """
 
     root: str
@@ -53,6 +55,7 @@ class Pipeline:
     write_width: int | None = 4
     write_salt: int = 4
     max_files_per_trigger: int | None = None
+    backlog_hours: int = 6
     rocksdb_state: bool = True
     decimals: int | None = None
     names: Mapping[str, str] = field(default_factory=dict)
@@ -89,7 +92,7 @@ class Pipeline:
         for key in ("zone", "lateness", "ingest_trigger", "gold_trigger"):
             if f"GRIDPULSE_{key.upper()}" in env:
                 given[key] = env[f"GRIDPULSE_{key.upper()}"]
-        for key in ("state_partitions", "write_width", "write_salt", "max_files_per_trigger", "decimals"):
+        for key in ("state_partitions", "write_width", "write_salt", "max_files_per_trigger", "backlog_hours", "decimals"):
             if f"GRIDPULSE_{key.upper()}" in env:
                 given[key] = int(env[f"GRIDPULSE_{key.upper()}"])
         layers = ["silver"] + [f"{layer}_{g.name}" for layer in ("gold", "serving") for g in GRANULARITIES]

@@ -6,13 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse import schemas
+from gridpulse.functions import means
 from gridpulse.functions.clock import Moment, instant, local_date, local_hour
-from gridpulse.functions.means import fixed_point_mean
 
 
-def _mean(name: str, decimals: int | None) -> Column:
-    mean = F.avg(name) if decimals is None else fixed_point_mean(F.col(name), decimals)
-    return mean.alias(f"avg_{name}")
+#: Readings that a roll-up averages.
+AVERAGED = ("power_kw", "pv_panel_kw", "ev_charging_kw")
+
+
+def partial_columns(decimals: int | None) -> list[str]:
+    """What a window holds until it is finished, in the order in which a stream's state keeps it."""
+    return ["max_power_kw", *(f"{name}__{part}" for name in AVERAGED for part in means.parts_of(decimals))]
+
+
+def partials(decimals: int | None) -> list[Column]:
+    made = {"max_power_kw": F.max("power_kw")}
+    for name in AVERAGED:
+        made |= {f"{name}__{part}": column for part, column in means.sums(F.col(name), decimals).items()}
+    return [made[c].alias(c) for c in partial_columns(decimals)]
+
+
+def finish(rolled: DataFrame, decimals: int | None) -> DataFrame:
+    """Means from the partial columns."""
+    parts = {name: {part: F.col(f"{name}__{part}") for part in means.parts_of(decimals)} for name in AVERAGED}
+    made = {f"avg_{name}": means.mean(parts[name], decimals) for name in AVERAGED}
+    return rolled.withColumns(made).select(*schemas.SERVING_COLUMNS)
 
 
 def roll_up(
@@ -35,8 +53,8 @@ def roll_up(
     outside are filtered first, on ``event_time`` itself, which a scan understands;
     it does not see through the window arithmetic.
 
-    ``decimals`` names the resolution of the readings; means are then summed in
-    fixed point and do not depend on partitioning.
+    Means are summed exactly and do not depend on partitioning. ``decimals`` names the
+    resolution of the readings; their decimal values are then summed in fixed point.
     """
     slot = F.window("event_time", width)
     if since is not None:
@@ -53,14 +71,8 @@ def roll_up(
         windows = readings.withColumns({"start": slot.start}).groupBy("house_id", "start")
         start, end = "start", F.col("start") + F.expr(f"INTERVAL '{width}'")
 
-    rolled = windows.agg(
-        _mean("power_kw", decimals),
-        F.max("power_kw").alias("max_power_kw"),
-        _mean("pv_panel_kw", decimals),
-        _mean("ev_charging_kw", decimals),
-    )
-    gold = rolled.withColumns({"window_start": F.col(start), "window_end": end}).select(*schemas.SERVING_COLUMNS)
-    return between(gold, since, until)
+    rolled = windows.agg(*partials(decimals)).withColumns({"window_start": F.col(start), "window_end": end})
+    return between(finish(rolled, decimals), since, until)
 
 
 def between(gold: DataFrame, since: Moment | None, until: Moment | None) -> DataFrame:

@@ -17,6 +17,7 @@ from gridpulse.plans.common import (
     DECIMALS,
     HOUSE,
     dense_gold,
+    dense_readings,
     encoded,
     mixed_envelopes,
     portable,
@@ -59,6 +60,16 @@ def gold_of(grain: Granularity):
     return query
 
 
+def gold_avg_of(grain: Granularity):
+    """Means as the jobs compute them by default: of the readings' doubles, summed exactly."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = gold.roll_up(dense_readings(spark, sf_dir), grain.width)
+        return portable(gold.with_partition_keys(table, BUSINESS_ZONE))
+
+    return query
+
+
 def serving_of(grain: Granularity):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored = gold.with_partition_keys(dense_gold(spark, sf_dir, grain), BUSINESS_ZONE)
@@ -226,6 +237,7 @@ def queries() -> dict:
     for grain in GRANULARITIES:
         registered |= {
             f"gold_{grain.name}": gold_of(grain),
+            f"gold_avg_{grain.name}": gold_avg_of(grain),
             f"gold_files_{grain.name}": gold_files_of(grain),
             f"serving_{grain.name}": serving_of(grain),
             f"house_list_{grain.name}": house_list_of(grain),

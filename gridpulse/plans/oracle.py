@@ -32,6 +32,12 @@ def _mean(x: str) -> str:
     return f"CAST(SUM(CAST(ROUND({x} * 1000) AS BIGINT)) AS DOUBLE) / 1000 / COUNT({x}) AS avg_{x}"
 
 
+def _exact_mean(x: str) -> str:
+    """The doubles of the test readings are multiples of 2^-60, so their sum is exact in units of that; text turns into the nearest double."""
+    unit = "CAST(1152921504606846976 AS DOUBLE)"
+    return f"CAST(CAST(SUM(CAST({x} * {unit} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {unit} / COUNT({x}) AS avg_{x}"
+
+
 def _local(us: str) -> str:
     return f"((make_timestamp({us}) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Berlin')"
 
@@ -41,12 +47,12 @@ def _keys(us: str, day: str) -> str:
     CAST(EXTRACT(hour FROM {_local(us)}) AS INTEGER) AS hour"""
 
 
-def _gold(grain: str, readings: str = _DENSE, source: str = "m") -> str:
+def _gold(grain: str, readings: str = _DENSE, source: str = "m", mean=_mean) -> str:
     """CTEs ending in g: all windows of a width."""
     start = f"us - us % {_WIDTH[grain]}"
     return f"""WITH {readings}, g AS (
   SELECT house_id, {start} AS window_start, {start} + {_WIDTH[grain]} AS window_end,
-    {_mean("power_kw")}, MAX(power_kw) AS max_power_kw, {_mean("pv_panel_kw")}, {_mean("ev_charging_kw")}
+    {mean("power_kw")}, MAX(power_kw) AS max_power_kw, {mean("pv_panel_kw")}, {mean("ev_charging_kw")}
   FROM {source} GROUP BY house_id, {start})"""
 
 
@@ -117,6 +123,8 @@ SELECT event_id, ROUND(power_kw - ev_charging_kw + pv_panel_kw, 6) AS house_load
         last = "(SELECT MAX(window_start) FROM g)"
         sql |= {
             f"gold_{grain}": _with_keys(gold),
+            f"gold_avg_{grain}": _with_keys(_gold(grain, mean=_exact_mean)),
+            f"stream_open_windows_{grain}": f"{gold} SELECT {_SERVING} FROM g WHERE NOT ({_closed()})",
             f"serving_{grain}": f"{gold} SELECT {_SERVING} FROM g",
             f"serving_replay_{grain}": f"{gold} SELECT {_SERVING} FROM g",
             f"house_list_{grain}": f"{gold} SELECT DISTINCT house_id FROM g ORDER BY house_id",
@@ -128,6 +136,7 @@ WHERE house_id = '{_HOUSE}' ORDER BY window_start""",
             f"retention_{grain}": f"""{_gold(grain, _REAL)} SELECT {_SERVING} FROM g
 WHERE window_start >= epoch_us(make_timestamp({last}) - INTERVAL '{_KEEP[grain]}')""",
             f"stream_gold_{grain}": _with_keys(gold, _closed()),
+            f"stream_backlog_{grain}": _with_keys(gold, _closed()),
             f"stream_restart_{grain}": _with_keys(gold, _closed()),
             f"stream_late_{grain}": _late(grain),
             f"gold_files_{grain}": f"""SELECT event_date, hour, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows

@@ -17,9 +17,11 @@ from gridpulse.plans.common import DECIMALS, HOUSE, dense_gold, dense_readings,
 from gridpulse.session import job_session, shared_folder
 from gridpulse.sources.events import events_stream, readings
 from gridpulse.sources.files import envelope_stream, gold_table, silver_table
+from gridpulse.streaming.backlog import run_backlog
 from gridpulse.streaming.jobs import drain, start_gold, start_ingest, start_serving
 from gridpulse.streaming.progress import throughput
-from gridpulse.streaming.serving import ParquetServing
+from gridpulse.streaming.serving import LedgerServing
+from gridpulse.streaming.state import open_windows
 
 
 def backfill(spark: SparkSession, label: str) -> tuple[SparkSession, Pipeline]:
@@ -64,6 +66,17 @@ def stream_gold_of(grain: Granularity):
     return query
 
 
+def stream_open_windows_of(grain: Granularity):
+    """What the Gold query holds after it has read everything: the windows it has not written, read from its state."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session, pipeline = backfill(spark, f"open-{grain.name}")
+        drain(start_gold(session, grain, pipeline, readings(events_stream(session, sf_dir))))
+        return portable(open_windows(session, grain, pipeline))
+
+    return query
+
+
 def gold_of_arrivals(spark: SparkSession, sf_dir: str, grain: Granularity, label: str, arrivals) -> DataFrame:
     """Gold after each arrival was appended to Silver and the query run again on its checkpoint."""
     session, pipeline = backfill(spark, f"{label}-{grain.name}")
@@ -97,17 +110,37 @@ def stream_restart_of(grain: Granularity):
     return lambda spark, sf_dir: gold_of_arrivals(spark, sf_dir, grain, "restart", arrivals)
 
 
+APPENDS = 10
+
+
+def stream_backlog_of(grain: Granularity):
+    """Silver of ten appends, the last times first and every append all over the month, read in the order of time."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session, pipeline = backfill(spark, f"backlog-{grain.name}")
+        rows = dense_readings(session, sf_dir)
+        dealt = F.pmod(F.floor(F.unix_micros("event_time") / F.lit(420_000_000)), F.lit(APPENDS))
+        stored = silver.with_partition_keys(rows.drop("event_id").withColumns({"timestamp": iso_utc("event_time")}), BUSINESS_ZONE)
+        for append in reversed(range(APPENDS)):
+            arrived = balance_for_write(stored.filter(dealt == append), schemas.SILVER_PARTITIONS)
+            arrived.write.mode("append").partitionBy(*schemas.SILVER_PARTITIONS).parquet(pipeline.silver)
+        run_backlog(session, grain, pipeline, hours=2)
+        return portable(gold_table(spark, pipeline.gold(grain)))
+
+    return query
+
+
 def stream_chain_of(grain: Granularity):
     """Envelopes -> Silver -> Gold -> serving, each query fed by the files of the one before."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         session, pipeline = backfill(spark, f"chain-{grain.name}")
         landing = land(encoded(dense_readings(session, sf_dir)), pipeline)
-        serving = ParquetServing(pipeline.serving(grain), pipeline.zone).create(session)
+        serving = LedgerServing(pipeline.serving(grain), pipeline.zone).create(session)
         drain(start_ingest(envelope_stream(session, landing), pipeline))
         drain(start_gold(session, grain, pipeline))
         drain(start_serving(session, grain, pipeline, serving))
-        return portable(gold_table(spark, serving.path).select(*schemas.SERVING_COLUMNS))
+        return portable(serving.read(spark).select(*schemas.SERVING_COLUMNS))
 
     return query
 
@@ -116,12 +149,12 @@ def stream_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five queries; those of the two widths run side by side in one session."""
     session, pipeline = backfill(spark, "all")
     landing = land(encoded(dense_readings(session, sf_dir)), pipeline)
-    tables = {g: ParquetServing(pipeline.serving(g), pipeline.zone).create(session) for g in GRANULARITIES}
+    tables = {g: LedgerServing(pipeline.serving(g), pipeline.zone).create(session) for g in GRANULARITIES}
     drain(start_ingest(envelope_stream(session, landing), pipeline))
     drain(*(start_gold(session, grain, pipeline) for grain in GRANULARITIES))
     drain(*(start_serving(session, grain, pipeline, table) for grain, table in tables.items()))
     served = (
-        gold_table(spark, table.path).select(F.lit(grain.name).alias("grain"), *schemas.SERVING_COLUMNS)
+        table.read(spark).select(F.lit(grain.name).alias("grain"), *schemas.SERVING_COLUMNS)
         for grain, table in tables.items()
     )
     return portable(reduce(DataFrame.unionAll, served))
@@ -135,13 +168,13 @@ def serving_replay_of(grain: Granularity):
         stored = gold.with_partition_keys(dense_gold(session, sf_dir, grain), BUSINESS_ZONE)
         rows = balance_for_write(stored, schemas.GOLD_PARTITIONS, schemas.SERVING_KEY)
         rows.write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(pipeline.gold(grain))
-        serving = ParquetServing(pipeline.serving(grain), pipeline.zone).create(session)
+        serving = LedgerServing(pipeline.serving(grain), pipeline.zone).create(session)
         drain(start_serving(session, grain, pipeline, serving))
         forgetful = replace(
             pipeline, root=f"{pipeline.root}/again", names={f"gold_{grain.name}": pipeline.gold(grain)}
         )
         drain(start_serving(session, grain, forgetful, serving))
-        return portable(gold_table(spark, serving.path).select(*schemas.SERVING_COLUMNS))
+        return portable(serving.read(spark).select(*schemas.SERVING_COLUMNS))
 
     return query
 
@@ -156,6 +189,8 @@ def queries() -> dict:
     for grain in GRANULARITIES:
         registered |= {
             f"stream_gold_{grain.name}": stream_gold_of(grain),
+            f"stream_open_windows_{grain.name}": stream_open_windows_of(grain),
+            f"stream_backlog_{grain.name}": stream_backlog_of(grain),
             f"stream_late_{grain.name}": stream_late_of(grain),
             f"stream_restart_{grain.name}": stream_restart_of(grain),
             f"serving_replay_{grain.name}": serving_replay_of(grain),

@@ -24,7 +24,7 @@ from gridpulse.operators import gold
 from gridpulse.operators.layout import balance_for_write, cluster_for_write
 from gridpulse.operators.silver import silver
 from gridpulse.sources.files import gold_stream, silver_stream
-from gridpulse.streaming.serving import ServingTable, replay_safe
+from gridpulse.streaming.serving import LedgerServing, ServingTable, ledgered, replay_safe
 from gridpulse.streaming.sinks import append_parquet, each_batch
 
 
@@ -67,7 +67,7 @@ def start_gold(
     """Silver, or another stream of readings, to Gold.
 
     A batch takes all files that wait. Steps of a few files would move the watermark past rows of
-    a backlog that was not written in the order of time, and lose them.
+    a backlog that was not written in the order of time, and lose them; ``backlog.run_backlog`` takes its folders in that order.
     """
     if readings is None:
         readings = silver_stream(session, pipeline.silver)
@@ -82,14 +82,15 @@ def start_gold(
 
 
 def start_serving(
-    session: SparkSession, grain: Granularity, pipeline: Pipeline, table: ServingTable
+    session: SparkSession, grain: Granularity, pipeline: Pipeline, table: ServingTable | LedgerServing
 ) -> StreamingQuery:
     """Gold to a serving table."""
+    checkpoint = pipeline.checkpoint(f"serving_{grain.name}")
     return each_batch(
         gold_stream(session, pipeline.gold(grain), pipeline.max_files_per_trigger),
         f"serving_{grain.name}",
-        replay_safe(table),
-        pipeline.checkpoint(f"serving_{grain.name}"),
+        ledgered(table, checkpoint) if isinstance(table, LedgerServing) else replay_safe(table),
+        checkpoint,
         pipeline.trigger(pipeline.gold_trigger),
     )
 

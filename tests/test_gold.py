@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.config import BUSINESS_ZONE, ONE_MINUTE, QUARTER_HOUR
+from gridpulse.functions.means import exact_mean, fixed_point_mean
 from gridpulse.operators import gold
 from gridpulse.operators.gold import roll_up
 from gridpulse.operators.silver import silver
@@ -66,9 +67,30 @@ def test_fixed_point_mean_does_not_depend_on_partitioning(spark):
     )
     exact = sum(round(v * 1000) for v in values) / 1000 / len(values)
     for partitions in (1, 3, 16):
-        got = roll_up(df.repartition(partitions), "1 minute", decimals=3).first().avg_power_kw
-        assert got == exact
-    assert roll_up(df, "1 minute").first().avg_power_kw == pytest.approx(exact, abs=1e-9)
+        dealt = df.repartition(partitions)
+        assert roll_up(dealt, "1 minute", decimals=3).first().avg_power_kw == exact
+        assert roll_up(dealt, "1 minute").first().avg_power_kw == math.fsum(values) / len(values)
+
+
+def test_means_equal_an_exact_sum_rounded_once(spark):
+    rng, groups = random.Random(3), []
+    for _ in range(200):
+        scale = rng.choice([0, 5, -20, 30, 50, 60])
+        sizes = (2.0 ** rng.choice([scale, scale - 10, scale + 1]) for _ in range(rng.randrange(1, 40)))
+        groups.append([rng.choice([1, -1]) * rng.random() * size for size in sizes])
+    groups += [[1.0, -1.0, 2.0**-43], [2.0**53, 1.0, 2.0**-40], [0.1] * 10, [-0.1] * 10, [7.4, -7.4], [2.0**-30, 2.0**-80 - 2.0**-30]]
+    groups += [[-(2.0**-50)], [1.0, 2.0**-53, 2.0**-90], [1.0, 2.0**-53], [2.0**61, -(2.0**61), 3.0], [2.0**61] * 40, [0.0], []]
+    rows = [(i, v) for i, group in enumerate(groups) for v in [*group, None]]
+    rng.shuffle(rows)
+    means = spark.createDataFrame(rows, "g INT, x DOUBLE").repartition(7).groupBy("g").agg(exact_mean(F.col("x")).alias("m"))
+    assert dict(means.collect()) == {i: math.fsum(g) / len(g) if g else None for i, g in enumerate(groups)}
+
+
+def test_readings_beyond_the_limbs_act_as_in_avg(spark):
+    rows = [(1, 1e300), (1, 1e300), (1, -1e300), (2, math.inf), (2, 1.0), (3, math.nan), (4, 2.0**62), (4, 1.0)]
+    df = spark.createDataFrame(rows, "g INT, x DOUBLE")
+    both = df.groupBy("g").agg(exact_mean(F.col("x")), fixed_point_mean(F.col("x"), 3), F.avg("x")).collect()
+    assert all(str(a) == str(b) == str(c) for _, a, b, c in both) and len(both) == 4
 
 
 @pytest.mark.parametrize("grain", [ONE_MINUTE, QUARTER_HOUR], ids=lambda g: g.name)
@@ -100,5 +122,5 @@ def test_one_shuffle_after_partial_aggregation(spark, sf_dir):
     physical = plan(roll_up(readings(events(spark, sf_dir)), "1 minute"))
     tree = physical.split("(1) Scan")[0]
     assert tree.count("Exchange") == 1 and tree.count("HashAggregate") == 2
-    assert "partial_avg" in physical and "partial_max" in physical
+    assert "partial_sum" in physical and "partial_max" in physical
     assert "ReadSchema: struct<ts:timestamp,event_type:string,value:double,props:string>" in physical

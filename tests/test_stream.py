@@ -17,6 +17,7 @@ from gridpulse.sources.files import envelope_stream, gold_table, silver_table
 from gridpulse.streaming.jobs import drain, gold_rows, start_gold, start_ingest, wait_any
 from gridpulse.streaming.progress import ThroughputReport, line, throughput, throughput_table
 from gridpulse.streaming.sinks import append_parquet, each_batch
+from gridpulse.streaming.state import open_windows, state_layout
 from helpers import at, land, plan, reading, rolled
 
 
@@ -187,6 +188,34 @@ def test_state_width_is_fixed_by_the_checkpoint(session, spark, pipeline):
     assert {s.numShufflePartitions for p in query.recentProgress for s in p.stateOperators} == {4}
 
 
+def test_state_layout_after_a_restart_with_another_width(session, spark, pipeline):
+    send(session, pipeline, (1, "10:00:00", 1.0))
+    run_gold(session, pipeline)
+    wider = job_session(spark, pipeline)
+    wider.conf.set("spark.sql.shuffle.partitions", "7")
+    send(wider, pipeline, (1, "10:05:00", 1.0))
+    run_gold(wider, pipeline)
+    (row,) = state_layout(spark, ONE_MINUTE, pipeline).collect()
+    assert (row.operator, row.partitions, row.first_batch) == ("stateStoreSave", 4, 0) and row.last_batch >= 2
+
+
+@pytest.mark.parametrize("decimals", [None, 3])
+def test_open_windows_hold_what_gold_has_not_written(session, pipeline, decimals):
+    pipeline = replace(pipeline, decimals=decimals)
+    send(session, pipeline, (1, "10:00:00", 1.0), (1, "10:00:30", 2.0), (2, "10:04:00", None), (1, "10:05:30", 5.0))
+    written, _ = run_gold(session, pipeline)
+    held = rolled(open_windows(session, ONE_MINUTE, pipeline))
+    assert written == {("1", at("10:00")): (1.5, 2.0)}  # the watermark stands at 10:03:30
+    assert held == {("2", at("10:04")): (None, None), ("1", at("10:05")): (5.0, 5.0)}
+    send(session, pipeline, (2, "10:04:59", 3.0), (1, "10:05:40", 6.0), (3, "10:20:00", 1.0))
+    before = rolled(open_windows(session, ONE_MINUTE, pipeline))
+    assert before == held  # Silver has more, the query has not run
+    written, _ = run_gold(session, pipeline)
+    assert written[("2", at("10:04"))] == (3.0, 3.0) and written[("1", at("10:05"))] == (5.5, 6.0)
+    assert rolled(open_windows(session, ONE_MINUTE, pipeline)) == {("3", at("10:20")): (1.0, 1.0)}
+    assert rolled(open_windows(session, ONE_MINUTE, pipeline, batch_id=0)).keys() >= held.keys()
+
+
 def test_gold_stream_reads_only_what_it_needs(session, pipeline):
     send(session, pipeline, (1, "10:00:00", 1.0))
     _, query = run_gold(session, pipeline)
