@@ -70,6 +70,14 @@ class Pipeline:
     def serving(self, grain: Granularity) -> str:
         return self.names.get(f"serving_{grain.name}", f"{self.root}/serving/readings_{grain.name}")
 
+    @property
+    def houses(self) -> str:
+        return self.names.get("houses", f"{self.root}/houses")
+
+    @property
+    def metrics(self) -> str:
+        return self.names.get("metrics", f"{self.root}/metrics")
+
     def checkpoint(self, query: str) -> str:
         """One folder per query: offsets, state and commits are never shared."""
         return f"{self.root}/_checkpoints/{query}"

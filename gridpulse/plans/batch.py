@@ -20,6 +20,7 @@ from gridpulse.plans.common import (
     dense_readings,
     encoded,
     mixed_envelopes,
+    null_key_envelopes,
     portable,
     real_readings,
 )
@@ -37,6 +38,11 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(rows.drop("timestamp"))
 
 
+def silver_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_partition_keys(clean(parse(null_key_envelopes(spark, sf_dir))), BUSINESS_ZONE)
+    return portable(rows.drop("timestamp"))
+
+
 def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = encoded(real_readings(spark, sf_dir))
     return portable(clean(parse(sent)).drop("timestamp"))
@@ -224,6 +230,7 @@ def queries() -> dict:
     registered = {
         "silver_parse": silver_parse,
         "silver_clean": silver_clean,
+        "silver_null_keys": silver_null_keys,
         "event_encode": event_encode,
         "layer_scan": layer_scan,
         "profile_hour_frac": profile_hour_frac,

@@ -64,3 +64,15 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sent = encoded(real_readings(spark, sf_dir, house="user_id"))
     return sent.unionAll(documents).unionAll(foreign)
+
+
+def null_key_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that each lack one thing: the house, with a readable time; a readable time, with a house; and a metric, for which
+    they send a text, with both keys."""
+    rows = real_readings(spark, sf_dir)
+    time = iso_utc("event_time").alias("timestamp")
+    house = F.when(F.col("house_id") != HOUSE, F.col("house_id")).alias("house_id")
+    no_house = wire.encode(house, time, "pv_panel_kw", "power_kw")
+    no_time = wire.encode("house_id", F.col("house_id").alias("timestamp"), "power_kw", "voltage")
+    no_metric = wire.encode("house_id", time, F.col("house_id").alias("pv_panel_kw"), "power_kw")
+    return rows.select(F.explode(F.array(no_house, no_time, no_metric)).alias("value"))

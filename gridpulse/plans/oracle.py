@@ -74,6 +74,10 @@ def _late(grain: str) -> str:
 
 _CLEAN = f"""SELECT CAST(user_id AS VARCHAR) AS house_id, {_METRICS}, epoch_us(ts) AS event_time,
     {_keys("epoch_us(ts)", "dt")} FROM events"""
+# Of three payloads per reading the one without a time goes, and of those of one house also the one without a house.
+_NULL_KEYS = f"""SELECT event_type AS house_id, CASE WHEN i = 1 THEN pv_panel_kw END AS pv_panel_kw, CAST(NULL AS DOUBLE) AS ev_charging_kw, power_kw,
+    CAST(NULL AS DOUBLE) AS voltage, epoch_us(ts) AS event_time, {_keys("epoch_us(ts)", "dt")}
+FROM (SELECT *, {_METRICS} FROM events), (SELECT unnest([1, 2]) AS i) WHERE i = 2 OR event_type <> '{_HOUSE}'"""
 _HOUR = "(EXTRACT(hour FROM ts) + EXTRACT(minute FROM ts) / 60 + FLOOR(EXTRACT(second FROM ts)) / 3600)"
 _H = f"WITH p AS (SELECT event_id, value, {_HOUR} AS h FROM events)"
 
@@ -101,6 +105,17 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM conversations""",
         "layer_scan": f"SELECT dt, hour, COUNT(*) AS n_rows FROM ({_CLEAN}) GROUP BY dt, hour",
         "stream_progress": """SELECT 'silver' AS query, (SELECT COUNT(*) FROM events)
     + 2 * (SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM conversations) AS input_rows""",
+        "silver_null_keys": _NULL_KEYS,
+        "stream_houses": "SELECT DISTINCT event_type AS house_id FROM events ORDER BY 1",
+        "stream_metrics": f"""
+WITH c AS (SELECT (SELECT COUNT(*) FROM events) AS e, (SELECT COUNT(*) FROM events WHERE event_type = '{_HOUSE}') AS k,
+    2 * (SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM conversations) AS bad),
+r AS (SELECT CAST(user_id AS VARCHAR) AS house_id, epoch_us(ts) AS us FROM events
+    UNION ALL SELECT house_id, event_time FROM ({_NULL_KEYS})),
+w AS (SELECT DISTINCT house_id, us - us % {_WIDTH["1min"]} + {_WIDTH["1min"]} AS window_end FROM r),
+closed AS (SELECT COUNT(*) AS n FROM w WHERE window_end <= (SELECT MAX(us) FROM r) - {_LATENESS})
+SELECT 'silver' AS query, 4 * e + bad AS input_rows, k AS no_house, e + bad AS no_time, 0 AS late_rows, 3 * e - k AS written FROM c
+UNION ALL SELECT 'gold_1min', 3 * e - k, NULL, NULL, 0, n FROM c, closed""",
         "stream_chain_15min": f"{_gold('15min')} SELECT {_SERVING} FROM g WHERE {_closed()}",
         "stream_all_layers": " UNION ALL ".join(
             f"SELECT '{grain}' AS grain, * FROM ({_gold(grain)} SELECT {_SERVING} FROM g WHERE {_closed()})"
@@ -142,9 +157,15 @@ WHERE window_start >= epoch_us(make_timestamp({last}) - INTERVAL '{_KEEP[grain]}
             f"gold_files_{grain}": f"""SELECT event_date, hour, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows
 FROM ({_with_keys(gold)}) GROUP BY event_date, hour""",
         }
+        sql[f"stored_peek_{grain}"] = sql[f"peek_{grain}"]
+        sql[f"stored_range_{grain}"] = sql[f"panel_range_{grain}"]
+        sql[f"stored_sql_{grain}"] = sql[f"dashboard_sql_{grain}"]
+        sql[f"expire_{grain}"] = sql[f"retention_{grain}"]
+        sql[f"stream_live_{grain}"] = f"{gold} SELECT {_SERVING} FROM g WHERE {_closed()}"
         sql |= {
-            f"panel_{name}_{grain}": f"""{gold} SELECT window_start AS time, {column} AS value FROM g
+            f"{kind}_{name}_{grain}": f"""{gold} SELECT window_start AS time, {column} AS value FROM g
 WHERE house_id = '{_HOUSE}' ORDER BY window_start"""
             for name, column in _PANELS.items()
+            for kind in ("panel", "stored_panel")
         }
     return sql

@@ -37,6 +37,9 @@ SERVING_KEY = ("house_id", "window_start")
 GOLD_PARTITIONS = ("event_date", "hour")
 GOLD = SERVING.replace(" NOT NULL", "") + ", event_date DATE, hour INT"
 
+HOUSES = "house_id STRING"
+GOLD_TYPES = dict(column.split(" ", 1) for column in GOLD.split(", "))
+
 
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
     """Fail the write, naming the column, if a NOT NULL column holds a null.

@@ -36,3 +36,7 @@ def silver_table(spark: SparkSession, path: str) -> DataFrame:
 
 def gold_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.GOLD).parquet(path)
+
+
+def house_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.HOUSES).parquet(path)

@@ -16,6 +16,7 @@ Start the queries of one process from the same ``job_session``, so that
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse import schemas
@@ -23,11 +24,18 @@ from gridpulse.config import Granularity, Pipeline
 from gridpulse.operators import gold
 from gridpulse.operators.layout import balance_for_write, cluster_for_write
 from gridpulse.operators.silver import silver
+from gridpulse.sources.catalog import house_options
 from gridpulse.sources.files import gold_stream, silver_stream
 from gridpulse.streaming.serving import LedgerServing, ServingTable, ledgered, replay_safe
 from gridpulse.streaming.sinks import append_parquet, each_batch
 
 
+#: Name of the counts that an ingest query reports with each batch.
+INGESTED = "ingested"
+#: And of those of a Gold query.
+ROLLED = "rolled"
+
+
 def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = False) -> StreamingQuery:
     """Envelopes to Silver.
 
@@ -36,7 +44,7 @@ def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = Fa
     whose slices each span many hours, where every task would leave a file in every
     hour. Adaptive execution, which covers stateless streams, splits a hot hour.
     """
-    rows = silver(envelopes, pipeline.zone)
+    rows = silver(envelopes, pipeline.zone, observed_as=INGESTED)
     if cluster:
         rows = balance_for_write(rows, schemas.SILVER_PARTITIONS)
     return append_parquet(
@@ -52,6 +60,8 @@ def start_ingest(envelopes: DataFrame, pipeline: Pipeline, *, cluster: bool = Fa
 def gold_rows(readings: DataFrame, grain: Granularity, pipeline: Pipeline) -> DataFrame:
     rolled = gold.roll_up(readings, grain.width, lateness=pipeline.lateness, decimals=pipeline.decimals)
     keyed = gold.with_partition_keys(rolled, pipeline.zone)
+    if readings.isStreaming:
+        keyed = keyed.observe(ROLLED, F.count(F.lit(1)).alias("written"))
     return cluster_for_write(
         keyed,
         schemas.GOLD_PARTITIONS,
@@ -78,6 +88,15 @@ def start_gold(
         schemas.GOLD_PARTITIONS,
         pipeline.checkpoint(f"gold_{grain.name}"),
         pipeline.trigger(pipeline.gold_trigger),
+        house_options(),
+    )
+
+
+def start_houses(session: SparkSession, grain: Granularity, pipeline: Pipeline) -> StreamingQuery:
+    """Gold to the table of houses, each once: the state and the table hold a row per house, however much Gold there is."""
+    seen = gold_stream(session, pipeline.gold(grain), pipeline.max_files_per_trigger).select("house_id")
+    return append_parquet(
+        seen.dropDuplicates(["house_id"]), "houses", pipeline.houses, (), pipeline.checkpoint("houses"), pipeline.trigger(pipeline.gold_trigger)
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -72,3 +74,63 @@ class ThroughputReport(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         """The waiting job reports how a query ended."""
+
+
+METRICS = (
+    "query STRING, run STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT, no_house BIGINT, no_time BIGINT, "
+    "late_rows BIGINT, written BIGINT, state_rows BIGINT, seconds DOUBLE, day DATE"
+)
+
+
+def batch_metrics(progress) -> tuple:
+    """The progress of one batch, in the order of ``METRICS``; null where a query does not count."""
+    ingested = progress.observedMetrics.get("ingested")
+    rolled = progress.observedMetrics.get("rolled")
+    read, no_house, no_time = (ingested["read"], ingested["no_house"], ingested["no_time"]) if ingested else (None,) * 3
+    written = read - no_house - no_time if ingested else rolled["written"] if rolled else None
+    at = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+    name, batch_id, _, seconds, _, late, state = batch_throughput(progress)
+    rows = progress.numInputRows if read is None else read
+    return (name, str(progress.runId), batch_id, at, rows, no_house, no_time, late, written, state, seconds, at.date())
+
+
+class MetricsTable(StreamingQueryListener):
+    """Appends a row per batch of each query of a session to a Parquet table, by day, for as long as the queries run.
+
+    A batch whose counts Spark collected while it ran: nothing is read for it again. A trigger that found no data is left out.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._spark, self._path, self._ended, self._lock = spark, path, set(), threading.Condition()
+        self._failed: Exception | None = None
+
+    def onQueryStarted(self, event) -> None:
+        """Nothing to store."""
+
+    def onQueryProgress(self, event) -> None:
+        try:
+            row = self._spark.createDataFrame([batch_metrics(event.progress)], METRICS)
+            row.coalesce(1).write.mode("append").partitionBy("day").parquet(self._path)
+        except Exception as error:  # a listener must not stop the queries; ``wait_for`` and the caller see it
+            self._failed = error
+
+    def onQueryIdle(self, event) -> None:
+        """Nothing was read."""
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._ended.add(str(event.runId))
+            self._lock.notify_all()
+
+    def wait_for(self, *queries: StreamingQuery, seconds: float = 60) -> None:
+        """Until the last batches of ended queries are stored; raises what kept a row from being stored."""
+        runs = {str(q.runId) for q in queries}
+        with self._lock:
+            if not self._lock.wait_for(lambda: runs <= self._ended, seconds):
+                raise TimeoutError("queries have not ended, or their last events have not come")
+        if self._failed:
+            raise self._failed
+
+
+def metrics_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS).parquet(path)

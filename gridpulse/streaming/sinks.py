@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
 def append_parquet(
-    df: DataFrame, name: str, path: str, partition_by: Sequence[str], checkpoint: str, trigger: dict
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: Sequence[str],
+    checkpoint: str,
+    trigger: dict,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append to a partitioned Parquet table, exactly once: readers follow the sink's commit log."""
-    writer = df.writeStream.queryName(name).format("parquet").outputMode("append")
+    writer = df.writeStream.queryName(name).format("parquet").outputMode("append").options(**(options or {}))
     writer = writer.partitionBy(*partition_by).option("checkpointLocation", checkpoint).option("path", path)
     return (writer.trigger(**trigger) if trigger else writer).start()
 

@@ -4,10 +4,12 @@ import pytest
 
 from gridpulse.__main__ import main
 from gridpulse.config import GRANULARITIES, ONE_MINUTE, Pipeline
+from gridpulse.operators.retention import ExpiringTable
 from gridpulse.session import shared_folder
-from gridpulse.sources.files import gold_table
+from gridpulse.sources.files import gold_table, house_table
 from gridpulse.sources.jdbc import Database, serving_table, slice_predicates
 from gridpulse.sources.kafka import topic_options, topic_stream
+from gridpulse.streaming.progress import metrics_table
 from gridpulse.streaming.serving import JdbcServing
 from helpers import land, reading, rolled
 
@@ -27,7 +29,10 @@ def test_all_jobs_once(spark, root, capsys):
     main(["all", "--once", "--landing", landing])
     lines = capsys.readouterr().out.splitlines()
     reported = {line.split(" ")[0] for line in lines if "rows/s" in line}
-    assert reported == {"[silver", "[gold_1min", "[gold_15min", "[serving_1min", "[serving_15min"}
+    assert reported == {"[silver", "[gold_1min", "[gold_15min", "[serving_1min", "[serving_15min", "[houses"}
+    assert [r.house_id for r in house_table(spark, pipeline.houses).orderBy("house_id").collect()] == ["1", "2"]
+    silver = metrics_table(spark, pipeline.metrics).where("query = 'silver'").collect()
+    assert sum(r.input_rows for r in silver) == sum(r.written for r in silver) == 80
     for grain in GRANULARITIES:
         gold = rolled(gold_table(spark, pipeline.gold(grain)))
         assert gold and rolled(gold_table(spark, pipeline.serving(grain))) == gold
@@ -38,6 +43,21 @@ def test_all_jobs_once(spark, root, capsys):
     assert len(rolled(gold_table(spark, pipeline.serving(ONE_MINUTE)))) == 80
 
 
+def test_expiry_and_catalog_jobs(spark, root, capsys):
+    pipeline = Pipeline(root=root)
+    rows = [reading(1, f"2025-12-{day:02d}T10:{m:02d}:00+00:00", 1.0) for day in (1, 2, 9, 10) for m in (0, 20)]
+    main(["ingest", "--once", "--landing", land(spark, pipeline, rows)])
+    main(["gold", "--once"])
+    main(["expire"])
+    main(["expire"])  # nothing more to do
+    lines = [line for line in capsys.readouterr().out.splitlines() if "no longer read" in line]
+    assert [line.split(": ")[1] for line in lines] == ["2025-12-01, 2025-12-02", "none"] * 2
+    kept = ExpiringTable(pipeline.gold(ONE_MINUTE), pipeline.zone).read(spark)
+    assert {str(r.event_date) for r in kept.select("event_date").collect()} == {"2025-12-09", "2025-12-10"}
+    main(["tables"])
+    assert "gold_readings_1min" in capsys.readouterr().out
+
+
 def test_topic_needs_its_address(spark, root, monkeypatch):
     monkeypatch.delenv("GRIDPULSE_KAFKA_SERVERS", raising=False)
     with pytest.raises(KeyError, match="GRIDPULSE_KAFKA_SERVERS"):
