@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     """(rows without the text, texts) of at most about ``limit`` characters each; a longer text comes alone. Null texts come as empty."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        lengths = [x or 0 for x in pa.compute.binary_length(batch.column(at)).to_pylist()]
+        lengths = [x or 0 for x in pc.binary_length(batch.column(at)).to_pylist()]
         start = 0
         while start < batch.num_rows:
             end, total = start + 1, lengths[start]
@@ -58,6 +59,20 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = end
 
 
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_CHARS) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Batches cut to texts of about ``limit`` bytes each, as (rows, texts), with no Python object made; a longer text comes alone."""
+    for batch in batches:
+        at = batch.schema.get_field_index(column)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            part = batch.slice(start, end - start)
+            yield part, part.column(at)
+            start = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers, one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

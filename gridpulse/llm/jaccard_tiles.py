@@ -13,21 +13,22 @@ be connected, or known not to be.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import chunks, mix, rows, small_batches, stored
+from gridpulse.llm.common import mix, rows, stored, text_chunks
 from gridpulse.llm.components import connected_components
 
-CACHED_WORDS = 200_000
+SEGMENT = 1_000_000  # bytes of text that are cut into words at once
 CHUNK_KEYS = 1_000_000  # keys that a worker pre-aggregates at once
 TILE_SHINGLES = 1_000_000  # of a block; a tile holds two
 TILE_SETS = 4_096
@@ -38,6 +39,17 @@ SAMPLED_TEXTS = 4_000
 SAMPLED_SHINGLES = 4_000  # of a text, by hash
 MOST_COMMON = 200_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
+FACTOR = 0xD1342543DE82EF95  # odd
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+SPARES = 64  # as many numbers of spare buckets are tried one by one, then every few percent
+
+
+def byte_values() -> np.ndarray:
+    """A random number per byte, the same for a capital and its small letter of A-Z, 0 for white space."""
+    made = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
+    made[65:91] = made[97:123]
+    made[SPACE] = 0
+    return made
 
 
 @dataclass(frozen=True)
@@ -49,33 +61,89 @@ class Rule:
     den: int = 5
 
 
+def powers(factor: int, count: int) -> np.ndarray:
+    """1, factor, factor ** 2 and so on, modulo 2 ** 64."""
+    made = np.ones(1, np.uint64)
+    while len(made) < count:
+        made = np.concatenate((made, made * np.uint64(pow(factor, len(made), 2**64))))
+    return made[:count]
+
+
 @dataclass
 class Shingler:
-    """Texts to sorted arrays of 64-bit shingle hashes; A-Z in lower case, words cut at ASCII white space."""
+    """Texts to sorted arrays of 64-bit shingle hashes; A-Z in lower case, words cut at ASCII white space.
+
+    A word's hash is a sum of its bytes' random values times powers of an odd number, shifted to where it starts, so
+    all words of a segment are hashed at once and no word is ever made a Python object.
+    """
 
     width: int
-    seen: dict = field(default_factory=dict)
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode().lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        seen = self.seen
-        try:
-            h = np.array([seen[w] for w in words], np.uint64)
-        except KeyError:
-            if len(seen) > CACHED_WORDS:
-                seen.clear()
-            for w in set(words):
-                seen[w] = xxhash.xxh64_intdigest(w)
-            h = np.array([seen[w] for w in words], np.uint64)
-        width = min(self.width, len(words))
-        x = np.full(len(words) - width + 1, width, np.uint64)
+    up: np.ndarray = field(default_factory=lambda: powers(FACTOR, SEGMENT))
+    down: np.ndarray = field(default_factory=lambda: powers(pow(FACTOR, -1, 2**64), SEGMENT))
+    value: np.ndarray = field(default_factory=byte_values)
+
+    def word_hashes(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of bytes that end at every cut too, and where the words start."""
+        if len(data) > len(self.up):
+            self.up, self.down = powers(FACTOR, len(data)), powers(pow(FACTOR, -1, 2**64), len(data))
+        full = ~SPACE[data]
+        first = full.copy()
+        first[1:] &= ~full[:-1]
+        first[cuts[cuts < len(data)]] = full[cuts[cuts < len(data)]]
+        start = np.flatnonzero(first)
+        if not len(start):
+            return np.empty(0, np.uint64), start
+        size = np.add.reduceat(full, start, dtype=np.int64).astype(np.uint64)
+        found = np.add.reduceat(self.value[data] * self.up[: len(data)], start)
+        return mix(found * self.down[start] + size * STEP), start
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """A set of shingles per text; null texts have none."""
+        data, ends = text_bytes(texts)
+        hashes, counts, at = [], np.zeros(len(ends) - 1, np.int64), 0
+        while at < len(data):
+            stop = segment_end(data, at)
+            low, high = np.searchsorted(ends, (at, stop))
+            found, start = self.word_hashes(data[at:stop], ends[low:high] - at)
+            hashes.append(found)
+            counts += np.bincount(np.searchsorted(ends, start + at, side="right") - 1, minlength=len(counts))
+            at = stop
+        words, made = np.concatenate([np.empty(0, np.uint64), *hashes]), []
+        for end, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+            made.append(self.shingles(words[end - n : end]))
+        return made
+
+    def shingles(self, h: np.ndarray) -> np.ndarray:
+        if not len(h):
+            return h
+        width = min(self.width, len(h))
+        x = np.full(len(h) - width + 1, width, np.uint64)
         for j in range(width):
-            x = x * STEP + h[j : len(words) - width + 1 + j]
+            x = x * STEP + h[j : len(h) - width + 1 + j]
         return np.unique(mix(x))
 
 
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and where they begin and end."""
+    texts = pc.fill_null(texts, "")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    whole = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return whole[ends[0] : ends[-1]], ends - ends[0]
+
+
+def segment_end(data: np.ndarray, at: int) -> int:
+    """Where a segment of about SEGMENT bytes ends: behind white space, so that no word is cut."""
+    end = at
+    while end < len(data):
+        start, end = end, min(len(data), end + SEGMENT)
+        spaces = np.flatnonzero(SPACE[data[start:end]])
+        if end < len(data) and len(spaces):
+            return start + int(spaces[-1]) + 1
+    return len(data)
+
+
 def digest(shingles: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     return int(np.array([xxhash.xxh3_64_intdigest(shingles.tobytes())], np.uint64).view(np.int64)[0])
@@ -97,12 +165,8 @@ class Band:
         return self.buckets - self.differ - 1
 
 
-@lru_cache(maxsize=256)
-def band(index: int, num: int, den: int) -> Band:
-    low, grow = 1, max(1.5, 1.2 * den / num)
-    for _ in range(index):
-        low = max(low + 1, math.ceil(low * grow))
-    high = max(low + 1, math.ceil(low * grow))
+def made_band(index: int, low: int, num: int, den: int) -> Band:
+    high = max(low + 1, math.ceil(low * max(1.5, 1.2 * den / num)))
     differ = 2 * (high - 1) * (den - num) // (den + num)
 
     def cost(spare: int) -> float:
@@ -115,21 +179,29 @@ def band(index: int, num: int, den: int) -> Band:
             total += term
         return 1 - total + spare / k
 
-    return Band(index, low, high, differ, differ + 1 + min(range(differ // 2 + 3), key=cost))
+    tried = list(range(min(differ // 2 + 3, SPARES)))
+    while tried[-1] < min(differ // 2, 4_000):
+        tried.append(tried[-1] + max(1, tried[-1] // 16))
+    return Band(index, low, high, differ, differ + 1 + min(tried, key=cost))
 
 
-def band_of(size: int, rule: Rule) -> Band:
-    i = 0
-    while band(i, rule.num, rule.den).high <= size:
-        i += 1
-    return band(i, rule.num, rule.den)
+@dataclass
+class Bands:
+    """The bands of a rule, made as sizes ask for them."""
 
+    rule: Rule
+    made: list[Band] = field(default_factory=list)
+    lows: list[int] = field(default_factory=list)
 
-def bands_of(size: int, rule: Rule) -> list[Band]:
-    """The set's own band, and the next one if a larger partner may lie there."""
-    own = band_of(size, rule)
-    above = band(own.index + 1, rule.num, rule.den)
-    return [own, above] if size * rule.den // rule.num >= above.low else [own]
+    def of(self, size: int) -> list[Band]:
+        """The band of a set's size, and the next one if a larger partner may lie there."""
+        while not self.made or self.made[-1].low <= size:
+            low = self.made[-1].high if self.made else 1
+            self.made.append(made_band(len(self.made), low, self.rule.num, self.rule.den))
+            self.lows.append(low)
+        at = bisect.bisect_right(self.lows, size) - 1
+        own, above = self.made[at], self.made[at + 1]
+        return [own, above] if size * self.rule.den // self.rule.num >= above.low else [own]
 
 
 def band_tag(index: int) -> np.uint64:
@@ -170,8 +242,8 @@ def common_shingles(docs: DataFrame, total: int, rule: Rule) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.width)
-        for _, texts in chunks(batches):
-            found = [shingler(text) for text in texts]
+        for _, texts in text_chunks(batches):
+            found = shingler(texts)
             nodes = [digest(s) for s in found]
             yield rows(node=pa.array(nodes, pa.int64()), content=pa.array([s[:SAMPLED_SHINGLES].tobytes() for s in found], pa.binary()))
 
@@ -185,17 +257,25 @@ def common_shingles(docs: DataFrame, total: int, rule: Rule) -> np.ndarray:
     return np.sort(value[np.argsort(-times, kind="stable")[:MOST_COMMON]])
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, tie, text): a row is found again by its id, which may be null or repeated, and a hash of its text."""
+    return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+
+
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tie"] == b["tie"])
+
+
 def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, node (null if empty), own and guest: the node in its band and in the next one; bits."""
+    """doc_id, tie (a hash of the text), n_shingles, node (null if empty), own and guest: the node in its band and in the next one; bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(rule.width)
-        for part, texts in chunks(batches):
+        shingler, bands = Shingler(rule.width), Bands(rule)
+        for part, texts in text_chunks(batches):
             sizes, nodes, own, guest, bits = [], [], [], [], []
-            for text in texts:
-                s = shingler(text)
+            for s in shingler(texts):
                 node = digest(s) if len(s) else None
-                at = [place(node, b.index) for b in bands_of(len(s), rule)] if len(s) else []
+                at = [place(node, b.index) for b in bands.of(len(s))] if len(s) else []
                 sizes.append(len(s))
                 nodes.append(node)
                 own.append(at[0] if at else None)
@@ -205,6 +285,7 @@ def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
             long = pa.int64()
             yield rows(
                 doc_id=ids,
+                tie=part.column("tie"),
                 n_shingles=pa.array(sizes, long),
                 node=pa.array(nodes, long),
                 own=pa.array(own, long),
@@ -212,8 +293,8 @@ def describe_sets(docs: DataFrame, rule: Rule) -> DataFrame:
                 bits=pa.array(bits, pa.binary()),
             )
 
-    schema = "doc_id long, n_shingles long, node long, own long, guest long, bits binary"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = "doc_id long, tie long, n_shingles long, node long, own long, guest long, bits binary"
+    return keyed(docs).mapInArrow(run, schema)
 
 
 def candidate_edges(docs: DataFrame, rule: Rule, common: np.ndarray) -> DataFrame:
@@ -238,17 +319,16 @@ def candidate_edges(docs: DataFrame, rule: Rule, common: np.ndarray) -> DataFram
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(rule.width)
+        shingler, bands = Shingler(rule.width), Bands(rule)
         keys, nodes, counts, total = [], [], [], 0
-        for _, texts in chunks(batches):
-            for text in texts:
-                s = shingler(text)
+        for _, texts in text_chunks(batches):
+            for s in shingler(texts):
                 if not len(s):
                     continue
                 node, often = digest(s), np.zeros(len(s), bool)
                 if len(common):
                     often = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
-                for b in bands_of(len(s), rule):
+                for b in bands.of(len(s)):
                     found = bucket_keys(s[~often], s[often], b, rule)
                     keys.append(found)
                     nodes.append(place(node, b.index))
@@ -363,11 +443,12 @@ def blocks_of(members: DataFrame, sets_most: int, shingles_most: int, counted: C
 
 
 def nodes_of(sets: DataFrame) -> DataFrame:
-    """One row per node: its smallest doc_id, size and bands."""
-    first = sets.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("own").alias("own"), F.first("guest").alias("guest")
+    """One row per node: its smallest doc_id, null only if it has no other, the text's tie, size and bands."""
+    row = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("row")
+    found = sets.where("node is not null").groupBy("node").agg(
+        row, F.first("n_shingles").alias("n"), F.first("own").alias("own"), F.first("guest").alias("guest")
     )
-    return first.where("doc_id is not null")
+    return found.select("row.doc_id", "row.tie", "node", "n", "own", "guest")
 
 
 def possible_links(sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
@@ -376,37 +457,39 @@ def possible_links(sets: DataFrame, clusters: DataFrame, rule: Rule) -> DataFram
         F.struct(F.col("own").alias("spot"), F.lit(True).alias("home")),
         F.struct(F.col("guest").alias("spot"), F.lit(False).alias("home")),
     )
-    spotted = nodes_of(sets).select("doc_id", "node", "n", F.inline(spots)).where("spot is not null")
+    spotted = nodes_of(sets).select("doc_id", "tie", "node", "n", F.inline(spots)).where("spot is not null")
     members = spotted.join(clusters.select(F.col("node").alias("spot"), "component"), "spot")
-    members = stored(members.select("doc_id", "node", "n", "home", "component"), "members")
+    members = stored(members.select("doc_id", "tie", "node", "n", "home", "component"), "members")
     some_home = members.groupBy("component").agg(F.max("home").alias("any")).where("any").select("component")
     members = members.join(some_home, "component")  # guests alone belong to the band below
     placed = blocks_of(members, TILE_SETS, TILE_BITMAPS, F.least("n", F.lit(MOST_BITS // 2)))
-    per_doc = placed.groupBy("doc_id", "node").agg(F.collect_list(F.struct("component", "home", "blocks")).alias("spots"))
+    per_doc = placed.groupBy("doc_id", "tie", F.col("node").alias("of")).agg(F.collect_list(F.struct("component", "home", "blocks")).alias("spots"))
     if members.count() <= BROADCAST_MEMBERS:
         per_doc = F.broadcast(per_doc)
-    marked = sets.select("doc_id", "node", F.col("n_shingles").alias("n"), "bits").join(per_doc, ["doc_id", "node"])
+    described = sets.select("doc_id", "tie", "node", F.col("n_shingles").alias("n"), "bits")
+    marked = described.join(per_doc, same_row(described, per_doc) & (F.col("node") == F.col("of")))
     return in_tiles(marked.select("node", "n", "bits", F.inline("spots")), "bits", rule)
 
 
 def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): nodes of a group that link, enough of them to connect all that are connected."""
-    members = stored(nodes_of(sets).select("doc_id", "node", "n").join(groups, "node"), "members")
-    per_doc = blocks_of(members, TILE_SETS, TILE_SHINGLES, F.col("n")).select("doc_id", "node", "n", "component", "blocks")
+    members = stored(nodes_of(sets).select("doc_id", "tie", "node", "n").join(groups, "node"), "members")
+    per_doc = blocks_of(members, TILE_SETS, TILE_SHINGLES, F.col("n")).select("doc_id", "tie", "node", "n", "component", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.width)
-        for part, texts in chunks(batches):
-            nodes, found = part.column("node").to_pylist(), [shingler(text) for text in texts]
-            real = [len(s) > 0 and digest(s) == node for node, s in zip(nodes, found)]  # ids may repeat with other texts
+        for part, texts in text_chunks(batches):
+            nodes, found = part.column("node").to_pylist(), shingler(texts)
+            real = [len(s) > 0 and digest(s) == node for node, s in zip(nodes, found)]  # hashes of texts may repeat
             part = part.filter(pa.array(real))
             content = pa.array([s.tobytes() for s, ok in zip(found, real) if ok], pa.binary())
             yield rows(**{c: part.column(c) for c in ("node", "n", "component", "blocks")}, content=content)
 
-    texts = docs.select("doc_id", "text").where("text is not null")
+    texts = keyed(docs).where("text is not null")
     if members.count() <= BROADCAST_MEMBERS:  # beyond, the texts are shuffled to them
         per_doc = F.broadcast(per_doc)
-    whole = texts.join(per_doc, "doc_id").mapInArrow(run, "node long, n long, component long, blocks int, content binary")
+    joined = texts.join(per_doc, same_row(texts, per_doc)).select("node", "n", "component", "blocks", "text")
+    whole = joined.mapInArrow(run, "node long, n long, component long, blocks int, content binary")
     return in_tiles(whole.withColumn("home", F.lit(True)), "content", rule)
 
 
@@ -420,7 +503,6 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     smallest id it reaches by an equal text, or null. Other columns are ignored. Set names and shingles are 64-bit
     hashes. An empty table gives an empty result.
     """
-    small_batches(docs.sparkSession)
     sets = stored(describe_sets(docs, rule), "sets")
     common = common_shingles(docs, sets.count(), rule)
     clusters = connected_components(candidate_edges(docs, rule, common), "clusters")
