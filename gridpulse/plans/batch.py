@@ -9,6 +9,7 @@ from gridpulse import schemas
 from gridpulse.config import BUSINESS_ZONE, GRANULARITIES, Granularity, Pipeline
 from gridpulse.functions import profile
 from gridpulse.functions.clock import instant, minus
+from gridpulse.functions.means import exact_mean
 from gridpulse.operators import gold, serve
 from gridpulse.operators.layout import balance_for_write, cluster_for_write
 from gridpulse.operators.retention import retain
@@ -208,6 +209,37 @@ def profile_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per house and hour of the day: what was measured, what the profile expects at the same times, and how far they lie apart.
+
+    The size of a house's panels is taken from its greatest output.
+    """
+    rows = real_readings(spark, sf_dir)
+    sizes = rows.groupBy("house_id").agg(F.when(F.max("pv_panel_kw") > 6, F.lit(8.0)).otherwise(F.lit(6.0)).alias("size_kw"))
+    h = profile.hour_fraction("event_time")
+    placed = rows.withColumns({"h": h, "hour_of_day": F.floor(h).cast("int"), "load_kw": profile.house_load("power_kw", "ev_charging_kw", "pv_panel_kw")})
+    sums = {"load": ("load_kw", profile.base_load("h")), "ev": ("ev_charging_kw", profile.ev_session("h", 18, 1.5))}
+    found = placed.groupBy("house_id", "hour_of_day").agg(
+        F.count(F.lit(1)).alias("n_readings"),
+        exact_mean(F.col("pv_panel_kw")).alias("pv"),
+        exact_mean(profile.expected_pv("h", 1.0)).alias("pv_of_one_kw"),
+        *(exact_mean(F.col(c)).alias(name) for name, (c, _) in sums.items()),
+        *(exact_mean(expected).alias(f"expected_{name}") for name, (_, expected) in sums.items()),
+    )
+    pv = F.col("pv_of_one_kw") * F.col("size_kw")
+    joined = found.join(sizes, "house_id")  # a row per house on one side, 24 on the other
+    return joined.select(
+        "house_id",
+        "hour_of_day",
+        "n_readings",
+        F.col("pv").alias("pv_kw"),
+        F.round(pv, 6).alias("expected_pv_kw"),
+        F.round(F.col("pv") - pv, 6).alias("pv_deviation_kw"),
+        F.round(F.col("ev") - F.col("expected_ev"), 6).alias("ev_deviation_kw"),
+        F.round(F.col("load") - F.col("expected_load"), 6).alias("load_deviation_kw"),
+    )
+
+
 def _at_hours(spark: SparkSession, sf_dir: str, *features) -> DataFrame:
     h = profile.hour_fraction("event_time")
     return real_readings(spark, sf_dir).select("event_id", *(feature(h) for feature in features))
@@ -238,6 +270,7 @@ def queries() -> dict:
         "profile_ev": profile_ev,
         "profile_load": profile_load,
         "profile_net": profile_net,
+        "profile_deviation": profile_deviation,
         "net_balance": net_balance,
         "measure_round": measure_round,
     }

@@ -128,6 +128,13 @@ UNION ALL SELECT 'gold_1min', 3 * e - k, NULL, NULL, 0, n FROM c, closed""",
         "profile_load": f"{_H} SELECT event_id, ROUND({_LOAD}, 6) AS expected_load_kw FROM p",
         "profile_net": f"""{_H} SELECT event_id, ROUND({_LOAD} + {_EV} - {_pv(6)}, 6) AS expected_power_kw,
     value AS power_kw FROM p""",
+        "profile_deviation": f"""
+WITH {_REAL}, h AS (SELECT m.*, {_HOUR} AS h FROM m JOIN events USING (event_id)),
+s AS (SELECT house_id, CASE WHEN MAX(pv_panel_kw) > 6 THEN 8.0 ELSE 6.0 END AS size FROM m GROUP BY house_id),
+g AS (SELECT house_id, CAST(FLOOR(h) AS INTEGER) AS hour_of_day, COUNT(*) AS n_readings, {_exact_mean('pv_panel_kw').removesuffix(' AS avg_pv_panel_kw')} AS pv, AVG({_pv(1)}) AS one,
+    AVG(ev_charging_kw) - AVG({_EV}) AS ev, AVG(power_kw - ev_charging_kw + pv_panel_kw) - AVG({_LOAD}) AS load FROM h GROUP BY ALL)
+SELECT house_id, hour_of_day, n_readings, pv AS pv_kw, ROUND(one * size, 6) AS expected_pv_kw,
+    ROUND(pv - one * size, 6) AS pv_deviation_kw, ROUND(ev, 6) AS ev_deviation_kw, ROUND(load, 6) AS load_deviation_kw FROM g JOIN s USING (house_id)""",
         "net_balance": f"""WITH {_REAL}
 SELECT event_id, ROUND(power_kw - ev_charging_kw + pv_panel_kw, 6) AS house_load_kw FROM m""",
         "measure_round": """SELECT event_id, CAST(printf('%.1f', value) AS DOUBLE) AS power_1,
