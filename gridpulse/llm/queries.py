@@ -46,7 +46,7 @@ def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(documents(spark, sf_dir)).drop("char_distance", "word_distance")
+    return divergence.judge(documents(spark, sf_dir)).drop("char_distance", "word_distance", "word_limit")
 
 
 def op5_oneperm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +166,7 @@ covered AS (
 ), k AS (
   SELECT *, [n_chars - word_chars, n_upper, n_marks, n_symbols, word_chars - n_upper - n_marks - n_symbols] AS classes FROM c
 ), large AS (
-  SELECT lang FROM k WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= {D.LEAST_LANGUAGE_SHARE} * (SELECT count(*) FROM k)
+  SELECT lang FROM k WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {D.LEAST_REFERENCE_WORDS}
 ), parts AS (
   SELECT k.*, lang AS ref FROM k WHERE lang IN (SELECT lang FROM large) UNION ALL SELECT k.*, NULL AS ref FROM k
 ), chars AS (
@@ -193,11 +193,28 @@ bins AS (
   SELECT kind, doc_id, sqrt(greatest(0, sum(
     ((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2))) AS js
   FROM (SELECT 'c' AS kind, * FROM char_terms UNION ALL SELECT 'w', * FROM word_terms) GROUP BY kind, doc_id
+), bare_terms AS (
+  SELECT ref, 0 AS p, q FROM common UNION ALL SELECT ref, 1, 1 - sum(q) FROM common GROUP BY ref
+), bare AS (
+  SELECT ref, sqrt(greatest(0, sum(
+    ((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2))) AS far
+  FROM bare_terms GROUP BY ref
+), steps AS (
+  SELECT ref, CAST(ceil(greatest(0, js - {D.NOISE} * sqrt({D.COMMON_WORDS + 1} / (8 * n_words))) * {D.STEPS}) AS BIGINT) AS step
+  FROM own JOIN distances USING (doc_id) WHERE kind = 'w' AND n_words >= {D.LEAST_WORDS}
+), medians AS (
+  SELECT ref, min(step) AS step FROM (
+    SELECT ref, step, sum(count(*)) OVER (PARTITION BY ref ORDER BY step) AS below, sum(count(*)) OVER (PARTITION BY ref) AS n
+    FROM steps GROUP BY ref, step) WHERE 2 * below >= n GROUP BY ref
+), limits AS (
+  SELECT m.ref, least(greatest(step / {D.STEPS} * CAST({D.WORD_SPREAD} AS DOUBLE), {D.WORD_LEAST}), far * {D.WORD_SHARE}) AS most
+  FROM medians m JOIN bare b ON b.ref IS NOT DISTINCT FROM m.ref
 ), judged AS (
   SELECT o.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
     n_chars < {D.LEAST_CHARS} OR coalesce(c.js <= {D.CHAR_LIMIT} + {D.NOISE} * sqrt({len(D.CLASSES)} / (8 * n_chars)), true) AS char_ok,
-    n_words < {D.LEAST_WORDS} OR coalesce(x.js <= {D.WORD_LIMIT} + {D.NOISE} * sqrt({D.COMMON_WORDS + 1} / (8 * n_words)), true) AS word_ok
+    n_words < {D.LEAST_WORDS} OR coalesce(x.js <= l.most + {D.NOISE} * sqrt({D.COMMON_WORDS + 1} / (8 * n_words)), true) AS word_ok
   FROM own o LEFT JOIN distances c ON c.kind = 'c' AND c.doc_id = o.doc_id LEFT JOIN distances x ON x.kind = 'w' AND x.doc_id = o.doc_id
+  LEFT JOIN limits l ON l.ref IS NOT DISTINCT FROM o.ref
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND char_ok AND word_ok AS kept
 FROM judged
