@@ -8,6 +8,7 @@ own; sequences of equal length form a bucket. No sequence crosses documents and
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,6 +26,9 @@ END_ID = 0  # closes each document
 #: How byte-level tokenizer files cut a text before they merge.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: White space as the pattern means it, in rows longer than any that texts of sense hold.
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
+
 
 def byte_letters() -> dict[str, int]:
     """The letters by which byte-level tokenizer files write bytes: printable Latin-1 stands for
@@ -46,6 +50,24 @@ def encoder(tokenizer_json: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def token_ids(code: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a whole text.
+
+    The pattern takes white space in a row, but for the last character if a word follows, as one piece, yet by trying every length, for
+    which its matcher runs out of room on long rows. Those are cut out here and merged as the pieces they are.
+    """
+    made, at = [], 0
+    for found in LONG_SPACE.finditer(text):
+        start, end = found.span()
+        if end < len(text) and not text.startswith(tuple(code.special_tokens_set), end):
+            end -= 1
+        made.append(code.encode_to_numpy(text[at:start], allowed_special="all"))
+        made.append(np.array(code._core_bpe.encode_single_piece(text[start:end].encode()), np.uint32))
+        at = end
+    made.append(code.encode_to_numpy(text[at:], allowed_special="all"))
+    return np.concatenate(made)
+
+
 def piece_lengths(total: int, longest: int = LONGEST) -> list[int]:
     """Powers of two, at most ``longest``, not rising, that add up to ``total``."""
     rest = total % longest
@@ -69,7 +91,7 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = LONGEST, with_ids:
         for part, texts in chunks(batches, limit=1_000_000):
             which, starts, sizes, sums, totals, ids = [], [], [], [], [], []
             for i, text in enumerate(texts):
-                found = np.append(code.encode_to_numpy(text, allowed_special="all"), END_ID).astype("<u4")
+                found = np.append(token_ids(code, text), END_ID).astype("<u4")
                 start = 0
                 for size in piece_lengths(len(found), longest):
                     piece = found[start : start + size]

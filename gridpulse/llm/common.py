@@ -73,6 +73,20 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             start = end
 
 
+def added_arrays(partials: DataFrame, kind: type) -> DataFrame:
+    """(i, products): arrays of ``kind`` of one number i, as bytes, added up. A task holds one array per number that falls to it."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, products in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                more = np.frombuffer(products, kind)
+                sums[i] = sums[i] + more if i in sums else more
+        yield rows(i=pa.array(list(sums), pa.int64()), products=pa.array([s.tobytes() for s in sums.values()], pa.binary()))
+
+    return partials.repartition("i").mapInArrow(added, "i long, products binary")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers, one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import rows
+from gridpulse.llm.common import added_arrays, rows
 
 COMPONENTS = 8
 SCALE, OFFSET = 1024, 100_000  # of the integers that entries become
@@ -110,16 +110,7 @@ def scatter(table: DataFrame, column: str, size: int, m: Moments) -> np.ndarray:
                 made += (y.T @ y).astype(kind)
         yield rows(i=np.arange(size), products=pa.array([r.tobytes() for r in made], pa.binary()))
 
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, products in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                more = np.frombuffer(products, kind)
-                sums[i] = sums[i] + more if i in sums else more
-        yield rows(i=pa.array(list(sums), pa.int64()), products=pa.array([s.tobytes() for s in sums.values()], pa.binary()))
-
-    schema = "i long, products binary"
-    found = table.select(column).mapInArrow(run, schema).repartition("i").mapInArrow(added, schema).toArrow()
+    found = added_arrays(table.select(column).mapInArrow(run, "i long, products binary"), kind).toArrow()
     made = np.zeros((size, size), kind)
     for i, products in zip(found.column("i").to_pylist(), found.column("products").to_pylist()):
         made[i] = np.frombuffer(products, kind)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import chunks, id_remainder, rows, small_batches
+from gridpulse.llm.common import added_arrays, chunks, id_remainder, rows, small_batches, stored
 from gridpulse.llm.sampling import bounded_sample
 
 DIMENSION = 48
@@ -30,7 +30,8 @@ REACH = 2  # neighbours to each side
 HIDDEN = 24
 FEATURES = 2 * DIMENSION + 2
 SAMPLE_PER_LABEL = 2_000
-SAMPLE_CHARS = 20_000  # of a document, to learn from; scoring takes whole texts
+LEAST_TIMES = 3  # in the sample, of a word of the vocabulary
+SLICE = 2_000  # word vectors that one task adds up
 TOKENS_AT_ONCE = 65_536
 CACHED_WORDS = 200_000
 WORD = re.compile(r"\w+|[^\w\s]+")
@@ -82,31 +83,78 @@ def index_vectors(keys: list[str]) -> np.ndarray:
     return made
 
 
-def learn_vectors(texts: list[str]) -> WordVectors:
-    """Random indexing over a sample: each word sums what stands around it, and its own index vector."""
-    tokens = [WORD.findall(t) for t in texts]
-    count = Counter(w for words in tokens for w in words)
-    known = sorted((w for w, n in count.items() if n >= 3), key=lambda w: (-count[w], w))[:VOCABULARY]
+def word_counts(sample: DataFrame) -> DataFrame:
+    """(word, n) over whole texts; partial sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in chunks(batches):
+            count = Counter(w for text in texts for w in WORD.findall(text))
+            yield rows(word=pa.array(list(count), pa.string()), n=pa.array(list(count.values()), pa.int64()))
+
+    return sample.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def contexts(vectors: WordVectors, sample: DataFrame) -> DataFrame:
+    """(i, products): of each slice of words, the summed index vectors of what stands around them in whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, total = vectors.table, np.zeros(vectors.table.shape, np.int64)
+        for _, texts in chunks(batches):
+            for text in texts:
+                ids = vectors.ids(WORD.findall(text))
+                for start in range(0, len(ids), TOKENS_AT_ONCE):
+                    first, end = max(0, start - REACH), start + TOKENS_AT_ONCE
+                    near = ids[first : end + REACH]
+                    around = np.zeros((len(near), DIMENSION), np.float32)
+                    for step in range(1, REACH + 1):
+                        around[step:] += index[near[:-step]]
+                        around[:-step] += index[near[step:]]
+                    own = slice(start - first, start - first + len(ids[start:end]))
+                    np.add.at(total, near[own], around[own].astype(np.int64))
+        at = range(0, len(total), SLICE)
+        yield rows(i=pa.array(list(at), pa.int64()), products=pa.array([total[i : i + SLICE].tobytes() for i in at], pa.binary()))
+
+    return added_arrays(sample.select("text").mapInArrow(run, "i long, products binary"), np.int64)
+
+
+def learn_vectors(sample: DataFrame) -> WordVectors:
+    """Random indexing over a sample: each word sums what stands around it, and its own index vector.
+
+    Counts and sums are made in the tasks, from whole texts; the driver gets the VOCABULARY most frequent words and a vector of each.
+    """
+    frequent = word_counts(sample).where(F.col("n") >= LEAST_TIMES).orderBy(F.desc("n"), "word").limit(VOCABULARY)
+    known = [r["word"] for r in frequent.collect()]
     index = index_vectors([f"hashed {i}" for i in range(HASHED)] + [f"word {w}" for w in known])
     vectors = WordVectors(index, {w: HASHED + i for i, w in enumerate(known)})
     total = index.astype(np.float64)
-    for start in range(0, len(tokens), 200):
-        parts = [vectors.ids(words) for words in tokens[start : start + 200] if words]
-        if not parts:
-            continue
-        ids, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        around = np.zeros((len(ids), DIMENSION), np.float32)
-        for step in range(1, REACH + 1):
-            same = (owner[step:] == owner[:-step])[:, None]
-            around[step:] += index[ids[:-step]] * same
-            around[:-step] += index[ids[step:]] * same
-        for d in range(DIMENSION):
-            total[:, d] += np.bincount(ids, around[:, d], len(total))
-    unit = total / np.linalg.norm(total, axis=1, keepdims=True)
+    for r in contexts(vectors, sample).collect():
+        sums = np.frombuffer(r["products"], np.int64).reshape(-1, DIMENSION)
+        total[r["i"] : r["i"] + len(sums)] += sums
+    unit = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
     unit -= unit[HASHED:].mean(axis=0) if known else 0  # what all words share tells none apart
     return WordVectors((unit / (np.linalg.norm(unit, axis=1, keepdims=True) + 1e-9)).astype(np.float32), vectors.vocabulary)
 
 
+def features(vectors: WordVectors, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row of the sample its label, and what the network sees of its whole text and of a short run of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches):
+            made = []
+            for text in texts:
+                words, rng = WORD.findall(text), np.random.default_rng(xxhash.xxh64_intdigest(text))
+                start = int(rng.integers(0, max(1, len(words) - 20)))
+                short = words[start : start + int(rng.integers(5, 60))]
+                made.append(np.concatenate((vectors.pooled(words), vectors.pooled(short))).tobytes())
+            yield rows(doc_id=part.column("doc_id"), quality=part.column("quality"), seen=pa.array(made, pa.binary()))
+
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    found = sample.select("doc_id", "text", "quality").mapInArrow(run, f"doc_id {kind}, quality int, seen binary").toArrow()
+    ordered = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "quality", "seen"))))
+    y = np.array([q for _, q, _ in ordered], np.float64)
+    return y, np.array([np.frombuffer(b, np.float64) for _, _, b in ordered]).reshape(-1, 2 * FEATURES)
+
+
 @dataclass
 class QualityNet:
     vectors: WordVectors
@@ -137,21 +185,17 @@ def log_loss(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     return float(-(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / weight.sum())
 
 
-def train(texts: list[str], y: np.ndarray, share: float, seed: int = 11, epochs: int = 30) -> QualityNet:
+def train(vectors: WordVectors, y: np.ndarray, seen: np.ndarray, share: float, seed: int = 11, epochs: int = 30) -> QualityNet:
     """Fit on four fifths of the sample and set the temperature on the rest.
 
     ``share`` is the part of label 1 among all labelled rows; weights undo the sample's balance.
-    A short run of words from each document, under its label, joins those that are learned from.
+    The short run of words of each document, under its label, joins those that are learned from.
     """
-    vectors, rng = learn_vectors(texts), np.random.default_rng(seed)
-    words = [WORD.findall(t) for t in texts]
-    starts = [int(rng.integers(0, max(1, len(w) - 20))) for w in words]
-    runs = [w[i : i + int(rng.integers(5, 60))] for w, i in zip(words, starts)]
-    x = np.stack([vectors.pooled(w) for w in words + runs])
-    y = np.concatenate((y, y)).astype(np.float64)
+    rng, n = np.random.default_rng(seed), len(y)
+    x, y = np.concatenate((seen[:, :FEATURES], seen[:, FEATURES:])), np.concatenate((y, y))
     part = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
     weight = np.where(y == 1, share / part, (1 - share) / (1 - part)) + 1e-3
-    order, n = rng.permutation(len(words)), len(words)
+    order = rng.permutation(n)
     held, used = order[: n // 5], order[n // 5 :]
     used = np.concatenate((used, used + n))
     mean, scale = x[used].mean(0), x[used].std(0) + 1e-6
@@ -191,20 +235,19 @@ def train(texts: list[str], y: np.ndarray, share: float, seed: int = 11, epochs:
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> QualityNet | None:
     """Learn ``quality`` from a bounded sample of the rows outside the held-out fold.
 
-    Uses doc_id to join, and text; at most ``per_label`` documents of each label and SAMPLE_CHARS
-    characters of each reach the driver. None where there is no labelled text.
+    Uses doc_id to join, and text: whole texts of at most ``per_label`` documents of each label are read by the tasks, and
+    what the driver gets is bounded by their number. None where there is no labelled text.
     """
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))  # a document's worst mark
     usable = docs.select("doc_id", "text").where("text is not null").where(~held_out())
     chosen = bounded_sample(usable.select("doc_id").join(marked, "doc_id"), "quality", per_label, 2 * per_label)
-    sample = usable.join(F.broadcast(chosen), "doc_id")
-    found = sample.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "quality").toArrow()
-    rows_ = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "quality", "text"))))
-    if not rows_:
+    sample = stored(usable.join(F.broadcast(chosen), "doc_id"), "sample")  # read three times
+    if sample.isEmpty():
         return None
+    vectors = learn_vectors(sample)
     share = marked.where(~held_out()).agg(F.avg("quality")).first()[0]
-    return train([t for _, _, t in rows_], np.array([q for _, q, _ in rows_]), share)
+    return train(vectors, *features(vectors, sample), share)
 
 
 def score_quality(docs: DataFrame, net: QualityNet | None) -> DataFrame:

@@ -259,3 +259,28 @@ def test_language_and_quality_on_held_out_rows(spark, docs):
     judged = quality_net.score_quality(table, quality).where(quality_net.held_out()).join(labels, "doc_id")
     assert judged.where("predicted = quality").count() >= 0.95 * judged.count()
     assert all(0 <= r.score <= 1 for r in quality_net.score_quality(docs, quality).collect())
+
+
+def test_packing_of_long_white_space_equals_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, code = Tokenizer.from_file(path), binary_packing.encoder(open(path, encoding="utf-8").read())
+    spaces = [" " * 3000, "\n" * 1500, " \t\n" * 700, "　" * 1200, "\x1c" * 1500, "\xa0" * 1000 + " "]
+    texts = [f"{a}{s}{b}" for s in spaces for a in ("", "word", "it's") for b in ("", "word", "!", "7", "<|endoftext|>", "\x1c")]
+    texts.append("a" + spaces[0] + "b" + spaces[1] + spaces[2] + "c")
+    for text in texts:
+        assert binary_packing.token_ids(code, text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(binary_packing.token_ids(code, " " * 1_000_000)) == 1_000_000
+
+
+def test_quality_learns_from_the_end_of_long_texts(spark):
+    """What tells good from bad stands behind 30,000 characters that all texts share."""
+    rng, rows = random.Random(6), []
+    head = " ".join(rng.choice(WORDS) for _ in range(6000))
+    for i in range(240):
+        tail = " ".join(rng.choice(("spam", "win", "free") if i % 2 else ("essay", "study", "proof")) for _ in range(2500))
+        rows.append((i, head + " " + tail))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(240)], "doc_id long, quality int")
+    net = quality_net.fit(docs, labels)
+    scored = quality_net.score_quality(docs, net).where(quality_net.held_out()).collect()
+    assert len(scored) > 50 and sum(r.predicted == 1 - r.doc_id % 2 for r in scored) >= 0.95 * len(scored)
