@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ FILTERS = 16  # of each width
 EMBEDDING = 6
 SAMPLE_PER_LANGUAGE = 800  # documents to learn from
 SAMPLE_ROWS = 20_000  # in all
-SAMPLE_WINDOWS = 4  # of a document
+SAMPLE_WINDOWS = 2  # of a document for each doubling of its length in windows, and one more
 WINDOWS_AT_ONCE = 256
 LEAST_QUANTILE = 0.02  # of the learned languages' own scores: texts of their length that score less are in none of them
 LEAST_TEXTS = 50  # of a length that have a quantile of their own
@@ -137,8 +138,16 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list, epochs: int
     return net
 
 
+def sample_starts(data: bytes) -> list[int]:
+    """Where windows to learn from start: anywhere in a text, at random by its content, more of them in a longer one."""
+    many = 1 + SAMPLE_WINDOWS * (-(-len(data) // WINDOW)).bit_length()
+    rng = np.random.default_rng(xxhash.xxh64_intdigest(data))
+    return sorted(set(rng.integers(0, max(1, len(data) - WINDOW + 1), many).tolist()))
+
+
 def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> ByteCnn | None:
-    """Learn from a bounded sample of rows (doc_id, text, lang); a few windows of each reach the driver.
+    """Learn from a bounded sample of rows (doc_id, text, lang). Windows from all over each text reach the driver, some ten of
+    a text of usual length and two more whenever the length doubles.
 
     None where no row has both a text and a language.
     """
@@ -148,8 +157,7 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, sample_row
             found, langs = [], []
             for text, lang in zip(texts, part.column("lang").to_pylist()):
                 data = text.encode()
-                last = max(0, len(data) - WINDOW)
-                for start in sorted({last * i // max(1, SAMPLE_WINDOWS - 1) for i in range(SAMPLE_WINDOWS)}):
+                for start in sample_starts(data):
                     found.append(data[start : start + WINDOW])
                     langs.append(lang)
             yield rows(piece=pa.array(found, pa.binary()), lang=pa.array(langs, pa.string()))
