@@ -35,7 +35,7 @@ CAPACITY = 200_000  # counters of a hash partition, about
 MOST_PARTITIONS = 100_000
 MOST_BITS = 1 << 28  # of the map of phrases that may be frequent: 32 MB
 BITS_EACH = 16
-CHUNK_WORDS = 1_000_000  # that a worker folds at once
+CHUNK_WORDS = 600_000  # that a worker folds at once
 SEGMENT = 2_000_000  # bytes of a text that are cut into words at once
 MOST_WORDS = 400_000  # distinct words that a worker remembers
 STEP = np.uint64(0x9E3779B97F4A7C15)
