@@ -149,6 +149,29 @@ def gold_files_of(grain: Granularity):
     return query
 
 
+def gold_salted_of(grain: Granularity):
+    """Store Gold as a live query does, each hour dealt to a few tasks; per folder its rows, and whether it has a file per task at most."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_folder(spark, f"gold-salted-{grain.name}")
+        pipeline = Pipeline(root=path)
+        session = job_session(spark, pipeline)
+        rows = gold.with_partition_keys(dense_gold(session, sf_dir, grain), BUSINESS_ZONE)
+        dealt = cluster_for_write(
+            rows, schemas.GOLD_PARTITIONS, pipeline.write_width, salt=pipeline.write_salt, spread_by=schemas.SERVING_KEY
+        )
+        dealt.write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(path)
+        folders = gold_table(spark, path).groupBy("event_date", "hour").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.countDistinct("house_id", "window_start").alias("n_windows"),
+            F.max("window_start").alias("last_window"),
+            (F.countDistinct("_metadata.file_path") <= pipeline.write_salt).alias("files_bounded"),
+        )
+        return portable(folders)
+
+    return query
+
+
 def latest_windows(rows: DataFrame, grain: Granularity, back: str) -> tuple[int, int]:
     """Starts of the earliest and latest window of a range that ends with the data, in
     epoch microseconds."""
@@ -279,6 +302,7 @@ def queries() -> dict:
             f"gold_{grain.name}": gold_of(grain),
             f"gold_avg_{grain.name}": gold_avg_of(grain),
             f"gold_files_{grain.name}": gold_files_of(grain),
+            f"gold_salted_{grain.name}": gold_salted_of(grain),
             f"serving_{grain.name}": serving_of(grain),
             f"house_list_{grain.name}": house_list_of(grain),
             f"dashboard_sql_{grain.name}": dashboard_sql_of(grain),

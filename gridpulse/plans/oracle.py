@@ -161,6 +161,8 @@ WHERE window_start >= epoch_us(make_timestamp({last}) - INTERVAL '{_KEEP[grain]}
             f"stream_backlog_{grain}": _with_keys(gold, _closed()),
             f"stream_restart_{grain}": _with_keys(gold, _closed()),
             f"stream_late_{grain}": _late(grain),
+            f"gold_salted_{grain}": f"""SELECT event_date, hour, COUNT(*) AS n_rows, COUNT(*) AS n_windows,
+    MAX(window_start) AS last_window, TRUE AS files_bounded FROM ({_with_keys(gold)}) GROUP BY event_date, hour""",
             f"gold_files_{grain}": f"""SELECT event_date, hour, CAST(1 AS BIGINT) AS n_files, COUNT(*) AS n_rows
 FROM ({_with_keys(gold)}) GROUP BY event_date, hour""",
         }
