@@ -31,6 +31,8 @@ LONGEST = 4  # words of a phrase
 CONTAINED = 80  # percent of a phrase's occurrences that lie within one longer candidate
 SCALE = 2_000_000  # of scores
 MOST_RANKED = 2_000  # phrases reported of each language
+RANKED_AT_ONCE = 5_000  # phrases of a language that one task ranks, about, before the first of each task are ranked together
+MOST_RANKS = 1_000  # such tasks of a language
 CAPACITY = 200_000  # counters of a hash partition, about
 MOST_PARTITIONS = 100_000
 MOST_BITS = 1 << 28  # of the map of phrases that may be frequent: 32 MB
@@ -293,8 +295,21 @@ def wide(x: Column | str) -> Column:
     return F.col(x).cast("decimal(20,0)") if isinstance(x, str) else x.cast("decimal(20,0)")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, most: int | None = MOST_RANKED, capacity: int = CAPACITY) -> DataFrame:
-    """Per language its first ``most`` phrases (None: all): lang, rank, phrase, a, l, r, n, score.
+def first_of(found: DataFrame, most: int, count: int) -> DataFrame:
+    """The first ``most`` phrases of each language with their rank. Of a large language many tasks rank a share each, and only their
+    first phrases meet."""
+    order = F.desc("score"), F.desc("a"), "phrase"
+    shares = max(1, min(MOST_RANKS, count // RANKED_AT_ONCE))
+    if shares > 1:
+        dealt = found.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares)))
+        among = F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))
+        found = dealt.withColumn("rank", among).where(F.col("rank") <= most).drop("share", "rank")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return found.withColumn("rank", rank).where(F.col("rank") <= most)
+
+
+def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST_RANKED, capacity: int = CAPACITY) -> DataFrame:
+    """Per language its first ``most`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     a: occurrences of the phrase, l and r: those of the two parts of its lowest-scoring cut, n: of all words of the
     language, score: floor(SCALE * a / (l + r)). A phrase of which CONTAINED percent or more lie in one longer phrase of
@@ -322,9 +337,6 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int | None = MOST_RA
     left = scored.join(longer, ["lang", "phrase"], "left")
     held = wide(F.coalesce("longer", F.lit(0))) * 100 < wide("a") * CONTAINED
     found = left.where(held).select("lang", "phrase", "a", "best.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order))
-    if most is not None:
-        ranked = ranked.where(F.col("rank") <= most)
-    ranked = ranked.join(F.broadcast(totals) if most is not None and totals.count() <= 10_000 else totals, "lang")
+    ranked = first_of(found, most, candidates.count())
+    ranked = ranked.join(F.broadcast(totals) if totals.count() <= 10_000 else totals, "lang")
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
