@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -57,13 +58,29 @@ NO_CONTENT = frozenset(
 )
 ARTICLE_WORDS = frozenset(("main", "article"))
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
-)
+#: Words that structure a name and say nothing by themselves.
+PLAIN_WORDS = frozenset("area bar block box container inner item items left link links list outer right section site top bottom wrap wrapper".split())
+#: Names that say an element holds the article's text, whatever else it is called.
+CONTENT_NAMES = frozenset("content article main entry story post text".split())
+#: Elements that hold others, and whose names may tell that all they hold is no content.
+CONTAINERS = frozenset("div section ul ol dl table tbody details figure center span hgroup address".split())
+#: Words that tell so of any element, inline ones too.
+NEVER = frozenset("ad ads advert adverts advertisement adsense sponsor sponsored share sharing hidden".split())
+
+
+def token_pattern(attrs: str) -> re.Pattern:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattrs>" + attrs + r")>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)"
+        r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>" + attrs + r")>"
+        r"|<[!?/][^>]*>",
+        re.S | re.I,
+    )
+
+
+TOKEN = token_pattern(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
+LOOSE = token_pattern(r"[^>]*+")  # where a quote is left open, a tag ends at the next bracket
+TAG_CUT_OFF = re.compile(r"<[a-zA-Z/!][^>]*+\Z")  # by the end of the page
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
@@ -84,27 +101,77 @@ class Element:
     text: list = field(default_factory=list)
 
 
-def style_of(tag: str, attrs: str) -> tuple[str, set[str]]:
-    """The style's name, and the words of class, id and role."""
-    if not attrs.strip():
-        return tag, set()
-    words, named = set(), []
-    for name, value in NAMED.findall(attrs):
-        value = value.strip("\"'")
-        name = name.lower()
+def tokens(source: str) -> Iterator[re.Match]:
+    """The tags and comments of a page, in linear time: a quote that is left open is looked for once, after which quotes don't count."""
+    last, at, pattern = source.rfind(">"), 0, TOKEN
+    while (at := source.find("<", at)) >= 0:
+        if at > last and not source.startswith("<!--", at):
+            return  # nothing that starts here ends
+        found = pattern.match(source, at)
+        if found is None and pattern is TOKEN and (source[at + 1 : at + 2].isalpha() or source.startswith("</", at)):
+            pattern = LOOSE
+            found = pattern.match(source, at)
+        if found is None:
+            at += 1
+            continue
+        yield found
+        at = found.end()
+
+
+@dataclass
+class Names:
+    """What the attributes of an element call it: words of each name in class and role, words of its id, and whether it is hidden."""
+
+    names: list[list[str]] = field(default_factory=list)
+    own: list[str] = field(default_factory=list)
+    hidden: bool = False
+
+    @property
+    def words(self) -> set[str]:
+        return {w for name in (*self.names, self.own) for w in name}
+
+    def never_content(self) -> bool:
+        return self.hidden or any(w in NEVER for name in self.names for w in name)
+
+    def no_content(self, tag: str, core: bool) -> bool:
+        """Whether the names tell that nothing within is content.
+
+        Of a container one word of one name is enough, unless another name says that it holds the text, and an id counts if all
+        its words do. Of a heading, a paragraph and the like a whole name has to say so, and within a declared article none does.
+        """
+        if self.never_content():
+            return True
+        told = lambda name: bool(name) and not NO_CONTENT.isdisjoint(name) and (NO_CONTENT | PLAIN_WORDS).issuperset(name)
+        if tag in CONTAINERS:
+            if any(len(name) == 1 and name[0] in CONTENT_NAMES for name in self.names):
+                return False
+            return any(not NO_CONTENT.isdisjoint(name) for name in self.names) or told(self.own)
+        return not core and any(told(name) for name in self.names)
+
+
+def style_of(tag: str, attrs: str) -> tuple[str, Names]:
+    """The style's name, and what the attributes call the element."""
+    found, named = Names(), []
+    for name, value in NAMED.findall(attrs) if attrs.strip() else ():
+        value, name = value.strip("\"'"), name.lower()
         if name == "hidden":
-            words.add("hidden")
+            found.hidden = True
             continue
-        words.update(w.lower() for w in SPLIT.split(value) if w)
-        if name != "id":
+        split = [[w.lower() for w in SPLIT.split(v) if w] for v in value.split()]
+        if name == "id":
+            found.own += [w for part in split for w in part]
+        else:
+            found.names += split
             named += sorted(value.lower().split())
-    return ".".join([tag, *named]), words
+    return ".".join([tag, *named]), found
 
 
 def parse(source: str, site: int = 0) -> tuple[list[Element], list[tuple[int, str]]]:
     """The elements of a page and its text blocks in order, each with its element's place. ``site`` tells hosts' nodes apart."""
     root = Element("", "", site, -1, False, False)
     elements, blocks, open_, buffer = [root], [], [0], []
+    held = Counter()  # open elements of each tag
+    muted, level, nested = "", 0, 0  # an inline element that is no content, where it stands, and how many of its tag are open
 
     def flush() -> None:
         if buffer:
@@ -115,27 +182,34 @@ def parse(source: str, site: int = 0) -> tuple[list[Element], list[tuple[int, st
                 elements[open_[-1]].text.append(text)
 
     def close(i: int) -> None:
+        nonlocal muted
         flush()
+        held.subtract(elements[x].tag for x in open_[i:])
         del open_[i:]
+        if len(open_) < level:
+            muted = ""
 
     last = 0
-    for m in TOKEN.finditer(source):
-        if m.start() > last:
+    for m in tokens(source):
+        if m.start() > last and not muted:
             buffer.append(decoded(source[last : m.start()]))
         last = m.end()
         if m["raw"] is not None or m["tag"] is None:
             continue
         tag = m["tag"].lower()
         if tag in INLINE:
+            if tag == muted:
+                nested += -1 if m["end"] else 1
+                muted = muted if nested else ""
+            elif not muted and not m["end"] and tag not in VOID and m["attrs"].strip() and style_of(tag, m["attrs"])[1].never_content():
+                muted, level, nested = tag, len(open_), 1
             continue
         if tag == "br":
             buffer.append(" ")
             continue
         if m["end"]:
-            for i in range(len(open_) - 1, 0, -1):
-                if elements[open_[i]].tag == tag:
-                    close(i)
-                    break
+            if held[tag] > 0:
+                close(next(i for i in range(len(open_) - 1, 0, -1) if elements[open_[i]].tag == tag))
             else:
                 flush()
             continue
@@ -146,21 +220,22 @@ def parse(source: str, site: int = 0) -> tuple[list[Element], list[tuple[int, st
             close(len(open_) - 1)
         if tag in VOID:
             continue
-        style, words = style_of(tag, m["attrs"])
+        style, names = style_of(tag, m["attrs"])
         at = open_[-1]
-        above = elements[at]
-        declared = tag in ("article", "main") or bool(words & ARTICLE_WORDS and tag in ("div", "section"))
+        above, page = elements[at], tag in ("html", "body")
+        declared = tag in ("article", "main") or bool(tag in ("div", "section") and names.words & ARTICLE_WORDS)
         core = above.core or declared
-        out = above.out or tag in HIDDEN or bool(words & NO_CONTENT and tag not in ("html", "body"))
-        out = out or (not core and (tag == "header" or "header" in words and tag not in ("html", "body")))
+        out = above.out or bool(muted) or tag in HIDDEN or (not page and names.no_content(tag, core))
+        out = out or (not core and (tag == "header" or ("header" in names.words and not page)))
         node = xxhash.xxh64_intdigest(f"{above.node}/{style}") >> 1
         above.children.append(style)
         elements.append(Element(tag, style, node, at, out, core, above.depth + 1, declared))
         if not m["attrs"].endswith("/") or tag not in ("path", "rect", "use"):
             open_.append(len(elements) - 1)
-    if last < len(source):
+            held[tag] += 1
+    if last < len(source) and not muted:
         rest = source[last:]
-        cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)  # a tag that the end of the page cuts off
+        cut = TAG_CUT_OFF.search(rest)
         buffer.append(decoded(rest[: cut.start()] if cut else rest))
     flush()
     return elements, blocks
@@ -260,11 +335,15 @@ def importance(nodes: DataFrame, least: float) -> DataFrame:
     """(node, value, safe, core) of each judged node: its composite importance, and whether it or a branch has ``least``.
 
     (1 - DECAY^variants) of its own and the rest from the mean of its judged branches, by weight. A branch too rare to be
-    judged may be content: a node that has one counts as important by itself. Each level is folded from the one below.
+    judged may be content: a node that has one counts as important by itself. Each level is folded from the one below, from the
+    deepest that enough pages of a host share: what stands above a judged node is judged as well.
     """
     spark, levels, below = nodes.sparkSession, [], None
     own = ("node", "parent", "core", "declared", "judged", "weight", "variants", "own")
-    nothing = {"m": F.lit(None).cast("long"), "mv": F.lit(None).cast("double"), "rare": F.lit(False), "high": F.lit(False)}
+    nothing = {"m": F.lit(None).cast("long"), "mv": F.lit(None).cast("double"), "rare": F.col("some_rare"), "high": F.lit(False)}
+    rare = nodes.where(~F.col("judged")).groupBy("parent").agg(F.lit(True).alias("some_rare")).withColumnRenamed("parent", "above")
+    nodes = nodes.where("judged").join(rare, F.col("node") == F.col("above"), "left").withColumn("some_rare", F.coalesce("some_rare", F.lit(False)))
+    nodes = stored(nodes.drop("above"), "judged-nodes")
     for depth in range(nodes.agg(F.max("depth")).first()[0] or 0, 0, -1):
         level = nodes.where(F.col("depth") == depth).select("node", F.struct(*own[1:]).alias("facts"), *(c.alias(k) for k, c in nothing.items()))
         if below is not None:
