@@ -42,6 +42,9 @@ class Pipeline:
     two hours, to one or two tasks. Without ``write_width`` a batch is written by as
     many tasks as the session shuffles to, which a backfill of many hours needs.
 
+    ``rows_per_file`` is what a Gold file of a live query should hold: where batches have been measured, ``write_width`` and
+    ``write_salt`` follow from them at the next start, up to ``most_writers``.
+
     ``backlog_hours`` folders of Silver are one step of a backlog, and bound its state.
     """
 
@@ -56,6 +59,8 @@ class Pipeline:
     write_salt: int = 4
     max_files_per_trigger: int | None = None
     backlog_hours: int = 6
+    rows_per_file: int = 1_000_000
+    most_writers: int = 64
     rocksdb_state: bool = True
     decimals: int | None = None
     names: Mapping[str, str] = field(default_factory=dict)
@@ -100,7 +105,7 @@ class Pipeline:
         for key in ("zone", "lateness", "ingest_trigger", "gold_trigger"):
             if f"GRIDPULSE_{key.upper()}" in env:
                 given[key] = env[f"GRIDPULSE_{key.upper()}"]
-        for key in ("state_partitions", "write_width", "write_salt", "max_files_per_trigger", "backlog_hours", "decimals"):
+        for key in ("state_partitions", "write_width", "write_salt", "max_files_per_trigger", "backlog_hours", "rows_per_file", "decimals"):
             if f"GRIDPULSE_{key.upper()}" in env:
                 given[key] = int(env[f"GRIDPULSE_{key.upper()}"])
         layers = ["silver"] + [f"{layer}_{g.name}" for layer in ("gold", "serving") for g in GRANULARITIES]

@@ -24,6 +24,11 @@ def cluster_for_write(
     return df.repartition(width, *columns) if width else df.repartition(*columns)
 
 
+def tasks_for(rows: int, rows_per_file: int, most: int) -> int:
+    """How many tasks share an hour that gets so many rows, so that a file holds between half of ``rows_per_file`` and all of it."""
+    return max(1, min(most, -(-rows // rows_per_file)))
+
+
 def balance_for_write(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The adaptive form, for batches and stateless streams: files are sized at run
     time, splitting a hot hour and merging thin ones.

@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from gridpulse import schemas
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a folder at a path; its files are not listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def parquet_stream(
     spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridpulse import schemas
 from gridpulse.config import Granularity, Pipeline
 from gridpulse.sources.files import silver_table
-from gridpulse.streaming.jobs import drain, start_gold
+from gridpulse.streaming.jobs import drain, ready, start_gold
 from gridpulse.streaming.progress import throughput
 
 _FOLDER = re.compile(r"/dt=([^/]+)/hour=(\d+)/([^/]+)$")
@@ -64,6 +64,7 @@ def run_backlog(session: SparkSession, grain: Granularity, pipeline: Pipeline, *
     other readings of that step are written, and later steps are not started.
     """
     once = replace(pipeline, available_now=True)
+    ready(session, pipeline.silver, schemas.SILVER, schemas.SILVER_PARTITIONS)
     report = []
     for step in steps(folders(silver_table(session, pipeline.silver)), hours or pipeline.backlog_hours):
         query = start_gold(session, grain, once, step_stream(session, pipeline.silver, step))

@@ -15,6 +15,8 @@ Start the queries of one process from the same ``job_session``, so that
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,10 +24,11 @@ from pyspark.sql.streaming import StreamingQuery
 from gridpulse import schemas
 from gridpulse.config import Granularity, Pipeline
 from gridpulse.operators import gold
-from gridpulse.operators.layout import balance_for_write, cluster_for_write
+from gridpulse.operators.layout import balance_for_write, cluster_for_write, tasks_for
 from gridpulse.operators.silver import silver
 from gridpulse.sources.catalog import house_options
-from gridpulse.sources.files import gold_stream, silver_stream
+from gridpulse.sources.files import exists, gold_stream, silver_stream
+from gridpulse.streaming.progress import metrics_table
 from gridpulse.streaming.serving import LedgerServing, ServingTable, ledgered, replay_safe
 from gridpulse.streaming.sinks import append_parquet, each_batch
 
@@ -71,6 +74,32 @@ def gold_rows(readings: DataFrame, grain: Granularity, pipeline: Pipeline) -> Da
     )
 
 
+#: Batches of a query that say how much the next ones will write.
+MEASURED_BATCHES = 60
+
+
+def measured(session: SparkSession, grain: Granularity, pipeline: Pipeline) -> Pipeline:
+    """The pipeline with as many writers of an hour as its last batches call for; unchanged where none is measured.
+
+    A live batch writes windows of one hour, or two at the turn of an hour, so its rows are those of an hour. The greatest of the last
+    batches counts: too many small files of a quiet hour cost less than one task that writes a busy one.
+    """
+    if not pipeline.write_width or not exists(session, pipeline.metrics):
+        return pipeline
+    mine = metrics_table(session, pipeline.metrics).where((F.col("query") == f"gold_{grain.name}") & (F.col("written") > 0))
+    most = mine.orderBy(F.desc("day"), F.desc("at")).limit(MEASURED_BATCHES).agg(F.max("written")).first()[0]
+    if most is None:
+        return pipeline
+    tasks = tasks_for(most, pipeline.rows_per_file, pipeline.most_writers)
+    return replace(pipeline, write_salt=tasks, write_width=2 * tasks)  # hashes leave some tasks without an hour
+
+
+def ready(session: SparkSession, path: str, schema: str, partition_by: tuple[str, ...]) -> None:
+    """Make a folder that a stream will read, if no query has written to it yet."""
+    if not exists(session, path):
+        session.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
 def start_gold(
     session: SparkSession, grain: Granularity, pipeline: Pipeline, readings: DataFrame | None = None
 ) -> StreamingQuery:
@@ -80,9 +109,10 @@ def start_gold(
     a backlog that was not written in the order of time, and lose them; ``backlog.run_backlog`` takes its folders in that order.
     """
     if readings is None:
+        ready(session, pipeline.silver, schemas.SILVER, schemas.SILVER_PARTITIONS)
         readings = silver_stream(session, pipeline.silver)
     return append_parquet(
-        gold_rows(readings, grain, pipeline),
+        gold_rows(readings, grain, measured(session, grain, pipeline)),
         f"gold_{grain.name}",
         pipeline.gold(grain),
         schemas.GOLD_PARTITIONS,
@@ -94,6 +124,7 @@ def start_gold(
 
 def start_houses(session: SparkSession, grain: Granularity, pipeline: Pipeline) -> StreamingQuery:
     """Gold to the table of houses, each once: the state and the table hold a row per house, however much Gold there is."""
+    ready(session, pipeline.gold(grain), schemas.GOLD, schemas.GOLD_PARTITIONS)
     seen = gold_stream(session, pipeline.gold(grain), pipeline.max_files_per_trigger).select("house_id")
     return append_parquet(
         seen.dropDuplicates(["house_id"]), "houses", pipeline.houses, (), pipeline.checkpoint("houses"), pipeline.trigger(pipeline.gold_trigger)
@@ -105,6 +136,7 @@ def start_serving(
 ) -> StreamingQuery:
     """Gold to a serving table."""
     checkpoint = pipeline.checkpoint(f"serving_{grain.name}")
+    ready(session, pipeline.gold(grain), schemas.GOLD, schemas.GOLD_PARTITIONS)
     return each_batch(
         gold_stream(session, pipeline.gold(grain), pipeline.max_files_per_trigger),
         f"serving_{grain.name}",

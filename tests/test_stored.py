@@ -3,6 +3,7 @@
 import os
 import time
 from dataclasses import replace
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -18,8 +19,9 @@ from gridpulse.session import job_session, shared_folder
 from gridpulse.sources.catalog import register, store_gold
 from gridpulse.sources.events import events, readings
 from gridpulse.sources.files import envelope_stream, gold_table, house_table
-from gridpulse.streaming.jobs import drain, start_gold, start_houses, start_ingest, wait_any
-from gridpulse.streaming.progress import MetricsTable, metrics_table
+from gridpulse.operators.layout import cluster_for_write, tasks_for
+from gridpulse.streaming.jobs import drain, measured, start_gold, start_houses, start_ingest, wait_any
+from gridpulse.streaming.progress import METRICS, MetricsTable, metrics_table
 from gridpulse.streaming.sinks import each_batch
 from helpers import envelopes, land, plan, reading, rolled
 
@@ -270,3 +272,41 @@ def test_a_trigger_takes_files_as_they_come_and_a_failure_surfaces(spark):
         wait_any(session)
     assert time.monotonic() - start < 60 and live.isActive
     live.stop()
+
+
+def test_jobs_start_before_their_folders_exist(spark):
+    pipeline = Pipeline(root=shared_folder(spark, "early"), gold_trigger="1 second")
+    session, once = job_session(spark, pipeline), pipeline.backfill()
+    live = [start_gold(session, ONE_MINUTE, pipeline), start_houses(session, ONE_MINUTE, pipeline)]
+    try:
+        send(session, once, (1, 2), 8)
+        send(session, once, (1, 2), 9)
+        for query in live:
+            query.processAllAvailable()
+        assert len(rolled(gold_table(session, pipeline.gold(ONE_MINUTE)))) == 10
+        assert house_table(session, pipeline.houses).count() == 2
+    finally:
+        for query in live:
+            query.stop()
+
+
+def test_writers_follow_from_the_rows_of_the_last_batches(session, spark):
+    assert [tasks_for(n, 100, 8) for n in (0, 1, 100, 101, 750, 10_000)] == [1, 1, 1, 2, 8, 8]
+    pipeline = Pipeline(root=shared_folder(spark, "measured"), rows_per_file=100)
+    assert measured(session, ONE_MINUTE, pipeline) == pipeline  # nothing is measured yet
+    row = ("gold_1min", "r", 0, datetime(2025, 12, 6, 8, tzinfo=timezone.utc), 1, None, None, 0, 730, 1, 1.0, date(2025, 12, 6))
+    rows = [row, (*row[:8], 90, *row[9:]), ("gold_15min", *row[1:8], 9_000, *row[9:])]
+    session.createDataFrame(rows, METRICS).write.partitionBy("day").parquet(pipeline.metrics)
+    hot = measured(session, ONE_MINUTE, pipeline)
+    assert (hot.write_salt, hot.write_width) == (8, 16)
+    assert measured(session, ONE_MINUTE, pipeline.backfill()).write_width is None
+    for name, n in (("hot", 730), ("thin", 90)):
+        chosen = replace(pipeline, root=f"{pipeline.root}/{name}")
+        session.createDataFrame([(*row[:8], n, *row[9:])], METRICS).write.partitionBy("day").parquet(chosen.metrics)
+        chosen = measured(session, ONE_MINUTE, chosen)
+        hour = houses_gold(session, n, 1)
+        dealt = cluster_for_write(hour, schemas.GOLD_PARTITIONS, chosen.write_width, salt=chosen.write_salt, spread_by=schemas.SERVING_KEY)
+        dealt.write.partitionBy(*schemas.GOLD_PARTITIONS).parquet(f"{chosen.root}/gold")
+        sizes = gold_table(session, f"{chosen.root}/gold").groupBy("_metadata.file_path").count().collect()
+        assert sum(r["count"] for r in sizes) == n and max(r["count"] for r in sizes) <= 3 * pipeline.rows_per_file
+        assert n / len(sizes) >= pipeline.rows_per_file / 2
