@@ -1,13 +1,13 @@
 """Phrase collocations by Misra-Gries summaries, one per hash partition, and an exact second count.
 
-Words are counted first, and with them the mass of each hash partition: how many occurrences of
-phrases of two to four words fall into it. Then every task sends, per hash partition, a summary of
+The mass of each hash partition is measured first: how many occurrences of phrases of one to four
+words fall into it. Then every task sends, per hash partition, a summary of
 what it read, and one task merges those of a partition into at most ``capacity`` counters, where
 capacity exceeds mass / least count. Merging two summaries adds their counters, and where more than
 capacity are left, takes the largest one left over off every counter. Each unit taken off is taken
 from capacity + 1 counters, so less than the least count is ever taken off one of them: a phrase
-with the least count cannot vanish. What is left may be frequent; the second pass counts it exactly,
-by its words rather than by hashes.
+with the least count cannot vanish. What is left may be frequent; the second pass counts it exactly.
+Within a task phrases are told apart by 64-bit hashes, between tasks by their words.
 
 The phrases that may be frequent reach the second pass as a bit map of bounded size. A phrase let
 through by chance is counted like any other and falls short of the least count.
@@ -15,6 +15,7 @@ through by chance is counted like any other and falls short of the least count.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import mix, rows, stored
+from gridpulse.llm.common import mix, rows, stored, text_chunks
+from gridpulse.llm.jaccard_tiles import FACTOR, SEGMENT, STEP, powers, segment_end, text_bytes
 
 LEAST = 30  # occurrences of a candidate
 LONGEST = 4  # words of a phrase
@@ -35,128 +37,127 @@ RANKED_AT_ONCE = 5_000  # phrases of a language that one task ranks, about, befo
 MOST_RANKS = 1_000  # such tasks of a language
 CAPACITY = 200_000  # counters of a hash partition, about
 MOST_PARTITIONS = 100_000
-MOST_BITS = 1 << 28  # of the map of phrases that may be frequent: 32 MB
-BITS_EACH = 16
-CHUNK_WORDS = 600_000  # that a worker folds at once
-SEGMENT = 2_000_000  # bytes of a text that are cut into words at once
-MOST_WORDS = 400_000  # distinct words that a worker remembers
-STEP = np.uint64(0x9E3779B97F4A7C15)
+MOST_BITS = 1 << 29  # of the map of phrases that may be frequent: 64 MB
+BITS_EACH = 64
+CHUNK_WORDS = 1_000_000  # that a worker folds at once
 
-# Bytes of the signs that end a piece become full stops, which no word can hold then.
-ENDS = bytes(ord(".") if c in b".,;:!?\n\v\f\r" else c for c in range(256))
+TAB_TO_SPACE = bytes(32 if c == 9 else c for c in range(256))
+END = np.isin(np.arange(256), list(b".,;:!?\n\v\f\r"))  # bytes that end a piece
+BREAK = END | np.isin(np.arange(256), list(b" \t"))  # and those between words
+
+
+def word_values() -> np.ndarray:
+    """A random number per byte of a word, the same for a capital and its small letter of A-Z, 0 between words."""
+    made = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
+    made[65:91] = made[97:123]
+    made[BREAK] = 0
+    return made
 
 
 @dataclass
-class Words:
-    """Texts to word numbers; number 0 stands between pieces. A word is told apart by its language."""
+class Block:
+    """Words of some texts, in order: hashes, piece (rising; words of one piece have one number), where they start and how long they are.
+
+    Phrases that start at one of the first ``starts`` words are this block's; the others are the next one's.
+    """
+
+    hash: np.ndarray
+    piece: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    text: np.ndarray  # number of the text
+    starts: int
+
+    def phrases(self, width: int) -> np.ndarray:
+        """Places of the phrases of ``width`` words."""
+        most = min(self.starts, len(self.piece) - width + 1)
+        return np.flatnonzero(self.piece[:most] == self.piece[width - 1 : most + width - 1]) if most > 0 else np.empty(0, np.int64)
+
+    def phrase_hashes(self, width: int, at: np.ndarray) -> np.ndarray:
+        x = np.full(len(at), width, np.uint64)
+        for j in range(width):
+            x = x * STEP + self.hash[at + j]
+        return mix(x)
+
+
+@dataclass
+class Scanner:
+    """Texts to blocks of words, whose 64-bit hashes tell languages apart. All words of a segment are found and hashed at once, and no
+    word is made a Python object."""
 
     chunk: int = CHUNK_WORDS
-    number: dict = field(default_factory=dict)
-    words: list = field(default_factory=lambda: [b""])
-    langs: list = field(default_factory=lambda: [None])
-    known: np.ndarray = field(default_factory=lambda: np.zeros(1, np.uint64))
-    buffer: list = field(default_factory=list)
-    held: int = 0
-
-    def numbers(self, lang: str, text: str) -> Iterator[np.ndarray]:
-        """The word numbers of a text, segment by segment."""
-        number = self.number.setdefault(lang, {b".": 0})
-        data, at = text.encode().lower().translate(ENDS), 0
+    up: np.ndarray = field(default_factory=lambda: powers(FACTOR, SEGMENT))
+    down: np.ndarray = field(default_factory=lambda: powers(pow(FACTOR, -1, 2**64), SEGMENT))
+    value: np.ndarray = field(default_factory=word_values)
+
+    def segment(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Hash, start and size of the words of a segment, and how many ends of pieces lie before each; texts begin at the cuts."""
+        if len(data) > len(self.up):
+            self.up, self.down = powers(FACTOR, len(data)), powers(pow(FACTOR, -1, 2**64), len(data))
+        full = ~BREAK[data]
+        first = full.copy()
+        first[1:] &= ~full[:-1]
+        cuts = cuts[cuts < len(data)]
+        first[cuts] = full[cuts]
+        start = np.flatnonzero(first)
+        ends = np.cumsum(END[data], dtype=np.int64)
+        if not len(start):
+            return np.empty(0, np.uint64), start, start, start, int(ends[-1])
+        size = np.add.reduceat(full, start, dtype=np.int64)
+        found = np.add.reduceat(self.value[data] * self.up[: len(data)], start) * self.down[start]
+        return mix(found + size.astype(np.uint64) * STEP), start, size, ends[start], int(ends[-1])
+
+    def blocks(self, data: np.ndarray, ends: np.ndarray, langs: list[str]) -> Iterator[Block]:
+        """The words of texts that lie one after the other in ``data``."""
+        salt = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
+        held: list[tuple[np.ndarray, ...]] = []
+        at, passed, count = 0, 0, 0
         while at < len(data):
-            end, cut = at, at
-            while cut <= at and end < len(data):  # until a word ends beyond the start
-                end = min(len(data), end + SEGMENT)
-                cut = len(data) if end == len(data) else max(data.rfind(b, at, end) for b in (b" ", b".", b"\t"))
-            found = data[at:cut].replace(b".", b" . ").split()
-            at = cut
-            for word in set(found):
-                if word not in number:
-                    number[word] = len(self.words)
-                    self.words.append(word)
-                    self.langs.append(lang)
-            yield np.fromiter(map(number.__getitem__, found), np.int64, len(found))
-        yield np.zeros(1, np.int64)
-
-    def hashes(self) -> np.ndarray:
-        """64-bit hashes of the words and their languages, by number."""
-        fresh = zip(self.langs[len(self.known) :], self.words[len(self.known) :])
-        more = [xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang)) for lang, word in fresh]
-        self.known = np.concatenate((self.known, np.array(more, np.uint64)))
-        return self.known
-
-    def take(self, last: bool) -> tuple[np.ndarray, int]:
-        """The buffered numbers, and how many of them are starts to count; the rest are kept for the next call."""
-        ids = np.concatenate([*self.buffer, np.zeros(LONGEST - 1 if last else 0, np.int64)])
-        starts = max(0, len(ids) - LONGEST + 1)
-        self.buffer = [] if last else [ids[starts:]]
-        self.held = 0 if last else len(ids) - starts
-        return ids, starts
-
-    def chunks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
-        """(word numbers, starts) chunk by chunk; the numbers mean the same words until the next chunk is asked for."""
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                for ids in self.numbers(lang, text.as_py()):
-                    self.buffer.append(ids)
-                    self.held += len(ids)
-                    if self.held >= self.chunk:
-                        yield self.take(False)
-                if len(self.words) > MOST_WORDS:
-                    yield self.take(True)
-                    self.__init__(self.chunk)
-        if self.held:
-            yield self.take(True)
-
-
-def phrase_starts(ids: np.ndarray, starts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(width, starts of the phrases of that width) for two words and more."""
-    whole = ids[:starts] > 0
-    for width in range(2, LONGEST + 1):
-        whole = whole & (ids[width - 1 : starts + width - 1] > 0)
-        yield width, np.flatnonzero(whole)
-
-
-def hashes_at(word_hash: np.ndarray, ids: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    x = np.full(len(at), width, np.uint64)
-    for j in range(width):
-        x = x * STEP + word_hash[ids[at + j]]
-    return mix(x)
+            stop = segment_end(data, at)
+            low, high = np.searchsorted(ends, (at, stop))
+            found, start, size, before, more = self.segment(data[at:stop], ends[low:high] - at)
+            start = start + at
+            text = np.searchsorted(ends, start, side="right") - 1
+            held.append((mix(found + salt[text]), before + passed + text, start, size, text))
+            at, passed, count = stop, passed + more, count + len(start)
+            last = at >= len(data)
+            if count >= self.chunk or last:
+                columns = [np.concatenate(c) for c in zip(*held)]
+                starts = len(columns[0]) if last else max(0, len(columns[0]) - LONGEST + 1)
+                yield Block(*columns, starts)
+                held, count = [tuple(c[starts:] for c in columns)], 0
+
+    def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarray, list[str]]]:
+        """(block, bytes of its texts, their languages)"""
+        for part, texts in text_chunks(batches):
+            data, ends = text_bytes(texts)
+            langs = part.column("lang").to_pylist()
+            for block in self.blocks(data, ends, langs):
+                yield block, data, langs
 
 
 def partition_of(hashes: np.ndarray, partitions: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(partitions)) >> np.uint64(32)
 
 
-def counted_words(docs: DataFrame, partitions: int) -> DataFrame:
-    """(kind, lang, word, part, c): occurrences of words, kind w, and of phrases per hash partition, kind m; partial sums."""
+def measured_mass(docs: DataFrame, partitions: int) -> DataFrame:
+    """(lang, part, c): words of each language, where part is null, and occurrences of phrases per hash partition; partial sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, mass = Words(), np.zeros(partitions, np.int64)
-        for ids, starts in words.chunks(batches):
-            word_hash = words.hashes()
-            for width, at in phrase_starts(ids, starts):
-                part = partition_of(hashes_at(word_hash, ids, at, width), partitions)
+        scanner, mass, words = Scanner(), np.zeros(partitions, np.int64), Counter()
+        for block, _, langs in scanner.read(batches):
+            for width in range(1, LONGEST + 1):
+                at = block.phrases(width)
+                part = partition_of(block.phrase_hashes(width, at), partitions)
                 mass += np.bincount(part.astype(np.int64), minlength=partitions)
-            times = np.bincount(ids[:starts], minlength=1)
-            times[0] = 0
-            at = np.flatnonzero(times)
-            yield rows(
-                kind=pa.array(["w"] * len(at), pa.string()),
-                lang=pa.array([words.langs[i] for i in at], pa.string()),
-                word=pa.array([words.words[i] for i in at], pa.binary()).cast(pa.string()),
-                part=pa.nulls(len(at), pa.int32()),
-                c=times[at],
-            )
+            for lang, n in zip(langs, np.bincount(block.text[: block.starts], minlength=len(langs)).tolist()):
+                words[lang] += n
         at = np.flatnonzero(mass)
-        yield rows(
-            kind=pa.array(["m"] * len(at), pa.string()),
-            lang=pa.nulls(len(at), pa.string()),
-            word=pa.nulls(len(at), pa.string()),
-            part=pa.array(at, pa.int32()),
-            c=mass[at],
-        )
+        yield rows(lang=pa.nulls(len(at), pa.string()), part=pa.array(at, pa.int32()), c=mass[at])
+        if words:
+            yield rows(lang=pa.array(list(words), pa.string()), part=pa.nulls(len(words), pa.int32()), c=pa.array(list(words.values()), pa.int64()))
 
-    return docs.mapInArrow(run, "kind string, lang string, word string, part int, c long")
+    return docs.mapInArrow(run, "lang string, part int, c long")
 
 
 def fold(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,10 +183,9 @@ def task_summaries(docs: DataFrame, partitions: int) -> DataFrame:
     """(part, hashes, counts): what each chunk of a task holds of each hash partition, as arrays of 64 and 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for ids, starts in words.chunks(batches):
-            word_hash = words.hashes()
-            found = [hashes_at(word_hash, ids, at, width) for width, at in phrase_starts(ids, starts)]
+        scanner = Scanner()
+        for block, _, _ in scanner.read(batches):
+            found = [block.phrase_hashes(width, block.phrases(width)) for width in range(1, LONGEST + 1)]
             value, times = np.unique(np.concatenate(found), return_counts=True)
             part = partition_of(value, partitions).astype(np.int64)  # sorted, as the hashes are
             here, first = np.unique(part, return_index=True)
@@ -245,24 +245,27 @@ def counted_phrases(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = Words(), shared.value
+        scanner, bits, seen, lower = Scanner(), shared.value, None, b""
         mask = np.uint64(len(bits) * 64 - 1)
-        for ids, starts in words.chunks(batches):
-            word_hash = words.hashes()
-            for width, at in phrase_starts(ids, starts):
-                spot = hashes_at(word_hash, ids, at, width) & mask
-                at = at[(bits[(spot >> np.uint64(6)).astype(np.intp)] >> (spot & np.uint64(63))) & np.uint64(1) == 1]
-                key = ids[at]
-                for j in range(1, width):  # dense numbers of the first words, then one word more: exact, and within 64 bits
-                    key = np.unique(key, return_inverse=True)[1] * len(word_hash) + ids[at + j]
-                _, first, times = np.unique(key, return_index=True, return_counts=True)
-                where = at[first]
-                numbers = [ids[where + j].tolist() for j in range(width)]
-                phrase = [b" ".join([words.words[i] for i in each]) for each in zip(*numbers)]
+        for block, data, langs in scanner.read(batches):
+            if data is not seen:  # small letters, and one kind of space
+                seen, lower = data, data.tobytes().lower().translate(TAB_TO_SPACE)
+            for width in range(1, LONGEST + 1):
+                at = block.phrases(width)
+                value = block.phrase_hashes(width, at)
+                spot = value & mask
+                may = (bits[(spot >> np.uint64(6)).astype(np.intp)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+                _, first, times = np.unique(value[may], return_index=True, return_counts=True)
+                at = at[may][first]
+                start, end = block.start[at], block.start[at + width - 1] + block.size[at + width - 1]
+                apart = end - start > sum(block.size[at + j] for j in range(width)) + width - 1
+                phrase = [lower[a:b] for a, b in zip(start.tolist(), end.tolist())]
+                for i in np.flatnonzero(apart).tolist():
+                    phrase[i] = b" ".join(w for w in phrase[i].split(b" ") if w)
                 yield rows(
-                    lang=pa.array([words.langs[i] for i in numbers[0]], pa.string()),
+                    lang=pa.array([langs[i] for i in block.text[at].tolist()], pa.string()),
                     phrase=pa.array(phrase, pa.binary()).cast(pa.string()),
-                    width=pa.array(np.full(len(where), width), pa.int32()),
+                    width=pa.array(np.full(len(at), width), pa.int32()),
                     c=times.astype(np.int64),
                 )
 
@@ -279,16 +282,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, capacity: int = CAPACI
     plain = plain.where("text != ''")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(max(1, min(MOST_PARTITIONS, size // 2 // (least * capacity) + 1)))
-    partial = counted_words(plain, partitions)
-    first = partial.groupBy("kind", "lang", "word", "part").agg(F.sum("c").alias("f"))
-    first = stored(first, "words")
-    masses = {r.part: r.f for r in first.where("kind = 'm'").select("part", "f").collect()}
-    single = first.where("kind = 'w'")
-    totals = stored(single.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    measured = measured_mass(plain, partitions).groupBy("lang", "part").agg(F.sum("c").alias("n"))
+    measured = stored(measured, "mass")
+    masses = {r.part: r.n for r in measured.where("part is not null").collect()}
+    totals = measured.where("part is null").select("lang", "n")
     kept = stored(merged_summaries(task_summaries(plain, partitions), partitions, masses, least), "summaries")
-    several = counted_phrases(plain, bit_map(kept, kept.count())).groupBy("lang", "phrase", "width").agg(F.sum("c").alias("f"))
-    one = single.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("width"), "f")
-    return stored(one.unionByName(several).where(F.col("f") >= least), "phrases"), totals
+    counted = counted_phrases(plain, bit_map(kept, kept.count())).groupBy("lang", "phrase", "width").agg(F.sum("c").alias("f"))
+    return stored(counted.where(F.col("f") >= least), "phrases"), totals
 
 
 def wide(x: Column | str) -> Column:

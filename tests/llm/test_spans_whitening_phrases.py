@@ -9,7 +9,7 @@ import time
 
 import numpy as np
 import pytest
-from gridpulse.llm import collocations, feast, pii
+from gridpulse.llm import collocations, feast, jaccard_tiles, pii
 
 SCHEMA = "doc_id long, text string, lang string, spans int, score double, f int"
 
@@ -222,8 +222,8 @@ def phrase_docs():
 @pytest.mark.parametrize("capacity, chunk, segment", [(200_000, 10**6, 10**6), (30, 50, 64), (60, 200, 1)])
 def test_collocations_equal_brute_force(spark, monkeypatch, capacity, chunk, segment):
     docs = phrase_docs()
-    monkeypatch.setattr(collocations.Words, "__init__", lambda self, c=chunk, old=collocations.Words.__init__: old(self, c))
-    monkeypatch.setattr(collocations, "SEGMENT", segment)
+    monkeypatch.setattr(collocations.Scanner, "__init__", lambda self, c=chunk, old=collocations.Scanner.__init__: old(self, c))
+    monkeypatch.setattr(jaccard_tiles, "SEGMENT", segment)
     rows = [(i, t, lang, 1, 0.5, 1) for i, (t, lang) in enumerate(docs)]
     df = spark.createDataFrame([*rows, rows[3], (None, "the the the", "en", 1, 0.5, 1)], SCHEMA).repartition(4)
     docs = [*docs, docs[3], ("the the the", "en")]
