@@ -54,18 +54,16 @@ def directory(file: BinaryIO, size: int) -> list[Member]:
     tail = min(size, 65_557 + 20)  # the end record, its longest comment and the ZIP64 locator before it
     file.seek(size - tail)
     data = file.read(tail)
-    at = data.rfind(END)
-    while at >= 0 and at + 22 + int.from_bytes(data[at + 20 : at + 22], "little") != len(data):
-        at = data.rfind(END, 0, at)  # a signature within the comment
-    if at < 0:
+    found, at = [], data.rfind(END)
+    while at >= 0:
+        if at + 22 + int.from_bytes(data[at + 20 : at + 22], "little") == len(data):
+            found.append(at)
+        at = data.rfind(END, 0, at)  # what was found may be a signature within the comment
+    if not found:
         raise ValueError("not a ZIP archive: no end record")
-    count, length, start = struct.unpack("<HII", data[at + 10 : at + 20])
-    if (count == 0xFFFF or length == 0xFFFFFFFF or start == 0xFFFFFFFF) and data[at - 20 : at - 16] == LOCATOR64:
-        file.seek(int.from_bytes(data[at - 12 : at - 4], "little"))
-        record = file.read(56)
-        if record[:4] != END64:
-            raise ValueError("the ZIP64 end record is not where its locator points")
-        count, length, start = struct.unpack("<QQQ", record[32:56])
+    ends = [directory_place(file, data, at, size - tail) for at in found]
+    # A comment may look like an end record throughout; but a directory ends where its end record begins.
+    count, length, start = next((e[:3] for e in ends if e[1] + e[2] == e[3]), ends[0][:3])
     file.seek(start)
     entries, at, members = file.read(length), 0, []
     for _ in range(count):
@@ -89,6 +87,19 @@ def directory(file: BinaryIO, size: int) -> list[Member]:
     return members
 
 
+def directory_place(file: BinaryIO, data: bytes, at: int, before: int) -> tuple[int, int, int, int]:
+    """Number of members, length and offset of the directory, and the offset of its end record, from the end record at ``at`` of the tail ``data``."""
+    count, length, start = struct.unpack("<HII", data[at + 10 : at + 20])
+    if (count == 0xFFFF or length == 0xFFFFFFFF or start == 0xFFFFFFFF) and data[max(0, at - 20) : at][:4] == LOCATOR64:
+        place = int.from_bytes(data[at - 12 : at - 4], "little")
+        file.seek(place)
+        record = file.read(56)
+        if record[:4] != END64:
+            raise ValueError("the ZIP64 end record is not where its locator points")
+        return *struct.unpack("<QQQ", record[32:56]), place
+    return count, length, start, before + at
+
+
 def data_start(file: BinaryIO, member: Member) -> int:
     """Offset of a stored member's first byte: its local header has lengths of its own."""
     if not member.stored:
