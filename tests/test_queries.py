@@ -5,10 +5,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_module
-from gridpulse.plans import batch, oracle, stream
+from gridpulse.plans import batch, oracle, stored, stream
 
 duckdb = pytest.importorskip("duckdb")
-QUERIES, SQL = batch.queries() | stream.queries(), oracle.oracle_sql()  # those of gridpulse.llm have tests of their own
+QUERIES, SQL = batch.queries() | stream.queries() | stored.queries(), oracle.oracle_sql()  # those of gridpulse.llm have tests of their own
 
 
 @pytest.fixture(scope="module")
