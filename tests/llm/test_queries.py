@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from gridpulse.llm import queries as registered
 
-KEYS = {"op1_site_tree": ("pages", "page_id"), "op9_zip_warc": ("pages", "page_id")}
+KEYS = {"op1_site_tree": ("pages", "page_id"), "op9_zip_warc": ("pages", "page_id"), "op12_feast": ("embeddings", "vec_id")}
 
 
 @pytest.fixture(scope="module")
