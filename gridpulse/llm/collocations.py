@@ -39,7 +39,8 @@ CAPACITY = 200_000  # counters of a hash partition, about
 MOST_PARTITIONS = 100_000
 MOST_BITS = 1 << 29  # of the map of phrases that may be frequent: 64 MB
 BITS_EACH = 64
-CHUNK_WORDS = 1_000_000  # that a worker folds at once
+CHUNK_WORDS = 400_000  # that a worker folds at once
+CHUNK_BYTES = 1_500_000  # of texts that it reads at once; a longer text comes in segments
 
 TAB_TO_SPACE = bytes(32 if c == 9 else c for c in range(256))
 END = np.isin(np.arange(256), list(b".,;:!?\n\v\f\r"))  # bytes that end a piece
@@ -129,7 +130,7 @@ class Scanner:
 
     def read(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarray, list[str]]]:
         """(block, bytes of its texts, their languages)"""
-        for part, texts in text_chunks(batches):
+        for part, texts in text_chunks(batches, limit=CHUNK_BYTES):
             data, ends = text_bytes(texts)
             langs = part.column("lang").to_pylist()
             for block in self.blocks(data, ends, langs):
