@@ -35,7 +35,7 @@ SCALE = 2_000_000  # of scores
 MOST_RANKED = 2_000  # phrases reported of each language
 RANKED_AT_ONCE = 5_000  # phrases of a language that one task ranks, about, before the first of each task are ranked together
 MOST_RANKS = 1_000  # such tasks of a language
-CAPACITY = 200_000  # counters of a hash partition, about
+CAPACITY = 100_000  # counters of a hash partition, about
 MOST_PARTITIONS = 100_000
 MOST_BITS = 1 << 29  # of the map of phrases that may be frequent: 64 MB
 BITS_EACH = 64
@@ -213,10 +213,11 @@ def merged_summaries(summaries: DataFrame, partitions: int, masses: dict[int, in
             held[part] = [[value], [times], len(value), state[3] + off]
 
         for batch in batches:
-            for part, value, times in zip(*(batch.column(c).to_pylist() for c in ("part", "hashes", "counts"))):
+            values, counts = batch.column("hashes"), batch.column("counts")
+            for i, part in enumerate(batch.column("part").to_pylist()):
                 state = held.setdefault(part, [[], [], 0, 0])
-                state[0].append(np.frombuffer(value, np.uint64))
-                state[1].append(np.frombuffer(times, np.uint32).astype(np.int64))
+                state[0].append(np.frombuffer(values[i].as_buffer(), np.uint64).copy())  # a copy, so that the batch can go
+                state[1].append(np.frombuffer(counts[i].as_buffer(), np.uint32).astype(np.int64))
                 state[2] += len(state[0][-1])
                 if state[2] > 2 * (masses[part] // least + 1):
                     settle(part)
