@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import stored
 
 COMMON_WORDS = 24  # of a language's histogram; all other words are one more bin
-COMMON_BYTES = 5  # longest common word: those that bind a sentence are short
+COMMON_BYTES = 5  # longest common word of the SQL of op4; ``judge`` counts words of every length
 LEAST_REFERENCE_WORDS = 5_000  # of a language that has a reference of its own
 MOST_BROADCAST = 10_000  # references of a kilobyte or so that are sent to every task; more are joined by a shuffle
 LEAST_CHARS = 300  # shorter texts pass the character rule
@@ -106,22 +106,22 @@ def shares(counts: Column) -> Column:
 
 def counted(docs: DataFrame) -> DataFrame:
     """What the rules need of each row's text, found in one pass: doc_id, lang, the counts, classes (characters of each class)
-    and short, its words of at most COMMON_BYTES bytes in lower case. A null text is empty."""
+    and words, all its words in lower case. A null text is empty."""
     text = F.col("text")
     size, spaceless = F.length(text), without(text, r"[ \t-\r]+")
     symbols, upper = size - without(text, r"[#*$%&|<>]+"), size - without(text, "[A-Z]+")
     marks = size - without(text, "[0-9.,;:!?'\"()-]+")
 
     def facts(words: Column) -> Column:
-        short = F.transform(F.filter(words, lambda w: F.octet_length(w) <= COMMON_BYTES), F.lower)
-        return F.struct(F.size(words).alias("n_words"), repeated_words(words).alias("n_repeat_words"), short.alias("short"))
+        lower = F.transform(words, F.lower)
+        return F.struct(F.size(words).alias("n_words"), repeated_words(words).alias("n_repeat_words"), lower.alias("words"))
 
     plain = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     long = lambda c: c.cast("long")
     return plain.select(
         "doc_id",
         "lang",
-        F.inline(F.array(let(words_of(text), facts))).alias("n_words", "n_repeat_words", "short"),
+        F.inline(F.array(let(words_of(text), facts))).alias("n_words", "n_repeat_words", "words"),
         long(size).alias("n_chars"),
         long(spaceless).alias("word_chars"),
         long(symbols).alias("n_symbols"),
@@ -140,31 +140,36 @@ def counted(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(found: DataFrame) -> DataFrame:
-    """Per language of LEAST_REFERENCE_WORDS words, and for all documents together under null: chars, the shares of character
-    classes; words, a map from its common words to letters; common, the words' shares, the last for all other words; and bare, the
-    distance of a text that has none of them.
-    """
-    sums = found.groupBy("lang").agg(
-        F.sum("n_words").alias("n_all"), *(F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES)))
-    )
-    whole = sums.agg(F.lit(None).cast("string").alias("lang"), *(F.sum(c).alias(c) for c in sums.columns[1:]))
-    large = sums.where("lang is not null").where(F.col("n_all") >= LEAST_REFERENCE_WORDS).unionAll(whole)
-    chars = shares(F.array(*(f"c{i}" for i in range(len(CLASSES)))))
+def spoken(docs: DataFrame) -> DataFrame:
+    """(lang, words): the words of each row alone, in lower case; white space at an end leaves an empty one."""
+    lower = F.lower(F.coalesce("text", F.lit("")))
+    return docs.select(F.col("lang").cast("string").alias("lang"), F.split(lower, r"[ \t-\r]+").alias("words"))
+
+
+def word_counts(found: DataFrame) -> DataFrame:
+    """(lang, word, n) of all words, whatever their length."""
+    words = found.select("lang", F.explode("words").alias("word")).where("word != ''")
+    return words.groupBy("lang", "word").agg(F.count("*").alias("n"))
+
 
-    counts = found.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+def common_words(counts: DataFrame) -> DataFrame:
+    """Per language of LEAST_REFERENCE_WORDS words, and for all documents together under null: words, a map from its common words to
+    letters; longest, the bytes of the longest of them; common, the words' shares, the last for all other words; and bare, the
+    distance of a text that has none of them. No row under null where there are no words.
+    """
     pooled = counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n")
+    each = counts.where("lang is not null").unionAll(pooled)
+    sums = each.groupBy("lang").agg(F.sum("n").alias("n_all")).where((F.col("n_all") >= LEAST_REFERENCE_WORDS) | F.col("lang").isNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counts.where("lang is not null").unionAll(pooled).withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS)
-    top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    top = top.withColumnRenamed("lang", "of")
-    both = large.select("lang", "n_all", chars.alias("chars")).join(top, F.col("of").eqNullSafe(F.col("lang")), "left")
+    top = each.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS)
+    top = top.groupBy(F.col("lang").alias("of")).agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+    both = sums.join(top, F.col("of").eqNullSafe(F.col("lang")))
     head = F.transform("top", lambda x: x["n"] / F.col("n_all"))
     letter = F.transform("top", lambda x: F.char(x["rank"] + 96))
     made = both.select(
         "lang",
-        "chars",
         F.map_from_arrays(F.transform("top", lambda x: x["word"]), letter).alias("words"),
+        F.array_max(F.transform("top", lambda x: F.octet_length(x["word"]))).alias("longest"),
         let(head, lambda h: F.concat(h, F.array(F.lit(1.0) - total(h, F.lit(0.0))))).alias("common"),
     )
     last = F.size("common") - 1
@@ -172,6 +177,45 @@ def references(found: DataFrame) -> DataFrame:
     return made.withColumn("bare", distance(none, F.col("common")))
 
 
+def references(found: DataFrame, common: DataFrame | None = None) -> DataFrame:
+    """Per language of LEAST_REFERENCE_WORDS words, and for all documents together under null: chars, the shares of character
+    classes, and what ``common_words`` says, of the words of ``found`` if it is not given.
+    """
+    common = common_words(word_counts(found)) if common is None else common
+    sums = found.groupBy("lang").agg(
+        F.sum("n_words").alias("n_all"), *(F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES)))
+    )
+    whole = sums.agg(F.lit(None).cast("string").alias("lang"), *(F.sum(c).alias(c) for c in sums.columns[1:]))
+    large = sums.where("lang is not null").where(F.col("n_all") >= LEAST_REFERENCE_WORDS).unionAll(whole)
+    chars = shares(F.array(*(f"c{i}" for i in range(len(CLASSES)))))
+    both = large.select("lang", chars.alias("chars")).join(common.withColumnRenamed("lang", "of"), F.col("of").eqNullSafe(F.col("lang")), "left")
+    return both.drop("of")
+
+
+def compared(found: DataFrame, reference: DataFrame, *names: str) -> DataFrame:
+    """Rows with key, the language they are compared with (null for all documents together), and columns ref_<name> of its reference."""
+    own = reference.where("lang is not null").select(F.col("lang").alias("key"), *(F.col(c).alias(f"own_{c}") for c in names))
+    rest = reference.where("lang is null").select(*(F.col(c).alias(f"all_{c}") for c in names))
+    joined = found.join(small(own), F.col("lang") == F.col("key"), "left").join(F.broadcast(rest), F.lit(True), "left")
+    pick = (F.when(F.col("key").isNull(), F.col(f"all_{c}")).otherwise(F.col(f"own_{c}")).alias(f"ref_{c}") for c in names)
+    return joined.select(*found.columns, "key", *pick)
+
+
+def histograms(found: DataFrame, common: DataFrame) -> DataFrame:
+    """Rows of ``counted`` with bins, how often each common word of their reference stands in them and how often any other, for words."""
+
+    def histogram(letters: Column) -> Column:
+        """Counts of the common words, of which each stands as a letter, and of the rest."""
+        at = F.sequence(F.lit(1), F.size("ref_words"))
+        count = F.transform(at, lambda i: F.length(letters) - F.length(F.replace(letters, F.char(i + 96), F.lit(""))))
+        return F.concat(count, F.array(F.col("n_words") - F.length(letters)))
+
+    able = F.filter("words", lambda w: F.octet_length(w) <= F.col("ref_longest"))  # a longer word is none of them: it need not be looked up
+    letters = F.array_join(F.transform(able, lambda w: F.col("ref_words")[w]), "")
+    bins = F.when(F.col("ref_words").isNotNull(), let(letters, histogram))
+    return compared(found, common, "words", "longest").withColumn("bins", bins).select(*(c for c in found.columns if c != "words"), "bins")
+
+
 def word_limits(judged: DataFrame) -> DataFrame:
     """(of, limit) per reference: WORD_SPREAD times the median word distance of the texts that are compared with it, beyond what their
     lengths explain, WORD_LEAST at least, but no more than WORD_SHARE of the distance of a text without common words.
@@ -205,28 +249,15 @@ def judge(docs: DataFrame, char_limit: float = CHAR_LIMIT) -> DataFrame:
     A null text has no words and fails. A language that is null or has few words is compared with all documents
     together. Equal rows get equal results, null ids stay null, other columns play no part. An empty table gives an empty result.
     """
-    found = stored(counted(docs), "counted")
-    reference = stored(references(found), "references")
-    names = ("chars", "words", "common", "bare")
-    own = reference.where("lang is not null").select(F.col("lang").alias("key"), *(F.col(c).alias(f"own_{c}") for c in names))
-    rest = reference.where("lang is null").select(*(F.col(c).alias(f"all_{c}") for c in names))
-    found = found.join(small(own), F.col("lang") == F.col("key"), "left").join(F.broadcast(rest), F.lit(True), "left")
-    pick = {c: F.when(F.col("key").isNull(), F.col(f"all_{c}")).otherwise(F.col(f"own_{c}")) for c in names}
-    found = found.withColumns({f"ref_{c}": pick[c] for c in names})
-
-    def histogram(letters: Column) -> Column:
-        """Counts of the common words, of which each stands as a letter, and of the rest."""
-        at = F.sequence(F.lit(1), F.size("ref_common") - 1)
-        count = F.transform(at, lambda i: F.length(letters) - F.length(F.replace(letters, F.char(i + 96), F.lit(""))))
-        return F.concat(count, F.array(F.col("n_words") - F.length(letters)))
-
-    letters = F.array_join(F.transform("short", lambda w: F.col("ref_words")[w]), "")
-    found = found.withColumns(
+    common = stored(common_words(stored(word_counts(spoken(docs)), "words")), "common")
+    found = stored(histograms(counted(docs), common), "counted")
+    reference = stored(references(found, common), "references")
+    found = compared(found, reference, "chars", "common", "bare").withColumns(
         {
             "char_distance": F.when(F.col("n_chars") > 0, distance(shares(F.col("classes")), F.col("ref_chars"))),
             "word_distance": F.when(
                 (F.col("n_words") > 0) & F.col("ref_common").isNotNull(),
-                let(let(letters, histogram), lambda h: distance(shares(h), F.col("ref_common"))),
+                distance(shares(F.col("bins")), F.col("ref_common")),
             ),
         }
     )

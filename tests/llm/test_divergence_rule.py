@@ -60,3 +60,23 @@ def test_the_median_is_that_of_the_steps(spark):
     assert limits.keys() == {"a", "b", None}
     assert abs(limits["a"] - at(0.3)) < 1e-9 and limits["b"] == 0.2 * divergence.WORD_SHARE and limits[None] == limits["a"]
     assert divergence.judge(table.select(F.lit(1).alias("doc_id"), F.col("key").alias("text"), F.col("key").alias("lang"))).count() == 9
+
+
+def test_words_of_any_length_are_common(spark):
+    rng = random.Random(9)
+    words = ["что", "это", "как", "здравствуйте", "on"]
+    text = lambda n: " ".join(rng.choices(words, k=n)) + " " + " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    rows = [(i, text(100), "ru") for i in range(60)] + [(100, None, "ru"), (101, "Ⱥ" * 9 + " on", None), (101, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    own = next(r for r in divergence.references(divergence.counted(docs)).collect() if r.lang == "ru")
+    assert set(words) <= set(own.words) and own.longest == 24 and own.bare > 0.3
+    common = divergence.common_words(divergence.word_counts(divergence.spoken(docs)))
+    found = divergence.histograms(divergence.counted(docs), common).collect()
+    at = sorted(own.words, key=own.words.get)
+    texts = {i: (t or "").split() for i, t, lang in rows if lang == "ru"}
+    for r in found:
+        if r.lang == "ru":
+            named = [texts[r.doc_id].count(w) for w in at]
+            assert r.bins == [*named, len(texts[r.doc_id]) - sum(named)]
+    kept = {r.doc_id: r.kept for r in divergence.judge(docs).collect()}
+    assert all(kept[i] for i in range(60)) and not kept[100]
