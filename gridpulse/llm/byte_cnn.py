@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import chunks, id_remainder, rows, small_batches
+from gridpulse.llm.common import chunks, id_remainder, rows, small_batches, stored
 from gridpulse.llm.sampling import bounded_sample
 
 WINDOW = 256  # bytes
@@ -30,6 +30,8 @@ WINDOWS_AT_ONCE = 256
 LEAST_QUANTILE = 0.02  # of the learned languages' own scores: texts of their length that score less are in none of them
 LEAST_TEXTS = 50  # of a length that have a quantile of their own
 LENGTHS = 16  # classes of texts: of 1, 2 to 3, 4 to 7 windows and so on
+ALL_LENGTHS = -1  # the class of all texts together
+DIGIT_BITS = 12  # of a score that one pass over the scores finds
 UNDECIDED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -205,29 +207,60 @@ def length_class(text: str) -> int:
     return min(max(1, -(-len(text.encode()) // WINDOW)).bit_length(), LENGTHS) - 1
 
 
-def least_scores(labelled: DataFrame, net: ByteCnn | None, per_language: int = SAMPLE_PER_LANGUAGE) -> list[float]:
+def values_at(table: DataFrame, ranks: dict[int, set[int]]) -> dict[tuple[int, int], float]:
+    """By (length, rank): the score of that rank, from 0, among the table's rows (length, bits) of that length.
+
+    Bits are those of a double of 0 or more, which order like the doubles. Each pass counts rows by DIGIT_BITS more of them, of those
+    that begin like a wanted score, so counts alone reach the driver, and no task sorts or holds the scores of a length.
+    """
+    found = {(length, rank): (0, rank) for length, some in ranks.items() for rank in some}
+    shift = 63  # no bit is known yet
+    while shift and found:
+        known, shift = shift, max(0, shift - DIGIT_BITS)
+        begun = sorted({(length, prefix) for (length, _), (prefix, _) in found.items()})
+        begun = F.broadcast(table.sparkSession.createDataFrame(begun, "length long, prefix long"))
+        rows_of = table.withColumn("prefix", F.shiftright("bits", known)).join(begun, ["length", "prefix"])
+        counts = rows_of.groupBy("length", "prefix", F.shiftright("bits", shift).alias("next")).agg(F.count("*").alias("n")).toArrow().to_pylist()
+        steps: dict[tuple[int, int], list] = {}
+        for c in sorted(counts, key=lambda c: c["next"]):
+            steps.setdefault((c["length"], c["prefix"]), []).append((c["next"], c["n"]))
+        for (length, rank), (prefix, left) in found.items():
+            for following, n in steps[length, prefix]:
+                if left < n:
+                    break
+                left -= n
+            found[length, rank] = following, left
+    return {at: float(np.array([bits], np.int64).view(np.float64)[0]) for at, (bits, _) in found.items()}
+
+
+def least_scores(labelled: DataFrame, net: ByteCnn | None) -> list[float]:
     """Of each class of lengths, the score that LEAST_QUANTILE of the texts do not reach whose language ``net`` names rightly.
 
-    Whole texts of a bounded sample of rows (doc_id, text, lang) count; only scores reach the driver. A class with few texts
-    has the quantile of the next shorter one, or of all where there is none. No text at all: 0.
+    Every whole text of the rows (doc_id, text, lang) that have an id, a text and a language counts; the scores, stored, stay with
+    the tasks. A class with few texts has the quantile of the next shorter one, or of all where there is none. No text at all: 0.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, limit=1_000_000):
             langs, scores = predict(texts, net)
             own = pa.array([a == b for a, b in zip(langs, part.column("lang").to_pylist())], pa.bool_())
-            yield rows(length=[length_class(t) for t in texts], score=pa.array(scores, pa.float64())).filter(own)
+            bits = np.array(scores, np.float64).view(np.int64)
+            yield rows(length=pa.array([length_class(t) for t in texts], pa.int64()), bits=bits).filter(own)
 
     small_batches(labelled.sparkSession)
-    usable = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text != ''")
-    chosen = bounded_sample(usable.select("doc_id", "lang"), "lang", per_language, SAMPLE_ROWS)
-    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("text", "lang")
-    found = sample.mapInArrow(run, "length long, score double").toArrow()
-    length, score = found.column("length").to_numpy(), found.column("score").to_numpy()
-    least = [float(np.quantile(score, LEAST_QUANTILE)) if len(score) else 0.0]
+    usable = labelled.where("doc_id is not null and lang is not null and text != ''").select("text", F.col("lang").cast("string").alias("lang"))
+    scored = stored(usable.mapInArrow(run, "length long, bits long"), "language-scores")
+    sizes = {r["length"]: r["n"] for r in scored.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return [0.0] * LENGTHS
+    sizes[ALL_LENGTHS] = sum(sizes.values())
+    places = {k: LEAST_QUANTILE * (n - 1) for k, n in sizes.items() if n >= LEAST_TEXTS or k == ALL_LENGTHS}
+    ranks = {k: {int(at), min(int(at) + 1, sizes[k] - 1)} for k, at in places.items()}
+    found = values_at(scored.unionAll(scored.withColumn("length", F.lit(ALL_LENGTHS).cast("long"))), ranks)
+    quantile = {k: float(np.quantile([found[k, r] for r in sorted(ranks[k])], at - int(at))) for k, at in places.items()}
+    least = [quantile[ALL_LENGTHS]]
     for k in range(LENGTHS):
-        of = score[length == k]
-        least.append(float(np.quantile(of, LEAST_QUANTILE)) if len(of) >= LEAST_TEXTS else least[-1])
+        least.append(quantile.get(k, least[-1]))
     return least[1:]
 
 
