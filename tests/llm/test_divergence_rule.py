@@ -80,3 +80,25 @@ def test_words_of_any_length_are_common(spark):
             assert r.bins == [*named, len(texts[r.doc_id]) - sum(named)]
     kept = {r.doc_id: r.kept for r in divergence.judge(docs).collect()}
     assert all(kept[i] for i in range(60)) and not kept[100]
+
+
+def test_common_words_are_looked_up_in_one_text(spark):
+    rng = random.Random(4)
+    words = ["so,", "a,b", ",", "so", "b", "a"]
+    text = lambda n: " ".join(rng.choices(words, k=n)) + " \t\n" + " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    texts = [text(100) for _ in range(60)] + ["\x0b \nso,\nso,\n \x0b\n \x0b\n", "", None]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    counted = divergence.counted(docs)
+    common = divergence.common_words(divergence.word_counts(divergence.spoken(docs)))
+    own = next(r for r in common.collect() if r.lang == "en")
+    at = sorted(own.words, key=own.words.get)
+    assert set(words) <= set(at)
+    histograms = divergence.histograms(counted, common)
+    for r in histograms.collect():
+        found = (texts[r.doc_id] or "").split()
+        named = [found.count(w) for w in at]
+        assert r.bins == [*named, len(found) - sum(named)] and r.word_chars == sum(map(len, found))
+        assert r.n_dup_lines == (1 if r.doc_id == 60 else 0)
+    plan = histograms._jdf.queryExecution().optimizedPlan().toString()
+    assert "find_in_set" in plan and "ref_words" not in plan  # no map of words is searched key by key
+    assert "translate" not in plan  # a line is not read beyond its first word
