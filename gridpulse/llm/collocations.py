@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import mix, rows, stored, text_chunks
+from gridpulse.llm.common import arrow_bytes, mix, rows, stored, text_chunks
 from gridpulse.llm.jaccard_tiles import FACTOR, SEGMENT, STEP, powers, segment_end, text_bytes
 
 LEAST = 30  # occurrences of a candidate
@@ -41,6 +41,7 @@ MOST_BITS = 1 << 29  # of the map of phrases that may be frequent: 64 MB
 BITS_EACH = 64
 CHUNK_WORDS = 400_000  # that a worker folds at once
 CHUNK_BYTES = 1_500_000  # of texts that it reads at once; a longer text comes in segments
+BATCH_BYTES = 6_000_000  # of texts or summaries that pass from Spark to a worker at once; Spark's 64 MB would be held several times over
 
 TAB_TO_SPACE = bytes(32 if c == 9 else c for c in range(256))
 END = np.isin(np.arange(256), list(b".,;:!?\n\v\f\r"))  # bytes that end a piece
@@ -280,6 +281,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, capacity: int = CAPACI
     ``capacity`` sizes the hash partitions, of which there are as many as the bytes of text ask for; the counters
     of a partition follow from its own mass.
     """
+    with arrow_bytes(docs.sparkSession, BATCH_BYTES):
+        return found_phrases(docs, least, capacity)
+
+
+def found_phrases(docs: DataFrame, least: int, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """``frequent_phrases``, in Arrow batches of the session's size; every pass of Python ends here, in a stored table."""
     plain = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     plain = plain.where("text != ''")
     size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,18 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Bound the bytes of an Arrow batch in what runs meanwhile, where rows differ much in size; the caller's setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read again: lineage ends there, so a lost executor repeats nothing older."""
     path = shared_folder(df.sparkSession, label)

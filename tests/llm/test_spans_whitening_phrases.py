@@ -8,8 +8,10 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from gridpulse.llm import collocations, feast, jaccard_tiles, pii
+from gridpulse.llm import collocations, common, feast, jaccard_tiles, pii
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, spans int, score double, f int"
 
@@ -261,3 +263,20 @@ def test_collocations_of_long_texts_and_an_empty_table(spark):
     got = collocations.collocations(spark.createDataFrame(long, "doc_id long, text string, lang string")).collect()
     n = 2_000_001
     assert {(r.phrase, r.a, r.n) for r in got} == {("a b a b", 999_999, n), ("b a b a", 999_998, n)}
+
+
+def test_batches_of_large_rows_are_bounded_in_bytes(spark, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    name, limits, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], collocations.stored
+    before = spark.conf.get(name)
+    monkeypatch.setattr(collocations, "stored", lambda df, label: limits.append(int(spark.conf.get(name))) or stored(df, label))
+    df = spark.createDataFrame([(1, "a b c. " * 40, "en"), (2, None, None)], "doc_id long, text string, lang string")
+    assert collocations.collocations(df).count() == 3
+    assert len(limits) == 3 and set(limits) == {collocations.BATCH_BYTES} and spark.conf.get(name) == before
+    large = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).cast("binary").alias("b"))
+    with common.arrow_bytes(spark, collocations.BATCH_BYTES):
+        got = [r.n for r in large.mapInArrow(sizes, "n long").collect()]
+    assert max(got) <= collocations.BATCH_BYTES + 1_100_000 and sum(got) >= 60_000_000
