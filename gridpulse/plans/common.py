@@ -38,8 +38,20 @@ def dense_gold(spark: SparkSession, sf_dir: str, grain: Granularity) -> DataFram
     return roll_up(dense_readings(spark, sf_dir), grain.width, decimals=DECIMALS)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows, dealt out by hash to as many tasks as the session has for them.
+
+    A table may be one file of one row group, which one task reads. Whatever is made of its rows, and of the files they are landed in,
+    would be that task's alone. A fixed number of tasks, so that adaptive execution does not merge them for being few bytes.
+    """
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, *keys)
+
+
 def encoded(rows: DataFrame) -> DataFrame:
     """Readings as JSON envelopes."""
+    rows = spread(rows, "event_id", "event_time")
     fields = ("house_id", "pv_panel_kw", "ev_charging_kw", "power_kw", "voltage")
     return rows.select(wire.encode(iso_utc("event_time").alias("timestamp"), *fields).alias("value"))
 
@@ -58,8 +70,8 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("voltage"),
     )
     both = F.array(F.col("text").cast("binary"), misfiled)
-    documents = table(spark, sf_dir, "documents").select(F.explode(both).alias("value"))
-    foreign = table(spark, sf_dir, "conversations").select(
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id").select(F.explode(both).alias("value"))
+    foreign = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
         wire.encode("conv_id", "turn", "role", "text").alias("value")
     )
     sent = encoded(real_readings(spark, sf_dir, house="user_id"))
@@ -69,7 +81,7 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_key_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings that each lack one thing: the house, with a readable time; a readable time, with a house; and a metric, for which
     they send a text, with both keys."""
-    rows = real_readings(spark, sf_dir)
+    rows = spread(real_readings(spark, sf_dir), "event_id", "event_time")
     time = iso_utc("event_time").alias("timestamp")
     house = F.when(F.col("house_id") != HOUSE, F.col("house_id")).alias("house_id")
     no_house = wire.encode(house, time, "pv_panel_kw", "power_kw")

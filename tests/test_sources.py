@@ -2,9 +2,11 @@ import re
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridpulse import schemas
 from gridpulse.config import GRANULARITIES, ONE_MINUTE, Pipeline
+from gridpulse.plans import common
 from gridpulse.session import job_session, shared_folder
 from gridpulse.sources.jdbc import Database, serving_ddl, slice_predicates
 from gridpulse.sources.kafka import topic_options
@@ -115,3 +117,16 @@ def test_schemas_parse(spark):
     serving = spark.createDataFrame([], schemas.SERVING).schema
     assert tuple(serving.fieldNames()) == schemas.SERVING_COLUMNS
     assert [f.name for f in serving if not f.nullable] == ["window_start", "window_end"]
+
+
+def test_envelopes_of_a_table_in_one_row_group_are_made_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path)
+    times = "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as ts"
+    events = spark.range(0, 300, 1, 1).selectExpr("id as event_id", times, "id as user_id", "'view' as event_type", "1.5 as value", "'{\"k\": 1}' as props")
+    documents = spark.range(0, 1, 1, 1).selectExpr("id as doc_id", "'a' as text", "1L as n_chars", "'en' as lang")
+    conversations = spark.range(0, 1, 1, 1).selectExpr("id as conv_id", "1 as turn", "'user' as role", "'a' as text")
+    for name, rows in (("events", events.withColumn("value", F.col("value").cast("double"))), ("documents", documents), ("conversations", conversations)):
+        rows.write.parquet(f"{path}/{name}.parquet")
+    for made, rows in ((common.mixed_envelopes, 303), (common.null_key_envelopes, 900)):
+        tasks = made(spark, path).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+        assert sum(r.n for r in tasks) == rows and len(tasks) > 1 and max(r.n for r in tasks if r.n > 2) < rows / 2
